@@ -51,14 +51,16 @@ def strip_markup(c: Column | str) -> Column:
 
 def plain_text(c: Column | str) -> Column:
     """Text nodes joined by one space, white space collapsed; null stays null."""
+    c = col(c)
     bare = strip_markup(c)
-    return collapse(F.coalesce(_decode_entities(F.when(bare.contains("&"), bare)), bare))
+    # Either branch runs the pattern once: with an entity for the worker, without one for the fallback.
+    return collapse(F.coalesce(_decode_entities(F.when(c.contains("&"), bare)), bare))
 
 
 def plain_text_each(parts: Column) -> Column:
     """``plain_text`` over every element of an array of fragments."""
     bare = F.transform(parts, strip_markup)
-    has_entity = F.exists(bare, lambda p: p.contains("&"))
+    has_entity = F.exists(parts, lambda p: p.contains("&"))
     decoded = F.coalesce(_decode_entities_each(F.when(has_entity, bare)), bare)
     return F.transform(decoded, collapse)
 

@@ -6,9 +6,9 @@ variant null; the two differ for some rules, so leaves stay VARIANT until a rule
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludoshelf.functions.clean import FALSE_WORDS, TRUE_WORDS, col, strip
@@ -24,6 +24,20 @@ def leaves(names: Iterable[str]) -> str:
     return "struct<" + ",".join(f"`{name}`:variant" for name in names) + ">"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def computed_once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Rows with new columns from a one-row generate.
+
+    A filter on such a column stays above the generate. With a plain projection it would be pushed below and
+    would parse the body again, once per mention.
+    """
+    return rows.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
+
+
 def kind(v: Column | str) -> Column:
     return F.schema_of_variant(col(v))
 

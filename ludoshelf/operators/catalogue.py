@@ -26,10 +26,9 @@ def list_pages(landed: DataFrame) -> DataFrame:
     own_key = variant.integer(F.try_variant_get(last, "$.appid", "variant"))
     told = F.col("r.last_appid")
     has_told = told.isNotNull() & (variant.kind(told) != "VOID")
+    opened = variant.computed_once(variant.computed_once(rows, r=response), apps=apps)
     return (
-        rows.withColumn("r", response)
-        .withColumn("apps", apps)
-        .select(
+        opened.select(
             F.col("url").alias("chain"),
             "page_no",
             F.col("cursor").try_cast("bigint").alias("last_appid"),

@@ -45,36 +45,38 @@ def release_date(raw: Column) -> Column:
 
 def release(v: Column) -> Column:
     """struct<release_date, release_date_raw, coming_soon>."""
-    member = variant.read(v, variant.leaves(("date", "coming_soon")))
-    raw = variant.string(member["date"])
-    bare = strip(raw)
-    return F.struct(
-        release_date(F.when(bare != "", bare)).alias("release_date"),
-        F.when(bare == "", raw).otherwise(bare).alias("release_date_raw"),
-        variant.boolean(member["coming_soon"]).alias("coming_soon"),
-    )
+
+    def read(member: Column) -> Column:
+        raw = variant.string(member["date"])
+        bare = strip(raw)
+        return F.struct(
+            release_date(F.when(bare != "", bare)).alias("release_date"),
+            F.when(bare == "", raw).otherwise(bare).alias("release_date_raw"),
+            variant.boolean(member["coming_soon"]).alias("coming_soon"),
+        )
+
+    return variant.let(variant.read(v, variant.leaves(("date", "coming_soon"))), read)
 
 
 def price(v: Column) -> Column:
     """Price in minor units, null without a currency."""
-    p = variant.read(
-        v,
-        variant.leaves(
-            ("currency", "initial", "final", "discount_percent", "initial_formatted", "final_formatted")
-        ),
-    )
-    currency = variant.string(p["currency"])
-    return F.when(
-        strip(currency) != "",
-        F.struct(
-            currency.alias("currency"),
-            variant.integer(p["initial"]).alias("initial"),
-            variant.integer(p["final"]).alias("final"),
-            variant.integer(p["discount_percent"]).alias("discount_percent"),
-            variant.string(p["initial_formatted"]).alias("initial_formatted"),
-            variant.string(p["final_formatted"]).alias("final_formatted"),
-        ),
-    )
+    members = ("currency", "initial", "final", "discount_percent", "initial_formatted", "final_formatted")
+
+    def read(p: Column) -> Column:
+        currency = variant.string(p["currency"])
+        return F.when(
+            strip(currency) != "",
+            F.struct(
+                currency.alias("currency"),
+                variant.integer(p["initial"]).alias("initial"),
+                variant.integer(p["final"]).alias("final"),
+                variant.integer(p["discount_percent"]).alias("discount_percent"),
+                variant.string(p["initial_formatted"]).alias("initial_formatted"),
+                variant.string(p["final_formatted"]).alias("final_formatted"),
+            ),
+        )
+
+    return variant.let(variant.read(v, variant.leaves(members)), read)
 
 
 def screenshots(v: Column) -> Column:
@@ -104,25 +106,35 @@ def videos(v: Column) -> Column:
     )
 
 
-def requirements(v: Column) -> Column:
-    """struct<minimum, recommended> of one system, null when it is no object or holds neither."""
-    r = variant.read(v, variant.leaves(("minimum", "recommended")))
-    minimum, recommended = variant.string(r["minimum"]), variant.string(r["recommended"])
+def requirement_fragments(v: Column) -> Column:
+    """struct<minimum, recommended> of one system as HTML fragments, null when it is no object or holds neither."""
+
+    def read(r: Column) -> Column:
+        minimum, recommended = variant.string(r["minimum"]), variant.string(r["recommended"])
+        return F.when(
+            minimum.isNotNull() | recommended.isNotNull(),
+            F.struct(minimum.alias("minimum"), recommended.alias("recommended")),
+        )
+
+    return variant.let(variant.read(v, variant.leaves(("minimum", "recommended"))), read)
+
+
+def requirement_texts(r: Column) -> Column:
     return F.when(
-        minimum.isNotNull() | recommended.isNotNull(),
-        F.struct(text_value(minimum).alias("minimum"), text_value(recommended).alias("recommended")),
+        r.isNotNull(),
+        F.struct(text_value(r["minimum"]).alias("minimum"), text_value(r["recommended"]).alias("recommended")),
     )
 
 
-def requirements_by_os(data: Column) -> Column:
-    return F.struct(*(requirements(data[m]).alias(os) for os, m in REQUIREMENT_MEMBERS.items()))
+def language_fragments(v: Column) -> Column:
+    """Parts of a language list as HTML fragments; the footnote after the first line break is cut off."""
+    listed = F.regexp_extract(variant.string(v), r"(?is)\A(.*?)(?:<br\b|\z)", 1)
+    return F.when(listed != "", F.split(listed, r",\s*")).otherwise(F.array().cast("array<string>"))
 
 
-def languages(v: Column) -> Column:
-    """Language list of a details body; the footnote after the first line break is cut off."""
-    listed = F.regexp_extract(variant.string(v), r"(?is)\A(.*?)(?:<br\b|\z)", 1)
-    parts = F.when(listed != "", F.split(listed, r",\s*")).otherwise(F.array().cast("array<string>"))
-    pairs = F.arrays_zip(parts.alias("raw"), plain_text_each(parts).alias("text"))
+def languages(fragments: Column) -> Column:
+    """Languages of the listed parts: interface and subtitles for all, full audio where marked."""
+    pairs = F.arrays_zip(fragments.alias("raw"), plain_text_each(fragments).alias("text"))
     named = F.transform(
         pairs,
         lambda p: F.struct(
@@ -138,14 +150,16 @@ def languages(v: Column) -> Column:
 
 
 def language_struct(name: Column, interface: Column, subtitles: Column, full_audio: Column) -> Column:
-    hit = language_by_name(name)
-    return F.struct(
-        name.alias("name"),
-        hit["steam_language"].alias("steam_language"),
-        hit["web_language"].alias("web_code"),
-        interface.alias("interface"),
-        subtitles.alias("subtitles"),
-        full_audio.alias("full_audio"),
+    return variant.let(
+        language_by_name(name),
+        lambda hit: F.struct(
+            name.alias("name"),
+            hit["steam_language"].alias("steam_language"),
+            hit["web_language"].alias("web_code"),
+            interface.alias("interface"),
+            subtitles.alias("subtitles"),
+            full_audio.alias("full_audio"),
+        ),
     )
 
 
@@ -214,65 +228,82 @@ def age_ratings(v: Column) -> Column:
 
 def score_stub(v: Column) -> Column:
     """Score record named in the details themselves, null when it holds neither url nor score."""
-    m = variant.read(v, variant.leaves(("url", "score")))
-    url = blank_to_null(variant.string(m["url"]))
-    score = variant.integer(m["score"])
-    return F.when(
-        url.isNotNull() | score.isNotNull(),
-        F.struct(
-            url.alias("url"),
-            score.alias("critic_score"),
-            F.lit(None).cast("double").alias("user_score"),
-            F.lit(None).cast("string").alias("user_score_raw"),
-            F.lit("pc").alias("platform"),
-        ),
-    )
 
+    def read(m: Column) -> Column:
+        url = blank_to_null(variant.string(m["url"]))
+        score = variant.integer(m["score"])
+        return F.when(
+            url.isNotNull() | score.isNotNull(),
+            F.struct(
+                url.alias("url"),
+                score.alias("critic_score"),
+                F.lit(None).cast("double").alias("user_score"),
+                F.lit(None).cast("string").alias("user_score_raw"),
+                F.lit("pc").alias("platform"),
+            ),
+        )
+
+    return variant.let(variant.read(v, variant.leaves(("url", "score"))), read)
 
-def localized(data: Column) -> Column:
-    """Texts of one locale; the full text falls back when the first choice is null or empty."""
-    full = F.coalesce(
-        blank_to_null(variant.string(data["detailed_description"])), variant.string(data["about_the_game"])
-    )
-    return F.struct(
-        F.col("locale").alias("locale"),
-        F.col("steam_language").alias("steam_language"),
-        F.col("store_country").alias("store_country"),
-        variant.string(data["name"]).alias("name"),
-        text_value(variant.string(data["short_description"])).alias("short_description"),
-        text_value(full).alias("full_description"),
-    )
 
+def with_facts(rows: DataFrame) -> DataFrame:
+    """Rows with ``data`` replaced by all locale-independent facts of the body.
 
-def facts(data: Column) -> list[Column]:
-    """All locale-independent facts of a details body, as columns."""
-    dated = release(data["release_date"])
-    return [
+    Fragments that need plain text are read in a first projection, so each is extracted once.
+    """
+    data = F.col("data")
+    fragments = {f"_{os}": requirement_fragments(data[member]) for os, member in REQUIREMENT_MEMBERS.items()}
+    fragments["_languages"] = language_fragments(data["supported_languages"])
+    fragments["_release"] = release(data["release_date"])
+    keep = [c for c in rows.columns if c != "data"]
+    return rows.withColumns(fragments).select(
+        *keep,
         variant.string(data["type"]).alias("type"),
         variant.boolean(data["is_free"]).alias("is_free"),
         price(data["price_overview"]).alias("price"),
         names(data["developers"]).alias("developers"),
         names(data["publishers"]).alias("publishers"),
-        dated["release_date"].alias("release_date"),
-        dated["release_date_raw"].alias("release_date_raw"),
-        dated["coming_soon"].alias("coming_soon"),
+        "_release.release_date",
+        "_release.release_date_raw",
+        "_release.coming_soon",
         screenshots(data["screenshots"]).alias("screenshots"),
         videos(data["movies"]).alias("videos"),
         http_url(variant.string(data["header_image"])).alias("header_image"),
         http_url(variant.string(data["website"])).alias("website"),
-        requirements_by_os(data).alias("requirements"),
-        languages(data["supported_languages"]).alias("supported_languages"),
+        F.struct(*(requirement_texts(F.col(f"_{os}")).alias(os) for os in REQUIREMENT_MEMBERS)).alias("requirements"),
+        languages(F.col("_languages")).alias("supported_languages"),
         platforms(data["platforms"]).alias("platforms"),
         categories(data["categories"]).alias("categories"),
         genres(data["genres"]).alias("genres"),
         age_ratings(data["ratings"]).alias("age_ratings"),
         score_stub(data["metacritic"]).alias("score_stub"),
-    ]
+    )
 
 
 def with_texts(details: DataFrame) -> DataFrame:
-    """Admitted details rows with their ``localized`` texts."""
-    return details.withColumn("localized", localized(F.col("data")))
+    """Admitted details rows with their ``localized`` texts.
+
+    The full text falls back when the first choice is null or empty.
+    """
+    data = F.col("data")
+    read = details.withColumns(
+        {
+            "_name": variant.string(data["name"]),
+            "_short": variant.string(data["short_description"]),
+            "_full": F.coalesce(
+                blank_to_null(variant.string(data["detailed_description"])), variant.string(data["about_the_game"])
+            ),
+        }
+    )
+    texts = F.struct(
+        "locale",
+        "steam_language",
+        "store_country",
+        F.col("_name").alias("name"),
+        text_value("_short").alias("short_description"),
+        text_value("_full").alias("full_description"),
+    )
+    return read.withColumn("localized", texts).drop("_name", "_short", "_full")
 
 
 def base_pick(details: DataFrame) -> DataFrame:
@@ -300,16 +331,33 @@ def item_rows(rows: DataFrame, array: Column, *keep: str) -> DataFrame:
     return rows.select(*keep, F.posexplode(array).alias("pos", "item"))
 
 
-def discount_summary(priced: DataFrame, *keys: str) -> DataFrame:
-    """Discount range and mean per key (country, currency…)."""
+def price_summary(priced: DataFrame, *keys: str) -> DataFrame:
+    """Price totals and discount range per key (country, currency…)."""
     return priced.groupBy(*keys).agg(
         F.count("price").alias("priced"),
         F.min("price.discount_percent").alias("min_discount"),
         F.max("price.discount_percent").alias("max_discount"),
         F.round(F.avg("price.discount_percent"), 4).alias("avg_discount"),
+        F.sum("price.initial").alias("sum_initial"),
+        F.sum("price.final").alias("sum_final"),
     )
 
 
 def required_age(ratings: DataFrame, *keys: str) -> DataFrame:
     """Highest required age over all authorities."""
     return ratings.groupBy(*keys).agg(F.max("item.required_age").alias("required_age"))
+
+
+def requirement_rows(rows: DataFrame, *keep: str) -> DataFrame:
+    """Requirements unpivoted: one row per system that has any, with plain texts."""
+    by_os = [
+        F.struct(
+            F.lit(os).alias("os"),
+            F.col(f"requirements.{os}.minimum.text").alias("minimum"),
+            F.col(f"requirements.{os}.recommended.text").alias("recommended"),
+        )
+        for os in REQUIREMENT_MEMBERS
+    ]
+    return rows.select(*keep, F.inline(F.array(*by_os))).where(
+        F.col("minimum").isNotNull() | F.col("recommended").isNotNull()
+    )

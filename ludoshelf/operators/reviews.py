@@ -61,38 +61,49 @@ def chain_stop() -> Column:
     )
 
 
+def _author(v: Column) -> Column:
+    return variant.let(
+        variant.read(v, variant.leaves(AUTHOR_FIELDS)),
+        lambda a: F.struct(
+            F.when(variant.truthy(a["steamid"]), variant.text(a["steamid"])).alias("steam_id"),
+            variant.integer(a["num_games_owned"]).alias("games_owned"),
+            variant.integer(a["num_reviews"]).alias("reviews_written"),
+            variant.integer(a["playtime_forever"]).alias("playtime_forever_minutes"),
+            variant.integer(a["playtime_last_two_weeks"]).alias("playtime_last_two_weeks_minutes"),
+            variant.integer(a["playtime_at_review"]).alias("playtime_at_review_minutes"),
+            epoch_utc(variant.integer(a["last_played"])).alias("last_played"),
+        ),
+    )
+
+
+def _source_url(steam_id: Column, app_id: Column) -> Column:
+    """The author's page of the review, or the product's review page."""
+    by_author = F.concat(
+        F.lit("https://steamcommunity.com/profiles/"), steam_id, F.lit("/recommended/"), app_id, F.lit("/")
+    )
+    return F.coalesce(
+        by_author, F.concat(F.lit("https://steamcommunity.com/app/"), app_id, F.lit("/reviews/"))
+    )
+
+
 def flatten(pages: DataFrame) -> DataFrame:
     """One row per object in the pages, in API order (page_no, pos)."""
-    r, a = F.col("r"), F.col("a")
+    r = F.col("r")
     zero = F.lit(0).cast("bigint")
-    steam_id = F.when(variant.truthy(a["steamid"]), variant.text(a["steamid"]))
-    opened = (
-        pages.select("app_id", "review_type", "page_no", F.posexplode("items").alias("pos", "item"))
-        .withColumn("r", variant.read("item", variant.leaves(REVIEW_FIELDS)))
-        .where(F.col("r").isNotNull())
-        .withColumn("a", variant.read("r.author", variant.leaves(AUTHOR_FIELDS)))
-        .withColumn("steam_id", steam_id)
+    ddl = variant.leaves(REVIEW_FIELDS)
+    objects = F.filter(
+        F.transform("items", lambda x: F.try_variant_get(x, "$", ddl)), lambda x: x.isNotNull()
+    )
+    keys = ("app_id", "review_type", "page_no", "pos")
+    opened = pages.select("app_id", "review_type", "page_no", F.posexplode(objects).alias("pos", "r")).select(
+        *keys, "r", _author(r["author"]).alias("author")
     )
     return opened.select(
-        "app_id",
-        "review_type",
-        "page_no",
-        "pos",
+        *keys,
         F.coalesce(variant.text(r["recommendationid"]), F.lit("")).alias("recommendation_id"),
         F.coalesce(variant.text(r["review"]), F.lit("")).alias("text"),
         variant.truthy(r["voted_up"]).alias("positive"),
-        F.when(
-            F.col("steam_id").isNotNull(),
-            F.concat(
-                F.lit("https://steamcommunity.com/profiles/"),
-                F.col("steam_id"),
-                F.lit("/recommended/"),
-                F.col("app_id"),
-                F.lit("/"),
-            ),
-        )
-        .otherwise(F.concat(F.lit("https://steamcommunity.com/app/"), F.col("app_id"), F.lit("/reviews/")))
-        .alias("source_url"),
+        _source_url(F.col("author.steam_id"), F.col("app_id").cast("string")).alias("source_url"),
         variant.string(r["language"]).alias("language"),
         epoch_utc(variant.integer(r["timestamp_created"])).alias("created_at"),
         epoch_utc(variant.integer(r["timestamp_updated"])).alias("updated_at"),
@@ -104,15 +115,7 @@ def flatten(pages: DataFrame) -> DataFrame:
         variant.boolean(r["received_for_free"]).alias("received_for_free"),
         variant.boolean(r["written_during_early_access"]).alias("written_during_early_access"),
         variant.string(r["developer_response"]).alias("developer_response"),
-        F.struct(
-            F.col("steam_id"),
-            variant.integer(a["num_games_owned"]).alias("games_owned"),
-            variant.integer(a["num_reviews"]).alias("reviews_written"),
-            variant.integer(a["playtime_forever"]).alias("playtime_forever_minutes"),
-            variant.integer(a["playtime_last_two_weeks"]).alias("playtime_last_two_weeks_minutes"),
-            variant.integer(a["playtime_at_review"]).alias("playtime_at_review_minutes"),
-            epoch_utc(variant.integer(a["last_played"])).alias("last_played"),
-        ).alias("author"),
+        "author",
     )
 
 

@@ -159,14 +159,16 @@ def collect_games(
     )
     picked = details.base_pick(details.with_texts(answered.where(F.col("error").isNull())))
     base = stage(
-        picked.select(
-            "app_id",
-            "localizations",
-            F.coalesce(
-                F.nullif(F.col("localizations")[F.col("base.locale")]["name"], F.lit("")),
-                F.col("app_id").cast("string"),
-            ).alias("title"),
-            *details.facts(F.col("base.data")),
+        details.with_facts(
+            picked.select(
+                "app_id",
+                "localizations",
+                F.coalesce(
+                    F.nullif(F.col("localizations")[F.col("base.locale")]["name"], F.lit("")),
+                    F.col("app_id").cast("string"),
+                ).alias("title"),
+                F.col("base.data").alias("data"),
+            )
         ),
         "base",
     )

@@ -58,25 +58,37 @@ def with_details(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
 
     The body is an object keyed by the app id; it counts when ``success`` is truthy and ``data`` an object.
     """
-    return (
-        rows.withColumn("_body", variant.read(F.try_parse_json("body"), "map<string,variant>"))
-        .withColumn("_entry", F.try_element_at("_body", F.col("app_id").cast("string")))
-        .withColumn("_entry", variant.read("_entry", "struct<success:variant,data:variant>"))
-        .withColumn(
-            "data",
+    opened = variant.let(
+        variant.read(F.try_parse_json("body"), "map<string,variant>"),
+        lambda body: F.struct(
+            body.isNotNull().alias("is_object"),
+            variant.read(
+                F.try_element_at(body, F.col("app_id").cast("string")), "struct<success:variant,data:variant>"
+            ).alias("entry"),
+        ),
+    )
+    admitted = variant.let(
+        opened,
+        lambda o: F.struct(
+            o["is_object"].alias("is_object"),
             F.when(
-                delivered() & variant.truthy("_entry.success"),
-                variant.read("_entry.data", variant.leaves(names)),
-            ),
-        )
-        .withColumn(
-            "error",
-            F.when(~delivered(), F.concat(F.lit("http status "), F.col("http_status")))
-            .when(F.col("_body").isNull(), F.lit("unexpected response"))
-            .when(F.col("data").isNull(), F.lit("app was not found")),
-        )
-        .drop("_body", "_entry", "body")
+                variant.truthy(o["entry"]["success"]), variant.read(o["entry"]["data"], variant.leaves(names))
+            ).alias("data"),
+        ),
     )
+    read = variant.computed_once(rows, _read=F.when(delivered(), admitted)).drop("body")
+    return read.select(
+        *(c for c in read.columns if c != "_read"),
+        "_read.data",
+        _http_error()
+        .when(~F.col("_read.is_object"), F.lit("unexpected response"))
+        .when(F.col("_read.data").isNull(), F.lit("app was not found"))
+        .alias("error"),
+    )
+
+
+def _http_error() -> Column:
+    return F.when(~delivered(), F.concat(F.lit("http status "), F.col("http_status")))
 
 
 def with_payload(rows: DataFrame, names: tuple[str, ...], require_success: bool = False) -> DataFrame:
@@ -84,24 +96,25 @@ def with_payload(rows: DataFrame, names: tuple[str, ...], require_success: bool
 
     ``require_success`` asks for the number 1 (or true) in ``success``.
     """
-    wanted = tuple(dict.fromkeys((*names, "success")))
-    out = rows.withColumn("payload", variant.read(F.try_parse_json("body"), variant.leaves(wanted)))
+    wanted = variant.leaves(dict.fromkeys((*names, "success")))
+    read = variant.computed_once(
+        rows, payload=F.when(delivered(), variant.read(F.try_parse_json("body"), wanted))
+    ).drop("body")
     success = F.col("payload.success")
     is_one = (variant.kind(success) != "STRING") & (variant.number(success) == 1)
-    return out.withColumn(
+    return read.withColumn(
         "error",
-        F.when(~delivered(), F.concat(F.lit("http status "), F.col("http_status")))
+        _http_error()
         .when(F.col("payload").isNull(), F.lit("unexpected response"))
         .when(F.lit(require_success) & ~F.coalesce(is_one, F.lit(False)), F.lit("no success flag")),
-    ).drop("body")
+    )
 
 
 def with_page(rows: DataFrame) -> DataFrame:
     """HTML bodies with ``error`` where the page did not arrive."""
     return rows.withColumn(
         "error",
-        F.when(~delivered(), F.concat(F.lit("http status "), F.col("http_status")))
-        .when(F.col("body").isNull(), F.lit("empty response")),
+        _http_error().when(F.col("body").isNull(), F.lit("empty response")),
     )
 
 
