@@ -95,14 +95,18 @@ def _reviews(landing: DataFrame, accepted: DataFrame, stage: Stage) -> tuple[Dat
         "review_pages",
     )
     kept = until_first_stop(pages, chain, F.col("page_no"), F.col("error").isNotNull() | reviews.chain_stop())
-    broken = kept.where(F.col("error").isNotNull()).groupBy(*chain).agg(F.max("error").alias("error"))
-    unlanded = (
+    # A chain fails as a whole: a page that was refused, or one missing below the last landed page.
+    seen = kept.groupBy(*chain).agg(
+        F.max("error").alias("error"), F.count("*").alias("pages"), F.max("page_no").alias("last_page")
+    )
+    whole = F.col("error").isNull() & (F.col("pages") == F.col("last_page") + 1)
+    failed = (
         wanted.where(F.col("wanted") > 0)
-        .join(pages.where(F.col("page_no") == 0).select(*chain), chain, "left_anti")
-        .select(*chain, F.lit("not landed").alias("error"))
+        .join(seen, chain, "left")
+        .where(~F.coalesce(whole, F.lit(False)))
+        .select(*chain, F.coalesce("error", F.lit("not landed")).alias("error"))
     )
-    failed = broken.unionByName(unlanded)
-    rows = reviews.flatten(kept.where(F.col("error").isNull()).join(broken.select(*chain), chain, "left_anti"))
+    rows = reviews.flatten(kept.join(seen.where(whole).select(*chain), chain, "left_semi"))
     picked = reviews.most_detailed(
         rows.join(wanted.select(*chain, "wanted"), chain), F.col("wanted")
     ).drop("wanted")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-GROUPS = ("details",)
+GROUPS = ("catalogue", "details", "pages", "reviews", "matching", "assembly", "incremental")
 
 
 def all_reports() -> dict:

@@ -47,7 +47,7 @@ def admission_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "click", workload.with_member(props, "success", '"1"'))
         .otherwise(workload.with_member(props, "success", "1"))
     )
-    rows = table(spark, sf_dir, "events").select(
+    rows = workload.wide(spark, sf_dir, "events").select(
         "event_type", F.when(F.col("value") < 5, 503).alias("http_status"), body.alias("body")
     )
     read = landing.with_payload(rows, ("k",), require_success=True)

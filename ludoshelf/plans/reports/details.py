@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ludoshelf.operators import assembly, details
 from ludoshelf.plans import workload
-from ludoshelf.plans.workload import details_body, landed, table
+from ludoshelf.plans.workload import details_body, landed, table, wide
 
 
 def _admitted(rows: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def release_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 8 == 6, "Coming soon")
     )
     data = F.to_json(F.struct(F.struct(raw.alias("date"), (k % 2 == 0).alias("coming_soon")).alias("release_date")))
-    dated = _bodies(table(spark, sf_dir, "orders"), "o_orderkey", data).select(
+    dated = _bodies(wide(spark, sf_dir, "orders"), "o_orderkey", data).select(
         details.release(F.col("data.release_date")).alias("r")
     )
     return dated.groupBy(
@@ -121,7 +121,7 @@ def price_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     data = F.to_json(F.struct(price.alias("price_overview")))
     priced = _bodies(
-        table(spark, sf_dir, "lineitem"), "l_orderkey", data, store_country=F.lower("l_returnflag")
+        wide(spark, sf_dir, "lineitem"), "l_orderkey", data, store_country=F.lower("l_returnflag")
     ).select("store_country", details.price(F.col("data.price_overview")).alias("price"))
     return details.price_summary(priced, "store_country")
 
@@ -145,7 +145,7 @@ def media_links(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     data = F.regexp_replace(F.to_json(F.struct(shots.alias("screenshots"))), r"\]\}\z", ',7,"x",null]}')
-    read = _bodies(table(spark, sf_dir, "pages"), "page_id", data)
+    read = _bodies(wide(spark, sf_dir, "pages"), "page_id", data)
     return details.item_rows(read, details.screenshots(F.col("data.screenshots")), "app_id").select(
         "app_id", "pos", "item.id", "item.full_url", "item.thumbnail_url"
     )
@@ -168,7 +168,7 @@ def unpivot_os(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.when(F.col("toxic") == 1, F.concat(F.lit("<p>t"), t)).alias("recommended")).alias("linux_requirements"),
         )
     )
-    read = _bodies(table(spark, sf_dir, "labels"), "doc_id", data)
+    read = _bodies(wide(spark, sf_dir, "labels"), "doc_id", data)
     return details.requirement_rows(details.with_facts(read), "app_id")
 
 
@@ -186,7 +186,7 @@ def split_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_replace(words, "ing,", "ing<strong>*</strong>,"), F.lit(", *,<br><strong>*</strong>languages with full audio support")
     )
     data = F.to_json(F.struct(listed.alias("supported_languages")))
-    read = _bodies(table(spark, sf_dir, "documents"), "doc_id", data).select(
+    read = _bodies(wide(spark, sf_dir, "documents"), "doc_id", data).select(
         "app_id", details.language_fragments(F.col("data.supported_languages")).alias("parts")
     )
     return (
@@ -260,7 +260,7 @@ def map_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = F.struct(
         (kind == "view").alias("windows"), (value > 20).alias("mac"), F.lit("yes").alias("linux"), F.lit(1).alias("deck")
     )
-    read = _bodies(table(spark, sf_dir, "events"), "user_id", F.to_json(F.struct(flags.alias("platforms"))))
+    read = _bodies(wide(spark, sf_dir, "events"), "user_id", F.to_json(F.struct(flags.alias("platforms"))))
     return (
         read.select("app_id", F.explode(details.platforms(F.col("data.platforms"))).alias("os", "supported"))
         .groupBy("app_id", "os")
@@ -284,7 +284,7 @@ def descriptor_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(12).alias("rating"), F.lit(12).alias("required_age")).alias("esrb"),
         F.lit("none").alias("dejus"),
     )
-    read = _bodies(table(spark, sf_dir, "documents"), "doc_id", F.to_json(F.struct(ratings.alias("ratings"))))
+    read = _bodies(wide(spark, sf_dir, "documents"), "doc_id", F.to_json(F.struct(ratings.alias("ratings"))))
     rows = details.item_rows(read, details.age_ratings(F.col("data.ratings")), "app_id")
     per_app = details.required_age(rows, "app_id")
     parts = F.col("item.descriptors")

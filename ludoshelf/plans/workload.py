@@ -6,10 +6,14 @@ it, with the odd values (numbers as text, blanks, wrong types) the cleaning rule
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludoshelf import schemas
+from ludoshelf.functions.dims import locale_info
+from ludoshelf.sources.landing import widen
 
 LANDING_TYPES = dict(part.split(" ") for part in schemas.LANDING.split(", "))
 # Documents per page range of the derived review pages.
@@ -20,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows become bodies to parse."""
+    return widen(table(spark, sf_dir, name))
+
+
 def landed(rows: DataFrame, kind: str | Column, **values: Column) -> DataFrame:
     """Rows in the landing schema; columns not given are null."""
     values = {"request_kind": F.lit(kind) if isinstance(kind, str) else kind, **values}
@@ -75,7 +84,7 @@ def part_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     data = with_member(data, "is_free", free)
     success = F.when(s == 50, "false").when(k % 2 == 0, "true").otherwise("1")
-    rows = table(spark, sf_dir, "part").withColumn("locale", F.explode(F.array(F.lit("de-DE"), F.lit("en-US"))))
+    rows = wide(spark, sf_dir, "part").withColumn("locale", F.explode(F.array(F.lit("de-DE"), F.lit("en-US"))))
     return landed(
         rows,
         "app_details",
@@ -168,7 +177,7 @@ def review_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "reviews",
         app_id=F.col("app_id"),
         locale=F.col("lang"),
-        steam_language=F.coalesce("lang", F.lit("all")),
+        steam_language=F.coalesce(locale_info("lang")["steam_language"], F.lit("all")),
         review_type=F.lit("all"),
         page_no=F.lit(0),
         cursor=F.lit("*"),
@@ -196,7 +205,7 @@ def store_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</tr><tr><td>Page "), p, F.lit("<td><td><span>x</span><td></table>"),
     )
     return landed(
-        table(spark, sf_dir, "pages"),
+        wide(spark, sf_dir, "pages"),
         "store_page",
         app_id=p,
         locale=F.lit("de-DE"),
@@ -220,7 +229,7 @@ def achievement_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</h5></div></div>"),
     )
     return landed(
-        table(spark, sf_dir, "pages"),
+        wide(spark, sf_dir, "pages"),
         "achievements",
         app_id=p,
         locale=F.lit("de-DE"),
@@ -253,7 +262,7 @@ def score_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</body></html>"),
     )
     return landed(
-        table(spark, sf_dir, "part"),
+        wide(spark, sf_dir, "part"),
         "score_page",
         app_id=k,
         url=F.concat(F.lit("https://scores.example/"), k),
@@ -341,3 +350,21 @@ def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         cursor=F.when(F.col("page_no") > 0, F.col("page_no").cast("string")),
         body=body,
     )
+
+
+def part_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part`` as requests for its products in two locales, three review pages."""
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("https://store.steampowered.com/app/"), "p_partkey", F.lit("/")).alias("url"),
+        F.array(F.lit("de-DE"), F.lit("en-US")).alias("languages"),
+        F.lit("KZ").alias("store_country"),
+        F.lit(4).alias("positive_review_count"),
+        F.lit(2).alias("negative_review_count"),
+        F.lit(3).alias("review_pages"),
+    )
+
+
+def all_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kind of response in one landing table."""
+    kinds = (part_details, review_pages, review_summaries, store_pages, achievement_pages, score_pages)
+    return reduce(DataFrame.unionByName, (kind(spark, sf_dir) for kind in kinds))

@@ -138,3 +138,12 @@ def to_document(record: DataFrame) -> DataFrame:
 
 def write_documents(games: DataFrame, path: str, mode: str = "overwrite") -> None:
     games.write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+
+def widen(rows: DataFrame) -> DataFrame:
+    """Spread a small, unsplittable input over the cores before CPU-heavy work on its bodies.
+
+    An input that already has about as many partitions as cores is left alone, so a large table is not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

@@ -25,6 +25,7 @@ def read_increment(
 def without_repeats(rows: DataFrame, keys: Sequence[str], event_time: str, horizon: str) -> DataFrame:
     """Each key once: repeats within the watermark are dropped and their state expires after it.
 
+    Rows older than the watermark count as late and are left out, so ``horizon`` must cover the disorder of landing.
     Watermarks need an instant, so a zone-less time is read in the session zone (UTC).
     """
     stamp = F.col(event_time).cast("timestamp")
@@ -71,10 +72,10 @@ class LatestTable:
         """Newest per key of the batch and of the touched buckets, then dynamic overwrite of those buckets."""
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         fresh = latest_by(batch, self.keys, *self.stamps).withColumn("bucket", bucket)
-        old = self.read().join(fresh.select("bucket").distinct(), "bucket", "left_semi")
+        old = batch.sparkSession.read.schema(self.schema).parquet(self.path).join(fresh.select("bucket").distinct(), "bucket", "left_semi")
         merged = latest_by(old.unionByName(fresh), self.keys, *self.stamps)
         # A table cannot be overwritten while it is read: the result is written beside it first.
-        staged = Staging(self.spark)(merged, f"merge-{batch_id}")
+        staged = Staging(batch.sparkSession)(merged, f"merge-{batch_id}")
         (
             staged.repartition("bucket")
             .write.mode("overwrite")
