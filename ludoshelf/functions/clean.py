@@ -11,10 +11,9 @@ SPACES = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE_RUN = (
-    r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-)
+_OTHER_SPACE = r"\t-\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Runs that are not already a single plain space: ordinary text is scanned but hardly rewritten.
+SPACE_RUN = rf" [ {_OTHER_SPACE}]+|[{_OTHER_SPACE}][ {_OTHER_SPACE}]*"
 # The spellings accepted as booleans.
 TRUE_WORDS = ("1", "true", "yes")
 FALSE_WORDS = ("0", "false", "no")

@@ -5,12 +5,11 @@ They hold 28, 4 and 31 rows, so they are literal maps in the plan: a lookup is a
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludoshelf.functions.clean import col, collapse, strip
+from ludoshelf.functions.variant import let
 
 # Store country used when a request names none; locale used for an empty list.
 DEFAULT_STORE_COUNTRY = "kz"
@@ -93,31 +92,41 @@ LANGUAGE_NAMES = {
 
 
 def _lookup(table: dict[str, tuple[str, str]], key: Column) -> Column:
-    pairs = chain.from_iterable(
-        (F.lit(k), F.struct(F.lit(web).alias("web_language"), F.lit(store).alias("steam_language")))
-        for k, (web, store) in table.items()
+    entries = ", ".join(
+        f"'{k}', named_struct('web_language', '{web}', 'steam_language', '{store}')" for k, (web, store) in table.items()
     )
-    return F.try_element_at(F.create_map(*pairs), key)
+    return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
 def locale_info(value: Column | str) -> Column:
     """struct<locale, web_language, steam_language> of a locale tag, null when unsupported."""
-    requested = F.replace(strip(value), F.lit("_"), F.lit("-"))
-    key = F.lower(requested)
-    hit = F.coalesce(_lookup(REGIONAL_OVERRIDES, key), _lookup(LANGUAGES, F.split_part(key, F.lit("-"), F.lit(1))))
-    return F.when(
-        hit.isNotNull(),
-        F.struct(
-            requested.alias("locale"),
-            hit["web_language"].alias("web_language"),
-            hit["steam_language"].alias("steam_language"),
-        ),
+
+    def known(requested: Column) -> Column:
+        key = F.lower(requested)
+        hit = F.coalesce(
+            _lookup(REGIONAL_OVERRIDES, key), _lookup(LANGUAGES, F.split_part(key, F.lit("-"), F.lit(1)))
+        )
+        return let(hit, lambda h: F.when(h.isNotNull(), _locale(requested, h)))
+
+    return let(F.replace(strip(value), F.lit("_"), F.lit("-")), known)
+
+
+def _locale(requested: Column, hit: Column) -> Column:
+    return F.struct(
+        requested.alias("locale"),
+        hit["web_language"].alias("web_language"),
+        hit["steam_language"].alias("steam_language"),
     )
 
 
 def language_by_name(name: Column | str) -> Column:
     """struct<web_language, steam_language> of an English language name, null when unknown."""
-    return _lookup(LANGUAGE_NAMES, F.lower(collapse(col(name))))
+    return language_by_clean_name(collapse(name))
+
+
+def language_by_clean_name(name: Column | str) -> Column:
+    """The same for a name whose white space is already collapsed."""
+    return _lookup(LANGUAGE_NAMES, F.lower(col(name)))
 
 
 def locale_dimension(spark: SparkSession) -> DataFrame:

@@ -46,7 +46,8 @@ def _to_ascii(values: pd.Series) -> pd.Series:
 
 def strip_markup(c: Column | str) -> Column:
     """Markup becomes a space; text nodes stay, entities are not decoded."""
-    return F.regexp_replace(col(c), MARKUP, " $2 ")
+    c = col(c)
+    return F.when(c.contains("<"), F.regexp_replace(c, MARKUP, " $2 ")).otherwise(c)
 
 
 def plain_text(c: Column | str) -> Column:

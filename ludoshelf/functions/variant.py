@@ -33,7 +33,8 @@ def computed_once(rows: DataFrame, **columns: Column) -> DataFrame:
     """Rows with new columns from a one-row generate.
 
     A filter on such a column stays above the generate. With a plain projection it would be pushed below and
-    would parse the body again, once per mention.
+    would parse the body again, once per mention. The same holds for the size filter that the optimizer infers
+    for every explode.
     """
     return rows.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
 

@@ -47,15 +47,10 @@ def list_pages(landed: DataFrame) -> DataFrame:
 def page_ids(pages: DataFrame) -> DataFrame:
     """(chain, page_no, app_id) of every usable id: objects with ``appid`` or bare scalars, above 0."""
     item = F.col("item")
+    own = F.coalesce(F.try_variant_get(item, "$.appid", "bigint"), variant.integer(item))
     return (
         pages.select("chain", "page_no", F.explode("apps").alias("item"))
-        .select(
-            "chain",
-            "page_no",
-            F.when(variant.kind(item).like("OBJECT%"), F.try_variant_get(item, "$.appid", "bigint"))
-            .otherwise(variant.integer(item))
-            .alias("app_id"),
-        )
+        .select("chain", "page_no", own.alias("app_id"))
         .where(F.col("app_id") > 0)
     )
 

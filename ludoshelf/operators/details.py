@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ludoshelf.functions import variant
 from ludoshelf.functions.clean import blank_to_null, collapse, http_url, strip
-from ludoshelf.functions.dims import language_by_name
+from ludoshelf.functions.dims import language_by_clean_name
 from ludoshelf.functions.text import plain_text_each, text_value
 from ludoshelf.sources.landing import with_details
 
@@ -25,6 +25,8 @@ FIELDS = (
 
 # The release date formats, tried in this order.
 DATE_FORMATS = ("MMM d, yyyy", "MMMM d, yyyy", "d MMM, yyyy", "yyyy-MM-dd")
+# The outline of a date in each format. A failed parse is costly, so a format is tried only on its outline.
+DATE_OUTLINES = (r"^\p{L}{3} ", r"^\p{L}{3,} ", r"^\d+ \p{L}{3},", r"^\d{4}-")
 
 # Operating system -> member that holds its requirements.
 REQUIREMENT_MEMBERS = {"windows": "pc_requirements", "mac": "mac_requirements", "linux": "linux_requirements"}
@@ -40,7 +42,11 @@ def release_date(raw: Column) -> Column:
     candidate = collapse(raw)
     year = blank_to_null(F.regexp_extract(candidate, r"(\d{4})", 1)).try_cast("int")
     by_year = F.when(year > 0, F.make_date(year, F.lit(1), F.lit(1)))
-    return F.coalesce(*(F.try_to_date(candidate, f) for f in DATE_FORMATS), by_year)
+    parsed = (
+        F.when(candidate.rlike(outline), F.try_to_date(candidate, f))
+        for outline, f in zip(DATE_OUTLINES, DATE_FORMATS, strict=True)
+    )
+    return F.coalesce(*parsed, by_year)
 
 
 def release(v: Column) -> Column:
@@ -50,7 +56,7 @@ def release(v: Column) -> Column:
         raw = variant.string(member["date"])
         bare = strip(raw)
         return F.struct(
-            release_date(F.when(bare != "", bare)).alias("release_date"),
+            variant.let(F.when(bare != "", bare), release_date).alias("release_date"),
             F.when(bare == "", raw).otherwise(bare).alias("release_date_raw"),
             variant.boolean(member["coming_soon"]).alias("coming_soon"),
         )
@@ -138,7 +144,7 @@ def languages(fragments: Column) -> Column:
     named = F.transform(
         pairs,
         lambda p: F.struct(
-            strip(F.regexp_replace(p["text"], r"\*+\z", "")).alias("name"),
+            F.trim(F.rtrim(p["text"], F.lit("*"))).alias("name"),
             (F.lower(p["raw"]).contains("<strong>") | strip(p["raw"]).endswith("*")).alias("full_audio"),
         ),
     )
@@ -151,7 +157,7 @@ def languages(fragments: Column) -> Column:
 
 def language_struct(name: Column, interface: Column, subtitles: Column, full_audio: Column) -> Column:
     return variant.let(
-        language_by_name(name),
+        language_by_clean_name(name),
         lambda hit: F.struct(
             name.alias("name"),
             hit["steam_language"].alias("steam_language"),
@@ -328,7 +334,8 @@ def base_pick(details: DataFrame) -> DataFrame:
 
 def item_rows(rows: DataFrame, array: Column, *keep: str) -> DataFrame:
     """Child table of a list: kept columns, 0-based position, item."""
-    return rows.select(*keep, F.posexplode(array).alias("pos", "item"))
+    built = variant.computed_once(rows, _items=array)
+    return built.select(*keep, F.posexplode("_items").alias("pos", "item"))
 
 
 def price_summary(priced: DataFrame, *keys: str) -> DataFrame:
@@ -343,6 +350,18 @@ def price_summary(priced: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def company_rows(rows: DataFrame, *keep: str) -> DataFrame:
+    """Developers and publishers as rows of company and role."""
+
+    def of(member: str, role: str) -> Column:
+        return F.transform(
+            names(F.col(f"data.{member}")), lambda n: F.struct(n.alias("company"), F.lit(role).alias("role"))
+        )
+
+    both = F.concat(of("developers", "developer"), of("publishers", "publisher"))
+    return item_rows(rows, both, *keep).select(*keep, "item.company", "item.role")
+
+
 def required_age(ratings: DataFrame, *keys: str) -> DataFrame:
     """Highest required age over all authorities."""
     return ratings.groupBy(*keys).agg(F.max("item.required_age").alias("required_age"))

@@ -152,12 +152,13 @@ def store_facts(pages: DataFrame, *keep: str) -> DataFrame:
     """(tags, language_matrix) of store pages."""
     marked = pages.select(*keep, mark_elements(*STORE_PAGE)("body").alias("marks"))
     marks = F.col("marks")
-    return marked.select(*keep, tags(marks).alias("tags"), language_matrix(marks).alias("language_matrix"))
+    facts = variant.computed_once(marked, tags=tags(marks), language_matrix=language_matrix(marks))
+    return facts.drop("marks")
 
 
 def achievement_facts(pages: DataFrame, *keep: str) -> DataFrame:
     marked = pages.select(*keep, mark_elements(*ACHIEVEMENTS)("body").alias("marks"))
-    return marked.select(*keep, achievements(F.col("marks")).alias("achievements"))
+    return variant.computed_once(marked, achievements=achievements(F.col("marks"))).drop("marks")
 
 
 def score_facts(pages: DataFrame, *keep: str) -> DataFrame:

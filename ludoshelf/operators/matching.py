@@ -140,7 +140,7 @@ def best_match(titles: DataFrame, candidates: DataFrame, key: str = "app_id") ->
     )
     order = [F.col("exact").desc(), F.col("similarity").desc(), F.col("variant_ord"), F.col("result_ord")]
     # The titles hold any number of candidates; the rank limit keeps five before anything is collected.
-    nearest = top_k(rows, [key], order, LISTED_NAMES)
+    nearest = top_k(rows, [key], order, LISTED_NAMES, salt_by=("variant_ord", "result_ord"), salts=8)
     item = F.struct("rank", *[c for c in rows.columns if c not in (key, "title")])
     return nearest.groupBy(key).agg(
         F.first("title").alias("title"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ludoshelf.functions import variant
 from ludoshelf.functions.clean import blank_to_null, col, country_code
 from ludoshelf.functions.dims import DEFAULT_LOCALE, locale_info
 from ludoshelf.operators.keyed import first_wins
@@ -28,22 +29,25 @@ def normalized_locales(languages: Column | str) -> Column:
     """
     languages = col(languages)
     asked = F.when(F.size(languages) > 0, languages).otherwise(F.array(F.lit(DEFAULT_LOCALE)))
-    infos = F.transform(asked, locale_info)
-    tags = F.transform(infos, lambda x: F.lower(x["locale"]))
-    return F.filter(infos, lambda x, i: x.isNull() | (F.array_position(tags, F.lower(x["locale"])) == i + 1))
+
+    def first_of_each(infos: Column, tags: Column) -> Column:
+        return F.filter(infos, lambda x, i: x.isNull() | (F.array_position(tags, F.lower(x["locale"])) == i + 1))
+
+    return variant.let(
+        F.transform(asked, locale_info),
+        lambda infos: variant.let(
+            F.transform(infos, lambda x: F.lower(x["locale"])), lambda tags: first_of_each(infos, tags)
+        ),
+    )
 
 
 def normalize(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected). Accepted: one row per app, the first by URL. Rejected: url and reason."""
-    rows = requests.select(
-        "url",
-        app_id_of("url").alias("app_id"),
-        normalized_locales("languages").alias("locales"),
-        F.col("store_country").alias("asked_country"),
-        country_code("store_country").alias("store_country"),
-        "positive_review_count",
-        "negative_review_count",
-        "review_pages",
+    rows = variant.computed_once(
+        requests.withColumnRenamed("store_country", "asked_country"),
+        app_id=app_id_of("url"),
+        locales=normalized_locales("languages"),
+        store_country=country_code("asked_country"),
     ).withColumn(
         "reason",
         F.when(F.col("app_id").isNull(), F.lit("unsupported url"))
@@ -52,7 +56,7 @@ def normalize(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.least("positive_review_count", "negative_review_count") < 0, F.lit("negative review count"))
         .when(F.col("review_pages") < 1, F.lit("no review pages")),
     )
-    accepted = rows.where(F.col("reason").isNull()).drop("reason", "asked_country")
+    accepted = rows.where(F.col("reason").isNull()).drop("reason", "asked_country", "languages")
     return (
         first_wins(accepted, ["app_id"], [F.col("url")]),
         rows.where(F.col("reason").isNotNull()).select("url", "reason"),

@@ -86,17 +86,48 @@ def _source_url(steam_id: Column, app_id: Column) -> Column:
     )
 
 
-def flatten(pages: DataFrame) -> DataFrame:
-    """One row per object in the pages, in API order (page_no, pos)."""
-    r = F.col("r")
-    zero = F.lit(0).cast("bigint")
+def _objects(items: Column) -> Column:
     ddl = variant.leaves(REVIEW_FIELDS)
-    objects = F.filter(
-        F.transform("items", lambda x: F.try_variant_get(x, "$", ddl)), lambda x: x.isNotNull()
+    return F.filter(F.transform(items, lambda x: F.try_variant_get(x, "$", ddl)), lambda x: x.isNotNull())
+
+
+def _picked(objects: Column, k: Column | None) -> Column:
+    """(pos, r) of the k most detailed reviews of one page, or of all. The order is that of ``most_detailed``."""
+    if k is None:
+        return F.transform(objects, lambda r, i: F.struct(i.alias("pos"), r.alias("r")))
+    last = F.lit(2**63 - 1)
+
+    def sort_key(r: Column, i: Column) -> Column:
+        created = F.nullif(variant.integer(r["timestamp_created"]), F.lit(0).cast("bigint"))
+        return F.struct(
+            (-F.length(F.btrim(variant.text(r["review"]), F.lit(SPACES)))).alias("chars"),
+            (-F.coalesce(variant.number(r["weighted_vote_score"]), F.lit(0.0))).alias("score"),
+            (-F.coalesce(variant.integer(r["votes_up"]), F.lit(0).cast("bigint"))).alias("votes"),
+            F.coalesce(-created, last).alias("created"),
+            i.alias("pos"),
+        )
+
+    filled = F.transform(
+        F.transform(objects, sort_key), lambda s: s.withField("chars", F.coalesce(s["chars"], F.lit(0)))
     )
-    keys = ("app_id", "review_type", "page_no", "pos")
-    opened = pages.select("app_id", "review_type", "page_no", F.posexplode(objects).alias("pos", "r")).select(
-        *keys, "r", _author(r["author"]).alias("author")
+    best = F.slice(F.array_sort(filled), F.lit(1), F.greatest(k, F.lit(0)))
+    return F.transform(best, lambda s: F.struct(s["pos"].alias("pos"), F.get(objects, s["pos"]).alias("r")))
+
+
+def flatten(pages: DataFrame, k: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per object in the pages, with its place in API order (page_no, pos).
+
+    With ``k`` every page is cut to its own k most detailed reviews first. The best k of a chain are among
+    them, so the result of ``most_detailed`` is the same, and only those few are read in full and shuffled.
+    """
+    r = F.col("r")
+    zero = F.lit(0).cast("bigint")
+    keys = (*keep, "app_id", "review_type", "page_no", "pos")
+    opened = variant.computed_once(pages, _objects=_objects(F.col("items")))
+    opened = (
+        variant.computed_once(opened, _picked=_picked(F.col("_objects"), k))
+        .select(*keys[:-1], F.inline("_picked"))
+        .select(*keys, "r", _author(r["author"]).alias("author"))
     )
     return opened.select(
         *keys,

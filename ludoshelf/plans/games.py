@@ -106,10 +106,9 @@ def _reviews(landing: DataFrame, accepted: DataFrame, stage: Stage) -> tuple[Dat
         .where(~F.coalesce(whole, F.lit(False)))
         .select(*chain, F.coalesce("error", F.lit("not landed")).alias("error"))
     )
-    rows = reviews.flatten(kept.join(seen.where(whole).select(*chain), chain, "left_semi"))
-    picked = reviews.most_detailed(
-        rows.join(wanted.select(*chain, "wanted"), chain), F.col("wanted")
-    ).drop("wanted")
+    good = kept.join(seen.where(whole).select(*chain), chain, "left_semi")
+    rows = reviews.flatten(good, F.col("wanted"), keep=("wanted",))
+    picked = reviews.most_detailed(rows, F.col("wanted")).drop("wanted")
     return stage(picked, "reviews"), wanted, failed
 
 

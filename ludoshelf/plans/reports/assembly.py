@@ -11,14 +11,18 @@ from ludoshelf.plans.games import Collected, collect_games
 from ludoshelf.plans.reports.pages import NAMED_ITEMS
 from ludoshelf.plans.reports.reviews import REVIEW_ROWS, VOTES
 from ludoshelf.plans.workload import table
+from ludoshelf.sources.landing import read_landing, write_landing
 from ludoshelf.sources.staging import Staging
 
 
 def _collected(spark: SparkSession, sf_dir: str) -> Collected:
+    stage = Staging(spark)
+    landed = stage.path("landing")
+    write_landing(workload.all_landing(spark, sf_dir), landed)
     _, results = workload.order_searches(spark, sf_dir)
-    candidates = results.withColumn("error", F.lit(None).cast("string"))
+    candidates = stage(results.withColumn("error", F.lit(None).cast("string")), "candidates")
     return collect_games(
-        workload.all_landing(spark, sf_dir), workload.part_requests(spark, sf_dir), candidates, stage=Staging(spark)
+        read_landing(spark, landed), workload.part_requests(spark, sf_dir), candidates, stage=stage
     )
 
 

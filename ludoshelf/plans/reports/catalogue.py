@@ -259,8 +259,8 @@ def locale_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = (
         lines.groupBy("l_orderkey")
         .agg(F.array_sort(F.collect_list("line"))["tag"].alias("languages"))
-        .select("l_orderkey", requests.normalized_locales("languages").alias("locales"))
     )
+    lists = variant.computed_once(lists, locales=requests.normalized_locales("languages"))
     good = F.filter("locales", lambda x: x.isNotNull())
     return lists.select(
         F.col("l_orderkey").alias("app_id"),

@@ -209,8 +209,8 @@ WHERE word <> '' GROUP BY 1, 2, 3
 def genre_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = _admitted(workload.part_details(spark, sf_dir))
     return (
-        read.select(F.explode(details.genres(F.col("data.genres"))).alias("genre"))
-        .groupBy("genre")
+        details.item_rows(read, details.genres(F.col("data.genres")))
+        .groupBy(F.col("item").alias("genre"))
         .agg(F.count("*").alias("n"))
     )
 
@@ -236,15 +236,7 @@ FROM part WHERE p_size <> 50
 
 def company_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = _admitted(workload.part_details(spark, sf_dir))
-    makers = read.select(
-        F.inline(
-            F.concat(
-                F.transform(details.names(F.col("data.developers")), lambda n: F.struct(n.alias("company"), F.lit("developer").alias("role"))),
-                F.transform(details.names(F.col("data.publishers")), lambda n: F.struct(n.alias("company"), F.lit("publisher").alias("role"))),
-            )
-        ),
-    )
-    return makers.groupBy("company", "role").agg(F.count("*").alias("n"))
+    return details.company_rows(read).groupBy("company", "role").agg(F.count("*").alias("n"))
 
 
 COMPANY_COUNTS = f"""
@@ -262,9 +254,9 @@ def map_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     read = _bodies(wide(spark, sf_dir, "events"), "user_id", F.to_json(F.struct(flags.alias("platforms"))))
     return (
-        read.select("app_id", F.explode(details.platforms(F.col("data.platforms"))).alias("os", "supported"))
-        .groupBy("app_id", "os")
-        .agg(F.count("*").alias("n"), F.count_if("supported").alias("yes"))
+        details.item_rows(read, F.map_entries(details.platforms(F.col("data.platforms"))), "app_id")
+        .groupBy("app_id", F.col("item.key").alias("os"))
+        .agg(F.count("*").alias("n"), F.count_if("item.value").alias("yes"))
     )
 
 

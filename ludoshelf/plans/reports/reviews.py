@@ -58,14 +58,14 @@ SELECT k.* FROM kept k LEFT JOIN stops s ON k.conv_id = s.conv_id WHERE s.stop_a
 """
 
 
-def chain_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews of the first pages of every chain, ended by its stop rule."""
+def chain_reviews(spark: SparkSession, sf_dir: str, k: Column) -> DataFrame:
+    """Reviews of the first pages of every chain, ended by its stop rule, at most the best k of a page."""
     pages = reviews.bounded_pages(_pages(spark, sf_dir), ["app_id", "review_type"], 1000, stop=reviews.chain_stop())
-    return reviews.flatten(pages)
+    return reviews.flatten(pages, k)
 
 
 def review_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = reviews.most_detailed(chain_reviews(spark, sf_dir), 4)
+    best = reviews.most_detailed(chain_reviews(spark, sf_dir, F.lit(4)), 4)
     return best.select("app_id", "review_type", "rank", "recommendation_id", F.length("text").alias("n_chars"), "votes_up")
 
 
@@ -85,7 +85,8 @@ SELECT app_id, review_type, CAST(rank AS INTEGER) AS rank, CAST(doc_id AS VARCHA
 
 def review_topk_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a count per product: its id plus one."""
-    best = reviews.most_detailed(chain_reviews(spark, sf_dir), F.col("app_id") + 1)
+    wanted = (F.col("app_id") + 1).cast("int")
+    best = reviews.most_detailed(chain_reviews(spark, sf_dir, wanted), wanted)
     return best.groupBy("app_id", "review_type").agg(
         F.count("*").alias("n"), F.max("rank").alias("last_rank"), F.sum(F.length("text")).alias("chars")
     )

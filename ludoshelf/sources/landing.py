@@ -16,10 +16,14 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_landing(landing: DataFrame, path: str, mode: str = "append") -> None:
-    """Rows of one app lie together in a file, so a scan by app id skips row groups."""
+    """Range-partitioned by kind and app, so a scan by app id skips files and row groups.
+
+    An app with very many pages is cut into several ranges by page number and locale.
+    """
+    order = ("request_kind", "app_id", "page_no", "locale")
     (
-        landing.repartition("request_kind", F.pmod(F.xxhash64("app_id", "page_no", "locale"), F.lit(64)))
-        .sortWithinPartitions("request_kind", "app_id", "page_no")
+        landing.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode(mode)
         .partitionBy("request_kind")
         .parquet(path)
@@ -97,9 +101,7 @@ def with_payload(rows: DataFrame, names: tuple[str, ...], require_success: bool
     ``require_success`` asks for the number 1 (or true) in ``success``.
     """
     wanted = variant.leaves(dict.fromkeys((*names, "success")))
-    read = variant.computed_once(
-        rows, payload=F.when(delivered(), variant.read(F.try_parse_json("body"), wanted))
-    ).drop("body")
+    read = variant.computed_once(rows, payload=variant.read(F.try_parse_json("body"), wanted)).drop("body")
     success = F.col("payload.success")
     is_one = (variant.kind(success) != "STRING") & (variant.number(success) == 1)
     return read.withColumn(

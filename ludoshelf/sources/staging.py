@@ -16,8 +16,11 @@ class Staging:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/ludoshelf/{run_id or uuid.uuid4().hex}"
 
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
+        path = self.path(name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
