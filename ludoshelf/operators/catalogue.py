@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ludoshelf.functions import variant
 from ludoshelf.operators.keyed import until_first_stop
 from ludoshelf.sources.landing import with_payload
+from ludoshelf.sources.staging import Stage, in_place
 
 # Fixed value: ids per full catalogue page.
 FULL_PAGE = 50_000
@@ -94,9 +95,14 @@ def distinct_ids(ids: DataFrame, column: str = "app_id", limit: int | None = Non
     return out if limit is None else out.limit(limit)
 
 
-def app_ids(landed: DataFrame, limit: int | None = None, page_size: int = FULL_PAGE) -> DataFrame:
-    """The catalogue: ids of all landed pages that belong to an unbroken chain."""
-    pages = audited_pages(list_pages(landed), page_size)
+def app_ids(
+    landed: DataFrame, limit: int | None = None, page_size: int = FULL_PAGE, stage: Stage = in_place
+) -> DataFrame:
+    """The catalogue: ids of all landed pages that belong to an unbroken chain.
+
+    The audit reads the parsed pages several times; ``stage`` may write them once (see ``sources.staging``).
+    """
+    pages = audited_pages(stage(list_pages(landed), "catalogue_pages"), page_size)
     return distinct_ids(page_ids(pages.where(F.col("error").isNull())), limit=limit)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -13,9 +12,7 @@ from ludoshelf.functions import variant
 from ludoshelf.operators import assembly, details, html_facts, matching, requests, reviews
 from ludoshelf.operators.keyed import latest_by, until_first_stop
 from ludoshelf.sources.landing import scan, to_document, with_page
-from ludoshelf.sources.staging import in_place
-
-Stage = Callable[[DataFrame, str], DataFrame]
+from ludoshelf.sources.staging import Stage, in_place
 
 
 class Collected(NamedTuple):
@@ -35,16 +32,11 @@ def _first_locale(accepted: DataFrame) -> DataFrame:
     return accepted.select("app_id", F.col("locales")[0]["locale"].alias("locale"), "store_country")
 
 
-def _answers(landed: DataFrame, asked: DataFrame, keys: list[str], country: bool) -> DataFrame:
-    """Landed rows that answer an asked fetch; request columns win over landed ones."""
-    extra = [c for c in asked.columns if c not in keys]
-    rows = landed.drop(*(c for c in extra if c != "store_country"))
-    if "store_country" in extra:
-        rows = rows.withColumnRenamed("store_country", "_landed_country")
-    joined = rows.join(asked, keys)
-    if country:
-        joined = joined.where(F.col("_landed_country").eqNullSafe(F.col("store_country")))
-    return joined.drop("_landed_country")
+def _details_answers(landed: DataFrame, locales: DataFrame) -> DataFrame:
+    """Landed details of the asked locales and country; columns of the request win over landed ones."""
+    rows = landed.drop("steam_language").withColumnRenamed("store_country", "_landed_country")
+    joined = rows.join(locales, ["app_id", "locale"])
+    return joined.where(F.col("_landed_country").eqNullSafe(F.col("store_country"))).drop("_landed_country")
 
 
 def _missing(asked: DataFrame, answered: DataFrame, keys: list[str]) -> DataFrame:
@@ -61,9 +53,18 @@ def _missing(asked: DataFrame, answered: DataFrame, keys: list[str]) -> DataFram
 
 
 def _page(landing: DataFrame, kind: str, first: DataFrame, country: bool) -> DataFrame:
-    return with_page(
-        latest_by(_answers(scan(landing, kind), first, ["app_id", "locale"], country), ["app_id"], "fetched_at")
-    )
+    """Newest page of the first locale and, where it counts, of the asked country.
+
+    The country is compared after the window: as a join key it would cost a second shuffle of the bodies.
+    """
+    keys = ["app_id", "locale"]
+    answers = scan(landing, kind).join(first.withColumnRenamed("store_country", "_asked_country"), keys)
+    if country:
+        newest = latest_by(answers, [*keys, "store_country"], "fetched_at")
+        newest = newest.where(F.col("store_country").eqNullSafe(F.col("_asked_country")))
+    else:
+        newest = latest_by(answers, keys, "fetched_at")
+    return with_page(newest.drop("_asked_country"))
 
 
 def _polarity(accepted: DataFrame, name: str) -> DataFrame:
@@ -80,8 +81,13 @@ def _reviews(landing: DataFrame, accepted: DataFrame, stage: Stage) -> tuple[Dat
     wanted = _polarity(accepted, "positive").unionByName(_polarity(accepted, "negative"))
     chain = ["app_id", "review_type"]
     landed = scan(landing, "reviews").where(F.col("review_type").isin(*reviews.POLARITIES))
-    asked = landed.join(wanted.where(F.col("wanted") > 0), chain).where(F.col("page_no") < F.col("review_pages"))
-    answered = reviews.landed_reviews(latest_by(asked, [*chain, "page_no"], "fetched_at"))
+    # One row per asked page: join and window share a partitioning in which the pages of one product are spread.
+    asked = wanted.where(F.col("wanted") > 0).select(
+        *chain, "wanted", F.explode(F.sequence(F.lit(0), F.col("review_pages") - 1)).alias("page_no")
+    )
+    answered = reviews.landed_reviews(
+        latest_by(landed.join(asked, [*chain, "page_no"]), [*chain, "page_no"], "fetched_at")
+    )
     pages = stage(
         answered.select(
             *chain,
@@ -157,7 +163,7 @@ def collect_games(
 
     # Details: required. Base facts from the first admitted locale, texts from all.
     answered = stage(
-        details.landed_details(_answers(scan(landing, "app_details"), locales, app_locale, country=True)),
+        details.landed_details(_details_answers(scan(landing, "app_details"), locales)),
         "details",
     )
     picked = details.base_pick(details.with_texts(answered.where(F.col("error").isNull())))
@@ -176,6 +182,7 @@ def collect_games(
         "base",
     )
     apps, failed = assembly.required(accepted, base, "app_id")
+    apps = stage(apps, "apps")
 
     # Pages of the first locale: best effort.
     first = _first_locale(apps)

@@ -12,6 +12,7 @@ from ludoshelf.operators import catalogue, keyed, requests
 from ludoshelf.plans import workload
 from ludoshelf.plans.workload import table
 from ludoshelf.sources import landing
+from ludoshelf.sources.staging import Staging
 
 
 def _values(table_: dict[str, tuple[str, str]]) -> str:
@@ -105,7 +106,7 @@ ID_CATALOGUE = "SELECT DISTINCT l_partkey AS app_id FROM lineitem WHERE l_partke
 
 
 def catalogue_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = catalogue.list_pages(workload.catalogue_pages(spark, sf_dir))
+    pages = Staging(spark)(catalogue.list_pages(workload.catalogue_pages(spark, sf_dir)), "catalogue_pages")
     return catalogue.audited_pages(pages).select(
         "chain", "page_no", F.size("apps").alias("items"), "next_key", F.coalesce("new_ids", F.lit(0)).alias("new_ids"), "stop_reason"
     )
