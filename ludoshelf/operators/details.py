@@ -318,9 +318,9 @@ def base_pick(details: DataFrame) -> DataFrame:
 
     Needs app_id, locale, locale_ord, fetched_at, localized, data. Facts are read after it, so only from the
     body that was picked. A locale landed more than once keeps its newest response. A group holds
-    one row per requested locale. Rows are hashed by app once; both groupings use that partitioning.
+    one row per requested locale; copies of a response are reduced before the shuffle.
     """
-    newest = details.repartition("app_id").groupBy("app_id", "locale").agg(
+    newest = details.groupBy("app_id", "locale").agg(
         F.max_by(
             F.struct("locale_ord", "localized", "data"),
             F.coalesce("fetched_at", F.timestamp_seconds(F.lit(0))),

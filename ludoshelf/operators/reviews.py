@@ -45,10 +45,14 @@ def review_pages(admitted: DataFrame) -> DataFrame:
 
 
 def bounded_pages(
-    pages: DataFrame, keys: list[str], limit: int | Column, page_no: str = "page_no", stop: Column | None = None
+    pages: DataFrame,
+    keys: list[str],
+    limit: int | Column | None,
+    page_no: str = "page_no",
+    stop: Column | None = None,
 ) -> DataFrame:
-    """First ``limit`` pages of every chain, cut after the first stop. A literal limit reaches the scan."""
-    window = pages.where(F.col(page_no) < limit)
+    """First ``limit`` pages (None: all) of every chain, cut after the first stop. A literal limit reaches the scan."""
+    window = pages if limit is None else pages.where(F.col(page_no) < limit)
     return window if stop is None else until_first_stop(window, keys, F.col(page_no), stop)
 
 

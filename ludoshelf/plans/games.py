@@ -55,16 +55,13 @@ def _missing(asked: DataFrame, answered: DataFrame, keys: list[str]) -> DataFram
 def _page(landing: DataFrame, kind: str, first: DataFrame, country: bool) -> DataFrame:
     """Newest page of the first locale and, where it counts, of the asked country.
 
-    The country is compared after the window: as a join key it would cost a second shuffle of the bodies.
+    Copies are cut in the map tasks, before anything is shuffled; the join then uses the window's partitioning.
     """
-    keys = ["app_id", "locale"]
-    answers = scan(landing, kind).join(first.withColumnRenamed("store_country", "_asked_country"), keys)
-    if country:
-        newest = latest_by(answers, [*keys, "store_country"], "fetched_at")
-        newest = newest.where(F.col("store_country").eqNullSafe(F.col("_asked_country")))
-    else:
-        newest = latest_by(answers, keys, "fetched_at")
-    return with_page(newest.drop("_asked_country"))
+    keys = ["app_id", "locale", "_country"] if country else ["app_id", "locale"]
+    no_country = F.coalesce("store_country", F.lit(""))
+    newest = latest_by(scan(landing, kind).withColumn("_country", no_country), keys, "fetched_at")
+    asked = first.withColumn("_country", no_country).select(*keys)
+    return with_page(newest.join(asked, keys).drop("_country"))
 
 
 def _polarity(accepted: DataFrame, name: str) -> DataFrame:
@@ -81,12 +78,13 @@ def _reviews(landing: DataFrame, accepted: DataFrame, stage: Stage) -> tuple[Dat
     wanted = _polarity(accepted, "positive").unionByName(_polarity(accepted, "negative"))
     chain = ["app_id", "review_type"]
     landed = scan(landing, "reviews").where(F.col("review_type").isin(*reviews.POLARITIES))
-    # One row per asked page: join and window share a partitioning in which the pages of one product are spread.
+    # One row per asked page: window and join share a partitioning in which the pages of one product are
+    # spread, and copies of a page are cut before it.
     asked = wanted.where(F.col("wanted") > 0).select(
         *chain, "wanted", F.explode(F.sequence(F.lit(0), F.col("review_pages") - 1)).alias("page_no")
     )
     answered = reviews.landed_reviews(
-        latest_by(landed.join(asked, [*chain, "page_no"]), [*chain, "page_no"], "fetched_at")
+        latest_by(landed, [*chain, "page_no"], "fetched_at").join(asked, [*chain, "page_no"])
     )
     pages = stage(
         answered.select(
@@ -195,10 +193,8 @@ def collect_games(
     summaries = stage(
         reviews.landed_reviews(
             latest_by(
-                scan(landing, "reviews", review_type="all").join(apps.select("app_id"), "app_id", "left_semi"),
-                ["app_id", "steam_language"],
-                "fetched_at",
-            )
+                scan(landing, "reviews", review_type="all"), ["app_id", "steam_language"], "fetched_at"
+            ).join(apps.select("app_id"), "app_id", "left_semi")
         ),
         "summaries",
     )

@@ -254,12 +254,14 @@ FIRST_WINS = "SELECT MIN(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang FROM d
 
 def locale_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = F.array(*(F.lit(t) for t in ("en-US", "de", "EN_us", "pt-BR", "DE", "xx", "ru-RU")))
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", F.get(tags, F.col("l_suppkey") % 7).alias("tag")).alias("line")
+    # Equal tags of one order are reduced to their first place, so a list holds seven tags at most.
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey", F.get(tags, F.col("l_suppkey") % 7).alias("tag"))
+        .agg(F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey")).alias("place"))
     )
-    lists = (
-        lines.groupBy("l_orderkey")
-        .agg(F.array_sort(F.collect_list("line"))["tag"].alias("languages"))
+    lists = lines.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("place", "tag")))["tag"].alias("languages")
     )
     lists = variant.computed_once(lists, locales=requests.normalized_locales("languages"))
     good = F.filter("locales", lambda x: x.isNotNull())

@@ -59,8 +59,8 @@ SELECT k.* FROM kept k LEFT JOIN stops s ON k.conv_id = s.conv_id WHERE s.stop_a
 
 
 def chain_reviews(spark: SparkSession, sf_dir: str, k: Column) -> DataFrame:
-    """Reviews of the first pages of every chain, ended by its stop rule, at most the best k of a page."""
-    pages = reviews.bounded_pages(_pages(spark, sf_dir), ["app_id", "review_type"], 1000, stop=reviews.chain_stop())
+    """Reviews of every chain up to its stop, at most the best k of a page."""
+    pages = reviews.bounded_pages(_pages(spark, sf_dir), ["app_id", "review_type"], None, stop=reviews.chain_stop())
     return reviews.flatten(pages, k)
 
 
@@ -71,7 +71,7 @@ def review_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # A chain of every fifth app repeats its cursor on page 3, where it has that page, and ends there.
 CHAIN_ROWS = f"""
-SELECT * FROM (SELECT *, bool_or(page_no = 3) OVER (PARTITION BY app_id, review_type) AS has_third FROM ({REVIEW_ROWS}) WHERE page_no < 1000)
+SELECT * FROM (SELECT *, bool_or(page_no = 3) OVER (PARTITION BY app_id, review_type) AS has_third FROM ({REVIEW_ROWS}))
 WHERE app_id % 5 <> 0 OR page_no <= 3 OR NOT has_third
 """
 REVIEW_TOPK = f"""
