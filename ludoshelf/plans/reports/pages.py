@@ -16,12 +16,13 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("page_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
-# Text nodes of a page: script and style contents stay text, other markup becomes a space.
+# Text nodes of a page: script and style contents stay text, other markup becomes a space. The pages name four
+# entities; &amp may stand without its semicolon.
 PAGE_TEXT = r"""
 SELECT page_id, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS text_md5 FROM (
-  SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(
+  SELECT page_id, trim(regexp_replace(regexp_replace(replace(replace(replace(
     regexp_replace(html, '(?is)<!--.*?-->|<script[^>]*>(.*?)</script>|<style[^>]*>(.*?)</style>|</?[a-z][^>]*>|<![^>]*>', ' \1\2 ', 'g'),
-    '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM pages)
+    '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS t FROM pages)
 """
 
 ITEMS = r"""
@@ -30,7 +31,7 @@ SELECT page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</
        generate_subscripts(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1), 1) AS pos FROM pages
 """
 NAMED_ITEMS = rf"""
-SELECT page_id, href, pos, trim(replace(replace(replace(replace(raw, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')) AS name FROM ({ITEMS})
+SELECT page_id, href, pos, trim(regexp_replace(replace(replace(replace(raw, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g')) AS name FROM ({ITEMS})
 """
 
 
