@@ -11,11 +11,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.secrets import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.token_counts import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ludoshelf.llm.mixing import mix
 
     return mix(table(spark, sf_dir, "documents")).documents
 
 
-QUERIES = {"op5_mixing": op5_mixing}
+QUERIES = {
+    "op1_secrets": op1_secrets,
+    "op4_token_counts": op4_token_counts,
+    "op5_mixing": op5_mixing,
+}
 ORACLE_SQL: dict[str, str] = {}
