@@ -20,7 +20,7 @@ from ludoshelf.llm.common import running_total, sizes, stage
 from ludoshelf.sources.staging import Staging
 
 #: Rows of a chunk of a source, about; only the grouping of the running totals depends on it.
-CHUNK_ROWS = 50_000
+CHUNK_ROWS = 10_000
 #: More sources than this raise an error: their targets are held by every task.
 MAX_SOURCES = 100_000
 SLOT_BATCH = 65_536
@@ -124,7 +124,8 @@ def mix(
     begin = F.greatest("at", F.col("block") * block_words)
     end = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block_words)
     pieces = pieces.withColumn("words", end - begin)
-    times = slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
+    # The planner has no true size of the slots, so it must not choose to broadcast them.
+    times = slots.groupBy("source_no", "block").agg(F.count("*").alias("times")).hint("merge")
     taken = (
         pieces.join(times, ["source_no", "block"], "left")
         .groupBy("source_no", "at", "doc_id", "size", "source_size", "target")
