@@ -29,9 +29,16 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).documents
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
+    "op9_simhash": op9_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
