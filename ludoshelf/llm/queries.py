@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ludoshelf.llm import line_dedup
+
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +37,24 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.url_filter import judge
+
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.line_dedup import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_url_filter": op2_url_filter,
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
+    "op6_line_dedup": op6_line_dedup,
     "op9_simhash": op9_simhash,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op6_line_dedup": line_dedup.SQL}
