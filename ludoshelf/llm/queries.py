@@ -31,6 +31,13 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).documents
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.decontaminate import contaminations
+
+    found = contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("k1", "k2")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ludoshelf.llm.simhash import near_duplicates
 
@@ -55,6 +62,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_decontaminate": op7_decontaminate,
     "op9_simhash": op9_simhash,
 }
 ORACLE_SQL = {"op6_line_dedup": line_dedup.SQL}
