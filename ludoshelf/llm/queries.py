@@ -19,6 +19,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.quality import assess
+
+    return assess(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ludoshelf.llm.token_counts import count_tokens
 
@@ -59,6 +65,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_url_filter": op2_url_filter,
+    "op3_quality": op3_quality,
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
