@@ -44,6 +44,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("k1", "k2")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.pii import find
+
+    return find(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ludoshelf.llm.simhash import near_duplicates
 
@@ -70,6 +76,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontaminate": op7_decontaminate,
+    "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
 }
 ORACLE_SQL = {"op6_line_dedup": line_dedup.SQL}
