@@ -133,8 +133,10 @@ def link_components(prints: DataFrame, staged: Staging, radius: int = RADIUS) ->
 
     named = near.join(first.withColumnsRenamed({"node": "print"}), "print", "left").select("key", "print", F.coalesce("root", "print").alias("root"))
     named = staged(named, "golay_named")
-    mixed = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
-    named = staged(named.join(mixed.hint("merge"), "key", "left_semi"), "golay_mixed")
+    # The least member of a key has been held against all others; a key of two is done.
+    mixed = named.groupBy("key").agg(F.min("print").alias("head"), F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    mixed = mixed.where("n > 2 and lo != hi").select("key", "head").hint("merge")
+    named = staged(named.join(mixed, "key").where("print != head").drop("head"), "golay_mixed")
     other = named.withColumnsRenamed({"print": "print2", "root": "root2"})
     across = named.hint("merge").join(other, "key").where(f"root < root2 and bit_count(print ^ print2) <= {radius}")
     second = components(across.select(F.col("root").alias("a"), F.col("root2").alias("b")).distinct(), staged, "golay_across")
