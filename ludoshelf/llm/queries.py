@@ -68,6 +68,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.lm import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_url_filter": op2_url_filter,
@@ -78,5 +84,6 @@ QUERIES = {
     "op7_decontaminate": op7_decontaminate,
     "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
+    "op10_lm_scores": op10_lm_scores,
 }
 ORACLE_SQL = {"op6_line_dedup": line_dedup.SQL}
