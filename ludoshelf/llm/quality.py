@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludoshelf.llm.common import map_rows, stage
+from ludoshelf.llm.line_dedup import same_row, text_key
 from ludoshelf.sources.staging import Staging
 
 LEAST_WORDS = 50
@@ -164,15 +165,33 @@ def assess(docs: DataFrame, tail: float = TAIL, staged: Staging | None = None) -
     exact copies count once in the estimates, so a large group of copies cannot pass for the normal case. Other columns are ignored.
     """
     staged = staged or stage(docs.sparkSession)
-    schema = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
-    narrow = docs.selectExpr("cast(doc_id as long) doc_id", "cast(lang as string) lang", "cast(source as string) source", "cast(text as string) text")
-    counted = map_rows(narrow, lambda: lambda doc_id, lang, source, text: (doc_id, lang, source, *statistics(text)), schema)
+    judged = _judge(docs, tail, staged)
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    return judged.select(*columns, "kept", "distance2")
+
+
+def keep(docs: DataFrame, tail: float = TAIL, staged: Staging | None = None) -> DataFrame:
+    """The rows of ``docs``, as they are, that are kept."""
+    judged = _judge(docs, tail, staged or stage(docs.sparkSession)).where("kept").select("doc_id", "k1", "k2", "grp").distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text").cast("string")), _group().alias("grp"))
+    same = same_row("d", "j") & F.expr("d.grp = j.grp")
+    return rows.alias("d").join(judged.alias("j"), same, "left_semi").select("row.*")
+
+
+def _group() -> Column:
+    return F.to_json(F.struct(F.col("lang").cast("string"), F.col("source").cast("string")), {"ignoreNullFields": "false"})
+
+
+def _judge(docs: DataFrame, tail: float, staged: Staging) -> DataFrame:
+    """The statistics of every row with its key (doc_id, k1, k2, grp), distance2 and kept."""
+    schema = "doc_id long, k1 long, k2 long, grp string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+    text = F.col("text").cast("string")
+    narrow = docs.select(F.col("doc_id").cast("long"), *text_key(text), _group(), text)
+    counted = map_rows(narrow, lambda: lambda doc_id, k1, k2, grp, text: (doc_id, k1, k2, grp, *statistics(text)), schema)
     failed = F.expr(f"n_words < {LEAST_WORDS} or 100 * n_repeat_words > {MOST_REPEATED} * n_words")
-    group = F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"})
     x = F.when(~failed, F.array(*[F.expr(f).cast("double") for f, _ in FEATURES]))
-    counted = staged(counted.withColumns({"base_failed": failed, "grp": group, "x": x}), "quality_statistics")
+    counted = staged(counted.withColumns({"base_failed": failed, "x": x}), "quality_statistics")
     model = estimates(counted.where("x is not null").select("grp", "x"), staged)
     judged = counted.join(model, "grp", "left").withColumn("distance2", _distance())
     fits = F.coalesce(F.col("distance2") <= chi2_quantile(1 - tail, D), F.lit(True))
-    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    return judged.select(*columns, (~F.col("base_failed") & fits).alias("kept"), "distance2")
+    return judged.withColumn("kept", ~F.col("base_failed") & fits)

@@ -9,16 +9,19 @@ index and one of the other's near indices. Keys are joined and the Hamming dista
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludoshelf.llm.common import ROWS_AT_ONCE, components, stage
+from ludoshelf.llm.line_dedup import same_row, text_key
 from ludoshelf.sources.staging import Staging
 
 RADIUS = 4
@@ -33,18 +36,27 @@ def fingerprint(text: str | None, words: int) -> int:
 
     Fewer words than a shingle make one shingle, no word gives 0. Repeated shingles count each time.
     """
-    split = (text or "").encode("utf-8", "replace").lower().split()
-    if not split:
-        return 0
-    n = max(1, len(split) - words + 1)
-    ones = np.zeros(64, np.int64)
-    digest = partial(xxhash.xxh64_intdigest, seed=SEED)
-    for at in range(0, n, HASHES_AT_ONCE):
-        part = split[at : at + HASHES_AT_ONCE + words - 1] if n > 1 else split
-        shingles = map(b" ".join, zip(*(part[k:] for k in range(words)), strict=False)) if n > 1 else [b" ".join(part)]
-        hashes = np.fromiter(map(digest, shingles), np.uint64).astype(">u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n).view(">i8")[0])
+    return int(_majority(_shingles(words_of(text), words), partial(xxhash.xxh64_digest, seed=SEED), 1)[0])
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "replace").lower().split()
+
+
+def _shingles(split: list[bytes], words: int) -> Iterator[bytes]:
+    if len(split) <= words:
+        return iter([b" ".join(split)] if split else [])
+    return map(b" ".join, zip(*(split[k:] for k in range(words)), strict=False))
+
+
+def _majority(features: Iterable[bytes], digest: Callable[[bytes], bytes], longs: int) -> np.ndarray:
+    """The bits that over half the digests (of 8 * ``longs`` bytes) have set, as signed longs; zeros for no feature."""
+    ones, n, features = np.zeros(64 * longs, np.int64), 0, iter(features)
+    while part := list(islice(features, HASHES_AT_ONCE)):
+        raw = np.frombuffer(b"".join(map(digest, part)), np.uint8).reshape(len(part), -1)
+        ones += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
+        n += len(part)
+    return np.packbits(2 * ones > n).view(">i8")
 
 
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
@@ -117,29 +129,34 @@ def key_rows(prints: DataFrame) -> DataFrame:
     return prints.select("print").mapInArrow(run, "key int, print long")
 
 
-def link_components(prints: DataFrame, staged: Staging, radius: int = RADIUS) -> DataFrame:
-    """``print`` and ``root`` for the distinct fingerprints that have links.
+def link_components(near: DataFrame, linked: Callable[[str, str], str], staged: Staging) -> DataFrame:
+    """``print`` and ``root`` for those rows of ``near`` that have links. ``near`` has ``key``, ``print`` and the columns that
+    ``linked`` reads; ``linked(a, b)`` is the condition of a link between two rows by the prefixes of their columns.
 
     First every member of a key is held against the least one of the key: links of a star, one row a member. Only
     then, in keys that still hold several components, members of different components are held against each
     other, and what leaves the join are pairs of components. A crowded group is thereby one component before any pairs are made.
     """
-    if not 0 <= radius <= RADIUS:
-        raise ValueError(f"the keys guarantee a radius of at most {RADIUS}")
-    near = staged(key_rows(prints), "golay_keys")
-    heads = near.groupBy("key").agg(F.min("print").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n").hint("merge")
-    star = near.join(heads, "key").where(f"head != print and bit_count(head ^ print) <= {radius}")
-    first = components(star.select(F.col("head").alias("a"), F.col("print").alias("b")).distinct(), staged, "golay_star")
+    near = staged(near, "golay_keys")
+    proof = [c for c in near.columns if c not in ("key", "print")]
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.withColumnsRenamed({c: f"{name}_{c}" for c in rows.columns if c != "key"})
 
-    named = near.join(first.withColumnsRenamed({"node": "print"}), "print", "left").select("key", "print", F.coalesce("root", "print").alias("root"))
+    least = F.min(F.struct("print", *proof)) if proof else F.min("print")
+    heads = near.groupBy("key").agg(least.alias("least"), F.count("*").alias("n")).where("n > 1")
+    heads = side(heads.select("key", "least.*") if proof else heads.select("key", F.col("least").alias("print")), "h").hint("merge")
+    star = side(near, "m").join(heads, "key").where(f"h_print != m_print and {linked('h', 'm')}")
+    first = components(star.select(F.col("h_print").alias("a"), F.col("m_print").alias("b")).distinct(), staged, "golay_star")
+
+    named = near.join(first.withColumnsRenamed({"node": "print"}), "print", "left").select(*near.columns, F.coalesce("root", "print").alias("root"))
     named = staged(named, "golay_named")
     # The least member of a key has been held against all others; a key of two is done.
     mixed = named.groupBy("key").agg(F.min("print").alias("head"), F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     mixed = mixed.where("n > 2 and lo != hi").select("key", "head").hint("merge")
     named = staged(named.join(mixed, "key").where("print != head").drop("head"), "golay_mixed")
-    other = named.withColumnsRenamed({"print": "print2", "root": "root2"})
-    across = named.hint("merge").join(other, "key").where(f"root < root2 and bit_count(print ^ print2) <= {radius}")
-    second = components(across.select(F.col("root").alias("a"), F.col("root2").alias("b")).distinct(), staged, "golay_across")
+    across = side(named, "a").hint("merge").join(side(named, "b"), "key").where(f"a_root < b_root and {linked('a', 'b')}")
+    second = components(across.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), staged, "golay_across")
 
     again = second.select(F.col("node").alias("root"), F.col("root").alias("final"))
     through = first.join(again, "root", "left").select(F.col("node").alias("print"), F.coalesce("final", "root").alias("root"))
@@ -157,10 +174,86 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = RADIUS, stage
     staged = staged or stage(docs.sparkSession)
     printed = staged(fingerprints(docs, words), "simhash")
     distinct = staged(printed.groupBy("print").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash_distinct")
-    linked = link_components(distinct, staged, radius)
+    if not 0 <= radius <= RADIUS:
+        raise ValueError(f"the keys guarantee a radius of at most {RADIUS}")
+    linked = link_components(key_rows(distinct), lambda a, b: f"bit_count({a}_print ^ {b}_print) <= {radius}", staged)
     rooted = distinct.join(linked, "print", "left").withColumn("root", F.coalesce("root", "print"))
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("n_component")).hint("merge")
     named = staged(rooted.join(groups, "root").select("print", "component_id", "n_component"), "simhash_groups")
     return printed.join(named, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", "n_component"
     )
+
+
+#: A looser search for whole-text similarity. Candidates come from prints over the set of words, which a changed word moves least;
+#: they are verified on wide prints over word shingles. Angle / pi is arccos(2s / (1 + s)) / pi = 0.152 of the bits at a
+#: similarity of 0.8; one standard deviation of the estimate is 0.022.
+WORD_PRINTS = 3
+WIDE_LONGS = 4
+SIMILAR = 0.8
+WIDE = [f"w{k}" for k in range(WIDE_LONGS)]
+
+
+def _digest(feature: bytes, first_seed: int) -> bytes:
+    return b"".join(xxhash.xxh3_128_digest(feature, seed=first_seed + k) for k in range(2))
+
+
+def text_prints(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, k1, k2 (the row's key), w0.. (a wide print over shingles) and q (prints over the set of words)."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                wide, narrow = [], []
+                for text in part.column(3).to_pylist():
+                    split = words_of(text)
+                    wide.append(_majority(_shingles(split, words), partial(_digest, first_seed=SEED), WIDE_LONGS).astype(np.int64))
+                    narrow.append(_majority(set(split), partial(_digest, first_seed=SEED + 2), WIDE_LONGS).astype(np.int64)[:WORD_PRINTS])
+                columns = [pa.array(c) for c in np.stack(wide).T]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns, pa.array(list(narrow), pa.list_(pa.int64()))], names=["doc_id", "k1", "k2", *WIDE, "q"])
+
+    text = F.col("text").cast("string")
+    kinds = ", ".join(f"{w} long" for w in WIDE)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(text), text).mapInArrow(run, f"doc_id long, k1 long, k2 long, {kinds}, q array<long>")
+
+
+def _word_keys(classes: DataFrame) -> DataFrame:
+    """Golay keys of every word print of a class, with what a link is verified on."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                prints = np.array(part.column(part.num_columns - 1).to_pylist(), np.int64).reshape(-1, WORD_PRINTS)
+                for number in range(WORD_PRINTS):
+                    of, key = keys(np.ascontiguousarray(prints[:, number]))
+                    rows = pa.array(of)
+                    columns = [part.column(k).take(rows) for k in range(1 + WIDE_LONGS)]
+                    yield pa.RecordBatch.from_arrays([pa.array((key + number * (3 << 24)).astype(np.int32)), *columns, pa.array(prints[of, number])], names=["key", "print", *WIDE, "q"])
+
+    kinds = ", ".join(f"{w} long" for w in WIDE)
+    return classes.select("print", *WIDE, "q").mapInArrow(run, f"key int, print string, {kinds}, q long")
+
+
+def representatives(docs: DataFrame, words: int = 5, similarity: float = SIMILAR, staged: Staging | None = None) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any other columns), as they are, that are first of their group of near-duplicates.
+
+    Texts are linked if a print over their words is near (Golay keys) and their wide prints over shingles of ``words`` words
+    are as near as texts of ``similarity`` are. The least (doc_id, text key) of a group stays, one row of it; a null doc_id is least. Null,
+    empty and blank texts are one group.
+    """
+    staged = staged or stage(docs.sparkSession)
+    most = round(64 * WIDE_LONGS * (math.acos(2 * similarity / (1 + similarity)) / math.pi + 0.02))
+    node = F.concat_ws("", *[F.lpad(F.hex(w), 16, "0") for w in WIDE]).alias("print")
+    printed = staged(text_prints(docs, words).select("doc_id", "k1", "k2", node, *WIDE, "q"), "text_prints")
+    classes = printed.groupBy("print", *WIDE).agg(F.min("q").alias("q"))
+    apart = " + ".join(f"bit_count({{0}}_{w} ^ {{1}}_{w})" for w in WIDE)
+    near = lambda a, b: f"bit_count({a}_q ^ {b}_q) <= {RADIUS} and {apart.format(a, b)} <= {most}"
+    linked = link_components(_word_keys(classes), near, staged)
+    rooted = printed.select("doc_id", "k1", "k2", "print").join(linked, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first")).select("first.*")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text").cast("string")))
+    kept = rows.alias("d").join(first.alias("f"), same_row("d", "f")).select("row", "d.doc_id", "d.k1", "d.k2")
+    copies = Window.partitionBy("doc_id", "k1", "k2").orderBy(F.xxhash64("row"))
+    return kept.withColumn("copy", F.row_number().over(copies)).where("copy = 1").select("row.*")
