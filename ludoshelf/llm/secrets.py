@@ -54,9 +54,11 @@ def word_ranks(path: str = WORDS_PATH) -> dict[str, int]:
     return {w: rank for rank, w in reversed(list(enumerate([*COMMON, *words], 1)))}
 
 
+AT = {c: (x + y / 2, y) for y, row in enumerate(ROWS) for x, c in enumerate(row)}
+
+
 def _neighbours() -> dict[str, set[str]]:
-    at = {c: (x + y / 2, y) for y, row in enumerate(ROWS) for x, c in enumerate(row)}
-    near = {a: {b for b, q in at.items() if a != b and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1} for a, p in at.items()}
+    near = {a: {b for b, q in AT.items() if a != b and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1} for a, p in AT.items()}
     for row in ("abcdefghijklmnopqrstuvwxyz", "0123456789"):
         for a, b in zip(row, row[1:], strict=False):
             near[a].add(b)
@@ -67,6 +69,13 @@ def _neighbours() -> dict[str, set[str]]:
 NEAR = _neighbours()
 
 
+def _direction(a: str, b: str) -> tuple[float, float]:
+    step = ord(b) - ord(a)
+    if abs(step) == 1:
+        return step, 0
+    return AT[b][0] - AT[a][0], AT[b][1] - AT[a][1]
+
+
 def _alphabet(c: str) -> float:
     return math.log10(10 if c.isdigit() else 26 if c.isascii() and c.isalpha() else 33 if c.isascii() else 100)
 
@@ -112,7 +121,7 @@ def guess_cost(value: str, ranks: dict[str, int], longest: int | None = None) ->
         while j < n and plain[j] in NEAR.get(plain[j - 1], ()):
             j += 1
         if j - i >= 3:
-            turns = sum(ord(plain[k]) - ord(plain[k - 1]) != ord(plain[k - 1]) - ord(plain[k - 2]) for k in range(i + 2, j))
+            turns = sum(_direction(plain[k - 1], plain[k]) != _direction(plain[k - 2], plain[k - 1]) for k in range(i + 2, j))
             spans[i].append((j, math.log10(47 * (j - i)) + (1 + turns) * math.log10(4.6) + _cases(value[i:j])))
         i = max(j - 1, i + 1)
     for unit in range(1, min(UNIT, n // 2) + 1):  # repeats
