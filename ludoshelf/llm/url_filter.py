@@ -47,7 +47,8 @@ def spelling(url: Column) -> Column:
     path = F.regexp_replace(path_of(url), "/+$", "")
     query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1)
     query = F.array_join(F.filter(F.split(query, "&"), lambda x: (x != "") & ~x.rlike(r"^(?:utm_\w+|ref|fbclid|gclid)(?:=|$)")), "&")
-    return F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
+    whole = F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
+    return F.replace(whole, F.lit("://"), F.lit(":%2F/"))  # a spelling never looks like an address
 
 
 def targets(url: Column, html: Column) -> Column:
