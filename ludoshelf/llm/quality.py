@@ -40,6 +40,7 @@ SUBSET = 0.75  # share of a group's vectors that the estimate rests on
 TAIL = 1e-9  # share of a normal group's documents beyond the cut-off
 PRIOR = 50.0  # weight, in vectors, of the estimate over all groups in a group's own
 STEPS = 8
+SALTS = 32  # parts of a group in joins: a language and source may hold a third of all rows
 
 
 def statistics(text: str | None) -> tuple[int, int, int, int, int, int]:
@@ -115,11 +116,18 @@ def _moments(rows: DataFrame, *keys: str) -> DataFrame:
     return out.select(*keys, "n", F.array(*[f"m{i}" for i in range(D)]).alias("mu"), F.array(*[f"c{i}{j}" for i, j in TRIANGLE]).alias("cov"))
 
 
+def _beside(vectors: DataFrame, of_groups: DataFrame, *keys: str) -> DataFrame:
+    """Vectors with a row of their group; that row is there once per salt, so a large group's vectors spread over tasks."""
+    salted = of_groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return vectors.join(salted, ["grp", "salt", *keys])
+
+
 def estimates(vectors: DataFrame, staged: Staging, steps: int = STEPS) -> DataFrame:
     """``mu`` and ``p`` per ``grp`` for ``vectors`` (grp, x), each distinct vector of a group counting once."""
     vectors = staged(vectors.groupBy("grp", *[F.col("x")[i].alias(f"x{i}") for i in range(D)]).agg(F.lit(1)).select("grp", F.array(*[f"x{i}" for i in range(D)]).alias("x")), "quality_vectors")
+    vectors = vectors.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(SALTS)).cast("int"))
     middle = vectors.groupBy("grp").agg(F.array(*[F.percentile_approx(F.col("x")[i], 0.5, 1000) for i in range(D)]).alias("mu"))
-    away = vectors.join(middle, "grp")
+    away = _beside(vectors, middle)
     spread = away.groupBy("grp", "mu").agg(*[F.percentile_approx(F.abs(F.col("x")[i] - F.col("mu")[i]), 0.5, 1000).alias(f"s{i}") for i in range(D)])
     spread = spread.select("grp", "mu", F.array(*[F.greatest(F.col(f"s{i}") * 1.4826, F.lit(s)) for i, (_, s) in enumerate(FEATURES)]).alias("s"))
     spread = staged(spread, "quality_spread")
@@ -127,7 +135,7 @@ def estimates(vectors: DataFrame, staged: Staging, steps: int = STEPS) -> DataFr
     plain = F.array(*[F.col("s")[i] ** 2 if i == j else F.lit(0.0) for i, j in TRIANGLE])
     z = F.zip_with(F.zip_with("x", "mu", lambda a, b: a - b), "s", lambda a, b: a / b)
     length = F.sqrt(F.aggregate("z", F.lit(1e-12), lambda a, v: a + v * v))
-    signs = vectors.join(spread, "grp").withColumn("z", z).withColumn("z", F.transform("z", lambda v: v / length))
+    signs = _beside(vectors, spread).withColumn("z", z).withColumn("z", F.transform("z", lambda v: v / length))
     turned = signs.groupBy("grp", "mu", "s").agg(*[F.avg(F.col("z")[i] * F.col("z")[j]).alias(f"c{i}{j}") for i, j in TRIANGLE])
     turned = turned.select("grp", "mu", F.array(*[F.col(f"c{i}{j}") * D * F.col("s")[i] * F.col("s")[j] for i, j in TRIANGLE]).alias("cov"))
     starts = spread.select("grp", F.lit(0).alias("start"), "mu", plain.alias("cov")).unionByName(turned.select("grp", F.lit(1).alias("start"), "mu", "cov"))
@@ -135,9 +143,9 @@ def estimates(vectors: DataFrame, staged: Staging, steps: int = STEPS) -> DataFr
     before = math.inf
     for step in range(steps):
         # The planner may broadcast the estimates where their written size is below its limit.
-        far = vectors.join(now.select("grp", "start", "mu", "p"), "grp").select("grp", "start", "x", _distance().alias("d2"))
+        far = _beside(vectors, now.select("grp", "start", "mu", "p")).select("grp", "salt", "start", "x", _distance().alias("d2"))
         most = far.groupBy("grp", "start").agg(F.percentile_approx("d2", SUBSET, 1000).alias("most"))
-        near = far.join(most, ["grp", "start"]).where("d2 <= most")
+        near = _beside(far, most, "start").where("d2 <= most")
         now = staged(_precision(_moments(near, "grp", "start"), CONSISTENCY), f"quality_step_{step}")
         total = now.agg(F.sum("logdet")).first()[0] or 0.0
         if abs(before - total) < 1e-3 * now.count():
