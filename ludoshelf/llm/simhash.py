@@ -129,38 +129,46 @@ def key_rows(prints: DataFrame) -> DataFrame:
     return prints.select("print").mapInArrow(run, "key int, print long")
 
 
-def link_components(near: DataFrame, linked: Callable[[str, str], str], staged: Staging) -> DataFrame:
-    """``print`` and ``root`` for those rows of ``near`` that have links. ``near`` has ``key``, ``print`` and the columns that
-    ``linked`` reads; ``linked(a, b)`` is the condition of a link between two rows by the prefixes of their columns.
+def link_components(near: DataFrame, staged: Staging, radius: int = RADIUS, proof: DataFrame | None = None, proved: Callable[[str, str], str] | None = None) -> DataFrame:
+    """``node`` and ``root`` for those nodes of ``near`` (key, node, print) that have links: prints at most ``radius`` bits apart.
+
+    With ``proof`` (a row per node) a link must also meet ``proved(a, b)``, a condition on its columns by their prefixes. The
+    wide columns of the proof are joined to pairs and to crowded keys only.
 
     First every member of a key is held against the least one of the key: links of a star, one row a member. Only
     then, in keys that still hold several components, members of different components are held against each
     other, and what leaves the join are pairs of components. A crowded group is thereby one component before any pairs are made.
     """
+    if not 0 <= radius <= RADIUS:
+        raise ValueError(f"the keys guarantee a radius of at most {RADIUS}")
     near = staged(near, "golay_keys")
-    proof = [c for c in near.columns if c not in ("key", "print")]
 
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.withColumnsRenamed({c: f"{name}_{c}" for c in rows.columns if c != "key"})
+    def side(rows: DataFrame, name: str, *but: str) -> DataFrame:
+        return rows.withColumnsRenamed({c: f"{name}_{c}" for c in rows.columns if c not in but})
 
-    least = F.min(F.struct("print", *proof)) if proof else F.min("print")
-    heads = near.groupBy("key").agg(least.alias("least"), F.count("*").alias("n")).where("n > 1")
-    heads = side(heads.select("key", "least.*") if proof else heads.select("key", F.col("least").alias("print")), "h").hint("merge")
-    star = side(near, "m").join(heads, "key").where(f"h_print != m_print and {linked('h', 'm')}")
-    first = components(star.select(F.col("h_print").alias("a"), F.col("m_print").alias("b")).distinct(), staged, "golay_star")
+    heads = near.groupBy("key").agg(F.min("node").alias("h_node"), F.min_by("print", "node").alias("h_print"), F.count("*").alias("n"))
+    heads = heads.where("n > 1").drop("n").hint("merge")
+    star = near.join(heads, "key").where(f"h_node != node and bit_count(h_print ^ print) <= {radius}")
+    star = star.select(F.col("h_node").alias("a"), F.col("node").alias("b")).distinct()
+    if proof is not None:
+        star = star.join(side(proof, "a", "node").withColumnRenamed("node", "a"), "a").join(side(proof, "b", "node").withColumnRenamed("node", "b"), "b")
+        star = star.where(proved("a", "b")).select("a", "b")
+    first = components(star, staged, "golay_star")
 
-    named = near.join(first.withColumnsRenamed({"node": "print"}), "print", "left").select(*near.columns, F.coalesce("root", "print").alias("root"))
+    named = near.join(first, "node", "left").select(*near.columns, F.coalesce("root", "node").alias("root"))
     named = staged(named, "golay_named")
     # The least member of a key has been held against all others; a key of two is done.
-    mixed = named.groupBy("key").agg(F.min("print").alias("head"), F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    mixed = named.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     mixed = mixed.where("n > 2 and lo != hi").select("key", "head").hint("merge")
-    named = staged(named.join(mixed, "key").where("print != head").drop("head"), "golay_mixed")
-    across = side(named, "a").hint("merge").join(side(named, "b"), "key").where(f"a_root < b_root and {linked('a', 'b')}")
+    named = named.join(mixed, "key").where("node != head").drop("head")
+    named = staged(named if proof is None else named.join(proof, "node"), "golay_mixed")
+    across = side(named, "a", "key").hint("merge").join(side(named, "b", "key"), "key")
+    across = across.where(f"a_root < b_root and bit_count(a_print ^ b_print) <= {radius}" + (f" and {proved('a', 'b')}" if proved else ""))
     second = components(across.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), staged, "golay_across")
 
     again = second.select(F.col("node").alias("root"), F.col("root").alias("final"))
-    through = first.join(again, "root", "left").select(F.col("node").alias("print"), F.coalesce("final", "root").alias("root"))
-    alone = second.withColumnsRenamed({"node": "print"}).join(first.select(F.col("node").alias("print")), "print", "left_anti")
+    through = first.join(again, "root", "left").select("node", F.coalesce("final", "root").alias("root"))
+    alone = second.join(first.select("node"), "node", "left_anti")
     return staged(through.unionByName(alone), "golay_components")
 
 
@@ -174,9 +182,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = RADIUS, stage
     staged = staged or stage(docs.sparkSession)
     printed = staged(fingerprints(docs, words), "simhash")
     distinct = staged(printed.groupBy("print").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash_distinct")
-    if not 0 <= radius <= RADIUS:
-        raise ValueError(f"the keys guarantee a radius of at most {RADIUS}")
-    linked = link_components(key_rows(distinct), lambda a, b: f"bit_count({a}_print ^ {b}_print) <= {radius}", staged)
+    near = key_rows(distinct).select("key", F.col("print").alias("node"), "print")
+    linked = link_components(near, staged, radius).withColumnRenamed("node", "print")
     rooted = distinct.join(linked, "print", "left").withColumn("root", F.coalesce("root", "print"))
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("n_component")).hint("merge")
     named = staged(rooted.join(groups, "root").select("print", "component_id", "n_component"), "simhash_groups")
@@ -219,39 +226,35 @@ def text_prints(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _word_keys(classes: DataFrame) -> DataFrame:
-    """Golay keys of every word print of a class, with what a link is verified on."""
+    """Golay keys of every word print of a class."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                prints = np.array(part.column(part.num_columns - 1).to_pylist(), np.int64).reshape(-1, WORD_PRINTS)
+                prints = np.array(part.column(1).to_pylist(), np.int64).reshape(-1, WORD_PRINTS)
                 for number in range(WORD_PRINTS):
                     of, key = keys(np.ascontiguousarray(prints[:, number]))
-                    rows = pa.array(of)
-                    columns = [part.column(k).take(rows) for k in range(1 + WIDE_LONGS)]
-                    yield pa.RecordBatch.from_arrays([pa.array((key + number * (3 << 24)).astype(np.int32)), *columns, pa.array(prints[of, number])], names=["key", "print", *WIDE, "q"])
+                    nodes = part.column(0).take(pa.array(of))
+                    yield pa.RecordBatch.from_arrays([pa.array((key + number * (3 << 24)).astype(np.int32)), nodes, pa.array(prints[of, number])], names=["key", "node", "print"])
 
-    kinds = ", ".join(f"{w} long" for w in WIDE)
-    return classes.select("print", *WIDE, "q").mapInArrow(run, f"key int, print string, {kinds}, q long")
+    return classes.select("node", "q").mapInArrow(run, "key int, node long, print long")
 
 
 def representatives(docs: DataFrame, words: int = 5, similarity: float = SIMILAR, staged: Staging | None = None) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any other columns), as they are, that are first of their group of near-duplicates.
 
     Texts are linked if a print over their words is near (Golay keys) and their wide prints over shingles of ``words`` words
-    are as near as texts of ``similarity`` are. The least (doc_id, text key) of a group stays, one row of it; a null doc_id is least. Null,
+    are as near as texts of ``similarity`` are; a wide print is known by its 64-bit hash. The least (doc_id, text key) of a group stays, one row of it; a null doc_id is least. Null,
     empty and blank texts are one group.
     """
     staged = staged or stage(docs.sparkSession)
     most = round(64 * WIDE_LONGS * (math.acos(2 * similarity / (1 + similarity)) / math.pi + 0.02))
-    node = F.concat_ws("", *[F.lpad(F.hex(w), 16, "0") for w in WIDE]).alias("print")
-    printed = staged(text_prints(docs, words).select("doc_id", "k1", "k2", node, *WIDE, "q"), "text_prints")
-    classes = printed.groupBy("print", *WIDE).agg(F.min("q").alias("q"))
+    printed = staged(text_prints(docs, words).withColumn("node", F.xxhash64(*WIDE)), "text_prints")
+    classes = staged(printed.groupBy("node", *WIDE).agg(F.min("q").alias("q")), "text_classes")
     apart = " + ".join(f"bit_count({{0}}_{w} ^ {{1}}_{w})" for w in WIDE)
-    near = lambda a, b: f"bit_count({a}_q ^ {b}_q) <= {RADIUS} and {apart.format(a, b)} <= {most}"
-    linked = link_components(_word_keys(classes), near, staged)
-    rooted = printed.select("doc_id", "k1", "k2", "print").join(linked, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    linked = link_components(_word_keys(classes), staged, proof=classes.select("node", *WIDE), proved=lambda a, b: f"{apart.format(a, b)} <= {most}")
+    rooted = printed.select("doc_id", "k1", "k2", "node").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first")).select("first.*")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text").cast("string")))
     kept = rows.alias("d").join(first.alias("f"), same_row("d", "f")).select("row", "d.doc_id", "d.k1", "d.k2")
