@@ -74,11 +74,6 @@ def boolean(v: Column | str) -> Column:
     )
 
 
-def strict_boolean(v: Column | str) -> Column:
-    v = col(v)
-    return F.when(kind(v) == "BOOLEAN", read(v, "boolean"))
-
-
 def truthy(v: Column | str) -> Column:
     """Truth of a value: true, non-zero, non-empty text. Never null."""
     v = col(v)

@@ -32,14 +32,27 @@ DIAGNOSTICS = {
     "hours_provider": (10, "hltb", "provider_failed", "HowLongToBeat provider failed"),
     "score_provider": (11, "metacritic", "provider_failed", "Metacritic provider failed"),
     "hours_request": (12, "hltb", "request_failed", "HowLongToBeat request failed"),
-    "hours_missing": (12, "hltb", "not_found", "No HowLongToBeat match found for '{}'"),
+    "hours_missing": (12, "hltb", "not_found", "No HowLongToBeat match found for {}"),
     "hours_ambiguous": (
-        12, "hltb", "ambiguous_match", "No high-confidence HowLongToBeat match found for '{}'",
+        12, "hltb", "ambiguous_match", "No high-confidence HowLongToBeat match found for {}",
     ),
-    "score_url": (13, "metacritic", "url_unavailable", "Could not build a Metacritic URL for '{}'"),
-    "score_request": (13, "metacritic", "request_failed", "Metacritic lookup failed for '{}'"),
+    "score_url": (13, "metacritic", "url_unavailable", "Could not build a Metacritic URL for {}"),
+    "score_request": (13, "metacritic", "request_failed", "Metacritic lookup failed for {}"),
 }
 SEVERITY = "warning"
+# Diagnostics whose message quotes the title.
+QUOTED = ("hours_missing", "hours_ambiguous", "score_url", "score_request")
+
+
+def quoted(text: Column) -> Column:
+    """A text in single quotes, or in double quotes if only those are free; backslashes, line ends and inner quotes escaped."""
+    out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for plain, escaped in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        out = F.replace(out, F.lit(plain), F.lit(escaped))
+    single, double = F.contains(text, F.lit("'")), F.contains(text, F.lit('"'))
+    return F.when(single & ~double, F.concat(F.lit('"'), out, F.lit('"'))).otherwise(
+        F.concat(F.lit("'"), F.replace(out, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    )
 
 
 def diagnostics(
@@ -53,7 +66,7 @@ def diagnostics(
     """Each row becomes one diagnostic. Lists among the details are written as JSON text."""
     stage, source, code, message = DIAGNOSTICS[what]
     before, _, after = message.partition("{}")
-    text = F.lit(message) if subject is None else F.concat(F.lit(before), col(subject), F.lit(after))
+    text = F.lit(message) if subject is None else F.concat(F.lit(before), quoted(col(subject)) if what in QUOTED else col(subject), F.lit(after))
     pairs = [item for name, value in details.items() for item in (F.lit(name), col(value))]
     found = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
     return rows.select(

@@ -115,7 +115,7 @@ def keyset_page(ids: DataFrame, column: str, last: int | None, size: int) -> Dat
 
 def unknown_ids(ids: DataFrame, known: DataFrame) -> DataFrame:
     """Ids not collected before."""
-    return ids.select("app_id").distinct().join(known.select("app_id"), "app_id", "left_anti")
+    return ids.select("app_id").distinct().join(known.select("app_id").distinct(), "app_id", "left_anti")
 
 
 def of_kinds(rows: DataFrame, column: str, kinds: list[str]) -> DataFrame:

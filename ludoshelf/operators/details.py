@@ -24,7 +24,7 @@ FIELDS = (
 )
 
 # The release date formats, tried in this order.
-DATE_FORMATS = ("MMM d, yyyy", "MMMM d, yyyy", "d MMM, yyyy", "yyyy-MM-dd")
+DATE_FORMATS = ("MMM d, yyyy", "MMMM d, yyyy", "d MMM, yyyy", "yyyy-M-d")
 # The outline of a date in each format. A failed parse is costly, so a format is tried only on its outline.
 DATE_OUTLINES = (r"^\p{L}{3} ", r"^\p{L}{3,} ", r"^\d+ \p{L}{3},", r"^\d{4}-")
 
@@ -312,21 +312,22 @@ def with_texts(details: DataFrame) -> DataFrame:
     return read.withColumn("localized", texts).drop("_name", "_short", "_full")
 
 
-def base_pick(details: DataFrame) -> DataFrame:
-    """Per app: ``base`` (locale and body of the first requested locale that was admitted) and
+def base_pick(details: DataFrame, *key: str) -> DataFrame:
+    """Per key (app_id): ``base`` (locale and body of the first requested locale that was admitted) and
     ``localizations`` (locale -> texts).
 
     Needs app_id, locale, locale_ord, fetched_at, localized, data. Facts are read after it, so only from the
     body that was picked. A locale landed more than once keeps its newest response. A group holds
     one row per requested locale; copies of a response are reduced before the shuffle.
     """
-    newest = details.groupBy("app_id", "locale").agg(
+    key = key or ("app_id",)
+    newest = details.groupBy(*key, "locale").agg(
         F.max_by(
             F.struct("locale_ord", "localized", "data"),
-            F.coalesce("fetched_at", F.timestamp_seconds(F.lit(0))),
+            F.struct(F.coalesce("fetched_at", F.timestamp_seconds(F.lit(0))), "row_key" if "row_key" in details.columns else F.lit(0)),
         ).alias("d")
     )
-    return newest.groupBy("app_id").agg(
+    return newest.groupBy(*key).agg(
         F.min_by(F.struct("locale", "d.data"), F.col("d.locale_ord")).alias("base"),
         F.map_from_entries(F.collect_list(F.struct("locale", "d.localized"))).alias("localizations"),
     )

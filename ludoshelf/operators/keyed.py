@@ -12,30 +12,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The optimizer moves a rank limit below the shuffle up to this k (its default threshold).
-PUSHED_LIMIT = 1000
-
-
 def top_k(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     k: int | Column,
     salt_by: Sequence[str] = (),
-    salts: int = 1,
+    salts: int = 8,
     rank: str = "rank",
 ) -> DataFrame:
     """First ``k`` rows per key in ``order``, with their rank. ``k`` may be a column constant per key.
 
     ``order`` must be total. ``salt_by`` names columns that spread the rows of one key; the salt is a
-    hash of them, so a recomputed task routes its rows as before. A column ``k`` or a very large
-    ``k`` cannot be cut in the map tasks, so it needs ``salt_by``.
+    hash of them, so a recomputed task routes its rows as before. A literal ``k`` is also cut in the map tasks where the
+    planner pushes rank limits; a column ``k`` is not, so a key with very many rows wants ``salt_by`` then.
     """
-    if not (isinstance(k, int) and k <= PUSHED_LIMIT):
-        if not salt_by:
-            raise ValueError("salt_by is needed when the planner cannot push the limit")
-        salts = max(salts, 32)
-    if salts > 1 and salt_by:
+    if salt_by:
         df = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
         within = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = df.withColumn(rank, F.row_number().over(within)).where(F.col(rank) <= k).drop(rank, "_salt")
@@ -44,15 +36,20 @@ def top_k(
 
 
 def first_wins(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], salt_by: Sequence[str] = (), salts: int = 1
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], salt_by: Sequence[str] = (), salts: int = 8
 ) -> DataFrame:
     """The first row per key."""
     return top_k(df, keys, order, 1, salt_by, salts).drop("rank")
 
 
-def latest_by(df: DataFrame, keys: Sequence[str], *stamps: str) -> DataFrame:
-    """The newest row per key by the given columns."""
-    return first_wins(df, keys, [F.col(c).desc_nulls_last() for c in stamps])
+def latest_by(df: DataFrame, keys: Sequence[str], *stamps: str | Column) -> DataFrame:
+    """The newest row per key by the given columns, which together must be a total order."""
+    return first_wins(df, keys, [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in stamps])
+
+
+def newest_response(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The newest landed response per key; equal or missing stamps are decided by status and body, so a retry agrees."""
+    return latest_by(df, keys, "fetched_at", "http_status", F.xxhash64("body"), F.xxhash64(F.lit(1), "body"))
 
 
 def until_first_stop(df: DataFrame, keys: Sequence[str], order: Column, stop: Column) -> DataFrame:

@@ -64,8 +64,8 @@ def first_acceptable(
 ) -> DataFrame:
     """Per key the first accepted candidate (null record when none) and what was refused before it.
 
-    ``ord`` orders the candidates. The pick is a partial aggregate; refusals are collected only for keys
-    where nothing was accepted, and hold at most the few addresses built for one title.
+    ``ord`` orders the candidates. The pick is a partial aggregate; refusals hold at most the few addresses
+    built for one title, and are null where one was accepted.
     """
     rows = candidates.select(
         key, "ord", "url", F.struct(*record).alias("record"),
@@ -74,7 +74,7 @@ def first_acceptable(
     picked = rows.groupBy(key).agg(
         F.min(F.when(F.col("accepted"), F.col("ord"))).alias("accepted_ord"),
         F.min_by("record", F.when(F.col("accepted"), F.col("ord"))).alias("record"),
-        F.array_sort(F.collect_list(F.struct("ord", "url", "refusal"))).alias("tried"),
+        F.array_sort(F.collect_list(F.when(~F.col("accepted"), F.struct("ord", "url", "refusal")))).alias("tried"),
     )
     return picked.select(
         key,
@@ -85,14 +85,15 @@ def first_acceptable(
     )
 
 
-def score_lookup(titles: DataFrame, score_pages: DataFrame) -> DataFrame:
-    """Score record per app from the first acceptable page.
+def score_lookup(titles: DataFrame, score_pages: DataFrame, key: str = "app_id") -> DataFrame:
+    """Score record per key from the first acceptable page.
 
-    ``titles``: app_id, title, known_url, known_score. ``score_pages``: url, error, body, one row per URL.
+    ``titles``: key, title, known_url, known_score. ``score_pages``: url, error, body, one row per URL.
     A page is parsed once, however many apps point at it; the details' own score fills a gap before the test.
     """
-    asked = candidate_rows(titles, "title", "known_url", "app_id", "known_url", "known_score")
-    parsed = score_facts(score_pages, "url", "error")
+    asked = candidate_rows(titles, "title", "known_url", key, "known_url", "known_score")
+    wanted = score_pages.join(asked.select("url").distinct(), "url", "left_semi")  # only asked pages are tokenized
+    parsed = score_facts(wanted, "url", "error")
     joined = asked.join(parsed.withColumn("landed", F.lit(True)), "url", "left")
     ok = F.col("landed") & F.col("error").isNull()
     rows = joined.withColumn(
@@ -105,7 +106,7 @@ def score_lookup(titles: DataFrame, score_pages: DataFrame) -> DataFrame:
         F.concat(F.col("url"), F.lit(": "), F.coalesce("error", F.lit("not landed")))
     )
     return first_acceptable(
-        rows, "app_id", accepted, refusal, "url", "critic_score", "user_score", "user_score_raw", "platform"
+        rows, key, accepted, refusal, "url", "critic_score", "user_score", "user_score_raw", "platform"
     )
 
 

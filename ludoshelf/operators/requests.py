@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from ludoshelf.functions import variant
 from ludoshelf.functions.clean import blank_to_null, col, country_code
-from ludoshelf.functions.dims import DEFAULT_LOCALE, locale_info
-from ludoshelf.operators.keyed import first_wins
+from ludoshelf.functions.dims import DEFAULT_LOCALE, DEFAULT_STORE_COUNTRY, locale_info
 
 # Store host and product path.
 STORE_URL = (
     r"^(?i:https?://store\.steampowered\.com)/app/(\d+)"
     r"(?:[/?#]|;[^/?#]*(?:[?#]|$)|$)"
 )
+REPEATED = "repeated request"
 
 
 def app_id_of(url: Column | str) -> Column:
@@ -42,7 +42,13 @@ def normalized_locales(languages: Column | str) -> Column:
 
 
 def normalize(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected). Accepted: one row per app, the first by URL. Rejected: url and reason."""
+    """(accepted, rejected): every request is in one of them. Rejected: url and reason.
+
+    ``request_id`` is a digest of what is asked. Requests for one product with other locales, country or counts stay apart; of
+    exact repeats one is accepted and the others are rejected. Without a country column the default country is asked.
+    """
+    if "store_country" not in requests.columns:
+        requests = requests.withColumn("store_country", F.lit(DEFAULT_STORE_COUNTRY))
     rows = variant.computed_once(
         requests.withColumnRenamed("store_country", "asked_country"),
         app_id=app_id_of("url"),
@@ -56,11 +62,14 @@ def normalize(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.least("positive_review_count", "negative_review_count") < 0, F.lit("negative review count"))
         .when(F.col("review_pages") < 1, F.lit("no review pages")),
     )
-    accepted = rows.where(F.col("reason").isNull()).drop("reason", "asked_country", "languages")
-    return (
-        first_wins(accepted, ["app_id"], [F.col("url")]),
-        rows.where(F.col("reason").isNotNull()).select("url", "reason"),
+    usable = rows.where(F.col("reason").isNull()).drop("reason", "asked_country", "languages")
+    asked = F.to_json(F.struct(*usable.columns), {"ignoreNullFields": "false"})
+    counted = usable.groupBy(F.sha2(asked, 256).alias("request_id")).agg(
+        F.any_value(F.struct(*usable.columns)).alias("r"), F.count("*").alias("n")
     )
+    repeats = counted.where("n > 1").select("r.url", F.explode(F.array_repeat(F.lit(REPEATED), (F.col("n") - 1).cast("int"))).alias("reason"))
+    refused = rows.where(F.col("reason").isNotNull()).select("url", "reason")
+    return counted.select("request_id", "r.*"), refused.unionByName(repeats)
 
 
 def _fetch(kind: str, locale: Column, country: Column, language: Column, review_type: Column | None = None) -> Column:
@@ -91,4 +100,4 @@ def expand(accepted: DataFrame) -> DataFrame:
             _fetch("reviews", none, none, every, F.lit("negative")),
         ),
     )
-    return accepted.select("app_id", F.inline(fetches))
+    return accepted.select("request_id", "app_id", F.inline(fetches))

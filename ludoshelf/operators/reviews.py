@@ -164,8 +164,8 @@ def detail_order(text: Column | str, *then: Column) -> list[Column]:
     return [F.length(F.btrim(col(text), F.lit(SPACES))).desc(), *then]
 
 
-def most_detailed(reviews: DataFrame, k: int | Column, salts: int = 16) -> DataFrame:
-    """The k longest reviews per (app, polarity); ties by score, votes, time, then API order.
+def most_detailed(reviews: DataFrame, k: int | Column, salts: int = 16, key: str = "app_id") -> DataFrame:
+    """The k longest reviews per (key, polarity); ties by score, votes, time, then API order.
 
     One product may own a third of all reviews: rows are cut to k per group in each map task, then per salt.
     """
@@ -177,7 +177,7 @@ def most_detailed(reviews: DataFrame, k: int | Column, salts: int = 16) -> DataF
         F.col("page_no"),
         F.col("pos"),
     )
-    return top_k(reviews, ["app_id", "review_type"], order, k, salt_by=("page_no", "pos"), salts=salts)
+    return top_k(reviews, [key, "review_type"], order, k, salt_by=("page_no", "pos"), salts=salts)
 
 
 def told_summaries(admitted: DataFrame) -> DataFrame:

@@ -55,8 +55,9 @@ GAMES = f"""
 WITH apps AS (SELECT *, p_partkey AS k, p_partkey % 4 <> 3 AND p_partkey % 10 <> 9 AS scored FROM part WHERE p_size <> 50),
 tags AS (SELECT page_id AS k, COUNT(*) AS n FROM ({NAMED_ITEMS}) WHERE name <> '' GROUP BY 1),
 votes AS (SELECT app_id AS k, SUM(quality)::BIGINT AS up, bool_or(lang = 'de') AS german, bool_or(lang = 'en') AS english FROM ({VOTES}) GROUP BY 1),
-window_rows AS (SELECT * FROM ({REVIEW_ROWS}) WHERE page_no < 3),
-chains AS (SELECT app_id AS k, review_type FROM window_rows GROUP BY 1, 2 HAVING COUNT(DISTINCT page_no) = MAX(page_no) + 1),
+window_rows AS (SELECT * FROM (SELECT *, MAX(page_no) OVER (PARTITION BY app_id, review_type) AS last FROM ({REVIEW_ROWS})) WHERE page_no < 3),
+chains AS (SELECT app_id AS k, review_type FROM window_rows GROUP BY 1, 2
+  HAVING COUNT(DISTINCT page_no) = MAX(page_no) + 1 AND (MAX(page_no) = 2 OR MAX(page_no) = MAX(last))),
 ranked AS (SELECT w.app_id AS k, w.review_type, w.doc_id, row_number() OVER (PARTITION BY w.app_id, w.review_type ORDER BY
     length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) DESC, COALESCE(score, 0) DESC, n_chars % 10 DESC, created DESC NULLS LAST, doc_id) AS rank
   FROM window_rows w JOIN chains c ON w.app_id = c.k AND w.review_type = c.review_type),

@@ -97,12 +97,14 @@ FROM customer
 """
 
 
-def id_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = catalogue.list_pages(workload.catalogue_pages(spark, sf_dir))
-    return catalogue.distinct_ids(catalogue.page_ids(pages), limit=1000)
+def app_ids(spark: SparkSession, sf_dir: str, limit: int | None = None) -> DataFrame:
+    """The whole catalogue, with the chain audit."""
+    return catalogue.app_ids(workload.catalogue_pages(spark, sf_dir), limit=limit, stage=Staging(spark))
 
 
-ID_CATALOGUE = "SELECT DISTINCT l_partkey AS app_id FROM lineitem WHERE l_partkey > 0 ORDER BY 1 LIMIT 1000"
+def id_catalogue(spark: SparkSession, sf_dir: str, limit: int = 1000) -> DataFrame:
+    """The smallest ids up to a limit."""
+    return app_ids(spark, sf_dir, limit)
 
 
 def catalogue_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +129,14 @@ FROM known k LEFT JOIN stops s ON k.chain = s.chain WHERE s.stop_at IS NULL OR k
 """
 
 
+APP_IDS = f"""
+SELECT DISTINCT l_partkey AS app_id FROM lineitem l JOIN ({CATALOGUE_CHAIN}) c
+  ON l.l_returnflag = c.chain AND l.l_orderkey // 100 = c.page_no WHERE l_partkey > 0
+"""
+
+ID_CATALOGUE = f"SELECT app_id FROM ({APP_IDS}) ORDER BY 1 LIMIT 1000"
+
+
 def id_keyset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.keyset_page(table(spark, sf_dir, "lineitem"), "l_partkey", 500, 100)
 
@@ -136,12 +146,12 @@ ID_KEYSET = "SELECT DISTINCT l_partkey AS app_id FROM lineitem WHERE l_partkey >
 
 def id_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("app_id"))
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    lines = table(spark, sf_dir, "lineitem").where((F.col("l_returnflag") == "R") & (F.col("l_partkey") % 3 != 0))
     return catalogue.unknown_ids(ids, lines.select(F.col("l_partkey").alias("app_id")))
 
 
 ID_INCREMENT = """
-SELECT p_partkey AS app_id FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')
+SELECT p_partkey AS app_id FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_partkey % 3 <> 0)
 """
 
 
@@ -318,10 +328,31 @@ def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ACCEPTED_PAGES = f"""
-SELECT app_id, lang, CASE page_id % 4 WHEN 1 THEN 'kz' WHEN 2 THEN 'us' WHEN 3 THEN 'de' END AS country FROM (
-  SELECT *, row_number() OVER (PARTITION BY app_id ORDER BY regexp_replace(url, '^(https?)://[^/]+/[a-z]{{2}}/', '\\1://Store.SteamPowered.com/app/') COLLATE C) AS rn
-  FROM ({URL_PARTS}) WHERE app_id IS NOT NULL AND page_id % 9 <> 0 AND page_id % 8 <> 3)
-WHERE rn = 1
+SELECT DISTINCT regexp_replace(url, '^(https?)://[^/]+/[a-z]{{2}}/', '\\1://Store.SteamPowered.com/app/') AS url, app_id, lang,
+  CASE page_id % 4 WHEN 1 THEN 'kz' WHEN 2 THEN 'us' WHEN 3 THEN 'de' END AS country
+FROM ({URL_PARTS}) WHERE app_id IS NOT NULL AND page_id % 9 <> 0 AND page_id % 8 <> 3
+"""
+
+
+def request_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request once with its outcome; the pages are asked twice over, so that half of the good ones are repeats."""
+    asked = workload.requests_from_pages(spark, sf_dir)
+    accepted, rejected = requests.normalize(asked.unionAll(asked))
+    outcomes = accepted.select("url", F.lit("accepted").alias("outcome")).unionByName(rejected.withColumnRenamed("reason", "outcome"))
+    return outcomes.groupBy("outcome").agg(F.count("*").alias("n"), F.countDistinct("url").alias("urls"))
+
+
+REQUEST_SPLIT = f"""
+WITH judged AS (
+  SELECT CASE WHEN lang <> 'es' THEN regexp_replace(url, '^(https?)://[^/]+/[a-z]{{2}}/', '\\1://Store.SteamPowered.com/app/') ELSE url END AS url,
+    CASE WHEN app_id IS NULL THEN 'unsupported url' WHEN page_id % 9 = 0 THEN 'unsupported locale' WHEN page_id % 8 = 3 THEN 'unsupported country' END AS reason
+  FROM ({URL_PARTS})),
+bad AS (SELECT url, reason FROM judged WHERE reason IS NOT NULL),
+good AS (SELECT url FROM ({ACCEPTED_PAGES})),
+again AS (SELECT COUNT(*) AS n FROM judged WHERE reason IS NULL)
+SELECT reason AS outcome, 2 * COUNT(*) AS n, COUNT(DISTINCT url) AS urls FROM bad GROUP BY 1
+UNION ALL SELECT 'accepted', COUNT(*), COUNT(DISTINCT url) FROM good
+UNION ALL SELECT 'repeated request', 2 * (SELECT n FROM again) - COUNT(*), COUNT(DISTINCT url) FROM good
 """
 
 REQUEST_PLAN = f"""
@@ -345,6 +376,7 @@ REPORTS = {
     "admission_split": (admission_split, ADMISSION_SPLIT),
     "id_seed": (id_seed, ID_SEED),
     "game_json": (game_json, GAME_JSON),
+    "app_ids": (app_ids, APP_IDS),
     "id_catalogue": (id_catalogue, ID_CATALOGUE),
     "catalogue_chain": (catalogue_chain, CATALOGUE_CHAIN),
     "id_keyset": (id_keyset, ID_KEYSET),
@@ -357,5 +389,6 @@ REPORTS = {
     "first_wins": (first_wins, FIRST_WINS),
     "locale_lists": (locale_lists, LOCALE_LISTS),
     "country_check": (country_check, COUNTRY_CHECK),
+    "request_split": (request_split, REQUEST_SPLIT),
     "request_plan": (request_plan, REQUEST_PLAN),
 }

@@ -87,7 +87,7 @@ def release_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 8 == 0, F.date_format(day, "MMM d, yyyy"))
         .when(k % 8 == 1, F.date_format(day, "MMMM d, yyyy"))
         .when(k % 8 == 2, F.date_format(day, "d MMM, yyyy"))
-        .when(k % 8 == 3, F.date_format(day, "yyyy-MM-dd"))
+        .when(k % 8 == 3, F.date_format(day, "yyyy-M-d"))
         .when(k % 8 == 4, F.concat(F.lit(" Q3 "), F.date_format(day, "yyyy"), F.lit(" ")))
         .when(k % 8 == 5, F.date_format(day, "MMM  d,  yyyy"))
         .when(k % 8 == 6, "Coming soon")

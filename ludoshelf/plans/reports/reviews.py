@@ -21,7 +21,7 @@ SELECT *, CAST(substr(source, 4) AS BIGINT) AS app_id, CASE quality WHEN 1 THEN
        doc_id // {PAGE_RANGE} AS page_no,
        CASE WHEN doc_id % 5 <> 0 THEN CAST('0.' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') AS DOUBLE) END AS score,
        CASE WHEN doc_id % 7 <> 0 THEN 1600000000 + doc_id * 60 END AS created
-FROM documents JOIN labels USING (doc_id)
+FROM documents LEFT JOIN labels USING (doc_id)
 """
 
 
@@ -36,7 +36,7 @@ def review_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REVIEW_FLATTEN = f"""
-SELECT app_id, review_type, CAST(page_no AS INTEGER) AS page_no, CAST(doc_id AS VARCHAR) AS recommendation_id, quality = 1 AS positive,
+SELECT app_id, review_type, CAST(page_no AS INTEGER) AS page_no, CAST(doc_id AS VARCHAR) AS recommendation_id, COALESCE(quality = 1, false) AS positive,
        CASE WHEN doc_id % 3 <> 0 THEN 'https://steamcommunity.com/profiles/' || (doc_id % 97) || '/recommended/' || app_id || '/'
             ELSE 'https://steamcommunity.com/app/' || app_id || '/reviews/' END AS source_url,
        lang AS language, created, n_chars % 10 AS votes_up, score AS weighted_vote_score, CAST(0 AS BIGINT) AS comment_count,
@@ -123,7 +123,7 @@ def landed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.drop("store_country")
 
 
-VOTES = "SELECT CAST(substr(source, 4) AS BIGINT) AS app_id, lang, quality FROM documents JOIN labels USING (doc_id)"
+VOTES = "SELECT CAST(substr(source, 4) AS BIGINT) AS app_id, lang, COALESCE(quality, 0) AS quality FROM documents LEFT JOIN labels USING (doc_id)"
 LANDED_SUMMARY = f"""
 WITH counted AS (
   SELECT app_id, lang, SUM(quality)::BIGINT AS up, COUNT(*) - SUM(quality)::BIGINT AS down FROM ({VOTES}) GROUP BY GROUPING SETS ((app_id), (app_id, lang)))
@@ -142,13 +142,13 @@ def _half_up(up: Column, down: Column) -> Column:
 
 def rating_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     votes = workload.labelled_documents(spark, sf_dir)
-    return reviews.recomputed_summaries(votes, "source", "lang", F.col("quality") == 1, rounding=_half_up)
+    return reviews.recomputed_summaries(votes, "source", "lang", F.coalesce(F.col("quality") == 1, F.lit(False)), rounding=_half_up)
 
 
 RATING_SUMMARY = """
-SELECT source, lang, GROUPING(lang) = 0 AS per_language, SUM(quality)::BIGINT AS total_positive, COUNT(*) - SUM(quality)::BIGINT AS total_negative,
-       COUNT(*) AS total_reviews, round(SUM(quality) * 100::DOUBLE / COUNT(*), 2) AS positive_percent
-FROM documents JOIN labels USING (doc_id) GROUP BY GROUPING SETS ((source), (source, lang))
+SELECT source, lang, GROUPING(lang) = 0 AS per_language, SUM(COALESCE(quality, 0))::BIGINT AS total_positive, COUNT(*) - SUM(COALESCE(quality, 0))::BIGINT AS total_negative,
+       COUNT(*) AS total_reviews, round(SUM(COALESCE(quality, 0)) * 100::DOUBLE / COUNT(*), 2) AS positive_percent
+FROM documents LEFT JOIN labels USING (doc_id) GROUP BY GROUPING SETS ((source), (source, lang))
 """
 
 

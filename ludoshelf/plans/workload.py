@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ludoshelf import schemas
 from ludoshelf.functions.dims import locale_info
-from ludoshelf.sources.landing import widen
 
 LANDING_TYPES = dict(part.split(" ") for part in schemas.LANDING.split(", "))
 # Documents per page range of the derived review pages.
@@ -25,8 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows become bodies to parse."""
-    return widen(table(spark, sf_dir, name))
+    """A table whose rows become bodies to parse, dealt by its first column: the test tables are single files."""
+    rows = table(spark, sf_dir, name)
+    return rows.repartition(F.col(rows.columns[0]))
 
 
 def landed(rows: DataFrame, kind: str | Column, **values: Column) -> DataFrame:
@@ -98,7 +98,8 @@ def part_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    """All ``documents``; the labels are null where there are none."""
+    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
 
 
 def source_id() -> Column:
@@ -106,9 +107,10 @@ def source_id() -> Column:
 
 
 def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled ``documents`` as review pages: source = app, quality = polarity.
+    """``documents`` as review pages: source = app, quality = polarity; without a label ``voted_up`` is missing.
 
-    A page covers an id range, so its size is bounded however many documents one source holds.
+    A page covers an id range, so its size is bounded however many documents one source holds. The cursor goes
+    on until a chain's last page.
     """
     d = F.col("doc_id")
     review = F.struct(
@@ -138,7 +140,9 @@ def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     cursor = F.when(F.col("page_no") == 0, "*").otherwise(F.concat(F.lit("c"), F.col("page_no")))
     repeats = (F.col("app_id") % 5 == 0) & (F.col("page_no") == 3)
-    following = F.when(repeats, cursor).otherwise(F.concat(F.lit("c"), F.col("page_no") + 1))
+    lasts = pages.groupBy("app_id", "review_type").agg(F.max("page_no").alias("last"))
+    pages = pages.join(lasts, ["app_id", "review_type"])
+    following = F.when(repeats, cursor).when(F.col("page_no") < F.col("last"), F.concat(F.lit("c"), F.col("page_no") + 1))
     body = F.to_json(F.struct(F.lit(1).alias("success"), following.alias("cursor"), "reviews"))
     return landed(
         pages,
@@ -156,7 +160,7 @@ def review_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled ``documents`` counted per source and per (source, lang), landed as summary responses."""
     votes = labelled_documents(spark, sf_dir).select(source_id().alias("app_id"), "lang", "quality")
     counted = votes.groupingSets([[F.col("app_id")], [F.col("app_id"), F.col("lang")]], "app_id", "lang").agg(
-        F.count_if(F.col("quality") == 1).alias("up"), F.count_if(F.col("quality") == 0).alias("down")
+        F.count_if(F.col("quality") == 1).alias("up"), F.count_if(F.coalesce(F.col("quality") != 1, F.lit(True))).alias("down")
     )
     summary = F.to_json(
         F.struct(

@@ -51,12 +51,6 @@ def delivered(status: Column | str = "http_status") -> Column:
     return F.coalesce(F.col(status) if isinstance(status, str) else status, F.lit(200)).between(200, 399)
 
 
-def split(rows: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
-    """(admitted, rejected): a row is rejected when ``reason`` is not null; rejects carry it as ``error``."""
-    marked = rows.withColumn("error", reason)
-    return marked.where(F.col("error").isNull()).drop("error"), marked.where(F.col("error").isNotNull())
-
-
 def with_details(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """Details bodies read to ``data``, a struct of variant leaves, and ``error`` where not admitted.
 
@@ -80,7 +74,7 @@ def with_details(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
             ).alias("data"),
         ),
     )
-    read = variant.computed_once(rows, _read=F.when(delivered(), admitted)).drop("body")
+    read = variant.computed_once(rows, _read=F.when(delivered(), admitted)).withColumn("row_key", F.xxhash64("body")).drop("body")
     return read.select(
         *(c for c in read.columns if c != "_read"),
         "_read.data",
@@ -141,11 +135,3 @@ def to_document(record: DataFrame) -> DataFrame:
 def write_documents(games: DataFrame, path: str, mode: str = "overwrite") -> None:
     games.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
-
-def widen(rows: DataFrame) -> DataFrame:
-    """Spread a small, unsplittable input over the cores before CPU-heavy work on its bodies.
-
-    An input that already has about as many partitions as cores is left alone, so a large table is not shuffled.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

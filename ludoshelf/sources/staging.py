@@ -23,6 +23,11 @@ class Staging:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def close(self) -> None:
+        """Remove what this run has written; tables read from it are gone then."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.mode("overwrite").parquet(path)

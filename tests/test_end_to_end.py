@@ -21,36 +21,36 @@ def landing(spark):
     rows = []
     for locale, language in (("ru-RU", "russian"), ("en-US", "english")):
         rows.append(
-            dict(request_kind="app_details", app_id=620, locale=locale, steam_language=language, store_country="kz",
-                 body={"620": {"success": True, "data": DETAILS}})
+            dict(request_kind="app_details", app_id=4127, locale=locale, steam_language=language, store_country="kz",
+                 body={"4127": {"success": True, "data": DETAILS}})
         )
     rows.append(
-        dict(request_kind="app_details", app_id=730, locale="en-US", steam_language="english", store_country="kz",
-             body={"730": {"success": True, "data": {"name": "Lone Title Deluxe Edition", "type": "dlc"}}})
+        dict(request_kind="app_details", app_id=8806, locale="en-US", steam_language="english", store_country="kz",
+             body={"8806": {"success": True, "data": {"name": "Salt Road Deluxe Edition", "type": "dlc"}}})
     )
     rows.append(
-        dict(request_kind="app_details", app_id=730, locale="de", steam_language="german", store_country="kz",
-             body={"730": {"success": False}})
+        dict(request_kind="app_details", app_id=8806, locale="de", steam_language="german", store_country="kz",
+             body={"8806": {"success": False}})
     )
     rows.append(dict(request_kind="app_details", app_id=999, locale="en-US", store_country="kz", body="[]"))
-    rows.append(dict(request_kind="store_page", app_id=620, locale="ru-RU", store_country="kz", body=STORE_HTML))
-    rows.append(dict(request_kind="achievements", app_id=620, locale="ru-RU", body=ACHIEVEMENTS_HTML))
+    rows.append(dict(request_kind="store_page", app_id=4127, locale="ru-RU", store_country="kz", body=STORE_HTML))
+    rows.append(dict(request_kind="achievements", app_id=4127, locale="ru-RU", body=ACHIEVEMENTS_HTML))
     for language in ("all", "russian", "english"):
         rows.append(
-            dict(request_kind="reviews", app_id=620, steam_language=language, review_type="all", page_no=0, cursor="*",
+            dict(request_kind="reviews", app_id=4127, steam_language=language, review_type="all", page_no=0, cursor="*",
                  body={"success": 1, "query_summary": SUMMARY, "cursor": "n", "reviews": []})
         )
     for polarity in ("positive", "negative"):
         rows.append(
-            dict(request_kind="reviews", app_id=620, steam_language="all", review_type=polarity, page_no=0, cursor="*",
+            dict(request_kind="reviews", app_id=4127, steam_language="all", review_type=polarity, page_no=0, cursor="*",
                  body={"success": 1, "cursor": "next", "reviews": [
-                     review("1", "short", voted_up=polarity == "positive", votes_up=10, weighted_vote_score="0.8"),
-                     review("2", "a much longer and more detailed review", voted_up=polarity == "positive", votes_up=2,
+                     review("1", "calm", voted_up=polarity == "positive", votes_up=10, weighted_vote_score="0.8"),
+                     review("2", "rowed for hours, never found the second lamp", voted_up=polarity == "positive", votes_up=2,
                             weighted_vote_score="0.2", timestamp_created=1700000000, author={"steamid": "77"}),
                  ]})
         )
     rows.append(
-        dict(request_kind="score_page", url="https://scores.example.test/portal-2", body=SCORE_HTML)
+        dict(request_kind="score_page", url="https://scores.lantern.example/lantern-harbor-3", body=SCORE_HTML)
     )
     return landing_rows(spark, rows)
 
@@ -58,10 +58,10 @@ def landing(spark):
 def requests(spark):
     return spark.createDataFrame(
         [
-            (STORE_URL.format(620) + "Portal_2/?cc=us", ["ru-RU", "en-US", "ru-ru"], "KZ", 1, 1, 1),
-            (STORE_URL.format(730), ["de", "en_US"], "kz", 2, 0, 1),
+            (STORE_URL.format(4127) + "Lantern_Harbor_3/?cc=us", ["ru-RU", "en-US", "ru-ru"], "KZ", 1, 1, 1),
+            (STORE_URL.format(8806), ["de", "en_US"], "kz", 2, 0, 1),
             (STORE_URL.format(999), None, "kz", 1, 1, 1),
-            ("https://steamcommunity.com/app/620/", None, "kz", 1, 1, 1),
+            ("https://steamcommunity.com/app/4127/", None, "kz", 1, 1, 1),
             (STORE_URL.format(5), ["xx-XX"], "kz", 1, 1, 1),
             (STORE_URL.format(6), ["en-US"], "russian", 1, 1, 1),
         ],
@@ -72,8 +72,8 @@ def requests(spark):
 def candidates(spark):
     return spark.createDataFrame(
         [
-            (620, 0, 0, 11, "Portal", "u1", "3", "4", None, "x", 0.9, "{}", None),
-            (620, 0, 1, 12, "PORTAL 2", "u2", "8.5", "13", "21", "9", 0.8, '{"a":1}', None),
+            (4127, 0, 0, 11, "Lantern Harbor", "u1", "3", "4", None, "x", 0.9, "{}", None),
+            (4127, 0, 1, 12, "LANTERN HARBOR 3", "u2", "8.5", "13", "21", "9", 0.8, '{"a":1}', None),
         ],
         schemas.CANDIDATES,
     )
@@ -92,7 +92,7 @@ def games(collected):
 def test_requests_are_split(collected):
     reasons = {r.url: r.reason for r in collected.rejected_requests.collect()}
     assert reasons == {
-        "https://steamcommunity.com/app/620/": "unsupported url",
+        "https://steamcommunity.com/app/4127/": "unsupported url",
         STORE_URL.format(5): "unsupported locale",
         STORE_URL.format(6): "unsupported country",
     }
@@ -100,73 +100,73 @@ def test_requests_are_split(collected):
 
 
 def test_scalar_facts(games):
-    game = games[620]
+    game = games[4127]
     assert list(game.asDict()) == list(schemas.GAME)
     assert (game.platform, game.store_country, game.type, game.is_free) == ("steam", "kz", "game", False)
-    assert (game.price.currency, game.price.final, game.price.final_formatted) == ("KZT", 99900, "999 ₸")
-    assert game.release_date == dt.date(2011, 4, 18)
+    assert (game.price.currency, game.price.final, game.price.final_formatted) == ("KZT", 258750, "2 587,50")
+    assert game.release_date == dt.date(2017, 2, 9)
     assert game.header_image and game.website is None
-    assert game.developers == ["Valve"] and game.publishers == ["Valve"]
+    assert game.developers == ["Quayside Nine"] and game.publishers == ["Quayside Nine"]
     assert game.platforms == {"windows": True, "mac": False}
-    assert [(c.id, c.name, c.source) for c in game.categories] == [(2, "Single-player", "steam")]
-    assert game.genres == ["Action"]
-    assert game.requirements.windows.minimum.text == "Windows 10"
+    assert [(c.id, c.name, c.source) for c in game.categories] == [(38, "Online co-op", "steam")]
+    assert game.genres == ["Sailing"]
+    assert game.requirements.windows.minimum.text == "Windows 8.1"
     assert game.requirements.windows.recommended is None and game.requirements.mac is None
 
 
 def test_localized_texts(games):
-    texts = games[620].localizations
+    texts = games[4127].localizations
     assert set(texts) == {"ru-RU", "en-US"}
     assert texts["ru-RU"].steam_language == "russian" and texts["ru-RU"].store_country == "kz"
-    assert texts["en-US"].short_description.text == "Short description"
-    assert texts["en-US"].short_description.html == "Short <b>description</b>"
-    assert texts["en-US"].full_description.text == "Full description"
+    assert texts["en-US"].short_description.text == "A harbor of lanterns"
+    assert texts["en-US"].short_description.html == "A harbor of <u>lanterns</u>"
+    assert texts["en-US"].full_description.text == "Row out at dusk and light the pier"
 
 
 def test_media_and_age(games):
-    game = games[620]
-    assert [(s.id, s.thumbnail_url, s.full_url) for s in game.screenshots] == [(1, "https://a/1", None)]
-    assert [(v.id, v.name, v.highlight) for v in game.videos] == [(9, "Trailer", True)]
+    game = games[4127]
+    assert [(s.id, s.thumbnail_url, s.full_url) for s in game.screenshots] == [(6, "https://img.lantern.example/s6", None)]
+    assert [(v.id, v.name, v.highlight) for v in game.videos] == [(31, "Night tide", True)]
     ages = {a.authority: a for a in game.age_ratings}
     assert set(ages) == {"pegi", "esrb"}
-    assert ages["pegi"].descriptors == ["Violence", "Language"] and ages["pegi"].required_age == 12
+    assert ages["pegi"].descriptors == ["Mild peril", "Deep water"] and ages["pegi"].required_age == 7
     assert ages["pegi"].banned is False and ages["esrb"].use_age_gate is True
 
 
 def test_page_facts(games):
-    game = games[620]
-    assert [(t.name, t.rank) for t in game.tags] == [("Puzzle", 1), ("Story Rich & more", 3)]
+    game = games[4127]
+    assert [(t.name, t.rank) for t in game.tags] == [("Boats", 1), ("Fog <thick>", 3)]
     rows = [(x.name, x.web_code, x.interface, x.full_audio, x.subtitles) for x in game.supported_languages]
-    assert rows == [("English", "en", True, True, True), ("Russian", "ru", True, False, True)]
+    assert rows == [("English", "en", False, True, True), ("Russian", "ru", True, True, False)]
     found = [(a.name, a.description, a.global_percent, a.hidden, a.icon_url) for a in game.achievements]
     assert found == [
-        ("First Step", "Do the thing", 42.5, False, "https://cdn.example.test/a.jpg"),
-        ("Second", None, None, True, None),
+        ("Lamp Thief", None, None, True, None),
+        ("Oarsman", "Cross the bay twice", 6.25, False, "https://img.lantern.example/oar.png"),
     ]
 
 
 def test_reviews_and_ratings(games):
-    game = games[620]
+    game = games[4127]
     assert [r.recommendation_id for r in game.reviews.positive] == ["2"]
     assert game.reviews.positive[0].positive is True and game.reviews.negative[0].positive is False
-    assert game.reviews.positive[0].source_url == "https://steamcommunity.com/profiles/77/recommended/620/"
+    assert game.reviews.positive[0].source_url == "https://steamcommunity.com/profiles/77/recommended/4127/"
     assert game.reviews.positive[0].created_at == dt.datetime(2023, 11, 14, 22, 13, 20)
-    assert game.steam_rating.positive_percent == 90.0 and game.steam_rating.review_language == "all"
+    assert game.steam_rating.positive_percent == 75.0 and game.steam_rating.review_language == "all"
     assert set(game.ratings_by_locale) == {"ru-RU", "en-US"}
     assert game.ratings_by_locale["ru-RU"].review_language == "russian"
 
 
 def test_outside_sources(games):
-    game = games[620]
-    assert (game.metacritic.critic_score, game.metacritic.user_score) == (84, 7.1)
+    game = games[4127]
+    assert (game.metacritic.critic_score, game.metacritic.user_score) == (68, 8.3)
     assert (game.how_long_to_beat.id, game.how_long_to_beat.main_story_hours) == (12, 8.5)
     assert game.how_long_to_beat.raw == '{"a":1}'
     assert game.diagnostics == []
 
 
 def test_diagnostics_in_order(games):
-    game = games[730]
-    assert game.localizations["en-US"].name == "Lone Title Deluxe Edition"
+    game = games[8806]
+    assert game.localizations["en-US"].name == "Salt Road Deluxe Edition"
     assert game.supported_languages == [] and game.tags == [] and game.price is None
     assert [(d.source, d.code) for d in game.diagnostics] == [
         ("steam", "localized_details_failed"),
@@ -182,10 +182,37 @@ def test_diagnostics_in_order(games):
     ]
     assert game.diagnostics[0].details == {"locale": "de", "error": "app was not found"}
     tried = json.loads(game.diagnostics[-1].details["candidates"])
-    assert [u.rsplit("/", 2)[1] for u in tried] == ["lone-title-deluxe-edition"] * 2 + ["lone-title"] * 2
+    assert [u.rsplit("/", 2)[1] for u in tried] == ["salt-road-deluxe-edition"] * 2 + ["salt-road"] * 2
 
 
 def test_documents_keep_nulls(collected):
     docs = [json.loads(r.document) for r in game_documents(collected.games).collect()]
     assert all(list(d) == list(schemas.GAME) for d in docs)
     assert any(d["price"] is None for d in docs)
+
+
+def test_each_request_has_its_record(spark):
+    url = STORE_URL.format(4127)
+    asked = [(url, ["ru-RU"], "kz", 1, 1, 1), (url, ["en-US"], "kz", 2, 0, 1), (url, ["en-US"], "us", 1, 1, 1)]
+    got = collect_games(landing(spark), spark.createDataFrame(asked, schemas.REQUESTS), candidates(spark), stage=Staging(spark))
+    games = sorted((sorted(g.localizations), len(g.reviews.positive), len(g.reviews.negative)) for g in got.games.collect())
+    assert games == [(["en-US"], 2, 0), (["ru-RU"], 1, 1)]
+    assert [(r.app_id, r.url) for r in got.failed_apps.collect()] == [(4127, url)]  # nothing landed for the third one's country
+
+
+def test_a_review_chain_without_its_end_fails(spark):
+    asked = [(STORE_URL.format(4127), ["ru-RU"], "kz", 1, 1, 3)]  # three pages asked, one landed, and its cursor goes on
+    got = collect_games(landing(spark), spark.createDataFrame(asked, schemas.REQUESTS), candidates(spark), stage=Staging(spark))
+    game = got.games.first()
+    assert game.reviews.positive == [] and game.reviews.negative == []
+    assert [d.code for d in game.diagnostics][:2] == ["positive_reviews_unavailable", "negative_reviews_unavailable"]
+
+
+def test_messages_quote_titles(spark):
+    from pyspark.sql import functions as F
+
+    from ludoshelf.operators.assembly import quoted
+
+    titles = ["plain", "Captain's Log", 'say "hi"', "both ' and \"", "back\\slash\n"]
+    rows = spark.createDataFrame([(t,) for t in titles], "t string").select("t", quoted(F.col("t")).alias("q")).collect()
+    assert [r.q for r in rows] == [repr(t) for t in titles]

@@ -47,7 +47,7 @@ def test_score_blocks(spark):
     later = pair("metascore", "10") + pair("METASCORE", "91 of 100")
     uneven = pair("Metascore", "50") + '<div data-testid="global-score-header">User score</div>'
     got = scores(spark, SCORE_HTML, later, uneven, pair("User Score", "tbd"), pair("User score", "11"), pair("metascore", "101"))
-    assert got == [(84, 7.1, "7.1"), (91, None, None), (50, None, None), (None, None, "tbd"), (None, None, "11"), (None, None, None)]
+    assert got == [(68, 8.3, "8.3"), (91, None, None), (50, None, None), (None, None, "tbd"), (None, None, "11"), (None, None, None)]
 
 
 def test_json_ld_only_without_a_critic_score(spark):

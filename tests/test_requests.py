@@ -75,8 +75,8 @@ def test_ordered_distinct_locales_and_default(spark):
             (url.format(6), ["en"], "kz", 1, 4, 0),
         )
     )
-    got = {r.app_id: ([x.locale for x in r.locales], r.store_country) for r in accepted.collect()}
-    assert got == {1: (["en-US", "ru-RU"], None), 2: (["en-US"], "kz"), 3: (["en-US"], "kz")}
+    got = sorted((r.app_id, [x.locale for x in r.locales], r.store_country or "") for r in accepted.collect())
+    assert got == [(1, ["en-US", "ru-RU"], ""), (2, ["en-US"], "kz"), (3, ["de"], "us"), (3, ["en-US"], "kz")]
     assert sorted(r.reason for r in rejected.collect()) == ["negative review count", "no review pages", "unsupported locale"]
 
 
@@ -92,3 +92,17 @@ def test_expansion_counts_two_per_locale_plus_five(spark):
     assert [(r.store_country, r.steam_language) for r in page] == [("kz", "russian")]
     asked = {r.steam_language for r in rows if r.request_kind == "reviews" and r.review_type == "all"}
     assert asked == {"all", "russian", "english"}
+
+
+def test_no_request_is_lost(spark):
+    url = "https://store.steampowered.com/app/7/"
+    rows = [(url, ["en-US"], "kz", 4, 4, 1), (url, ["de"], "us", 4, 4, 1), (url, ["fr"], None, 4, 4, 1)] + [(url, ["en"], "us", 4, 4, 1)] * 3
+    accepted, rejected = requests.normalize(frame(spark, *rows))
+    assert sorted(x.locales[0].locale for x in accepted.collect()) == ["de", "en", "en-US", "fr"]
+    assert [r.reason for r in rejected.collect()] == ["repeated request"] * 2
+    assert len({r.request_id for r in accepted.collect()}) == 4
+
+
+def test_default_country(spark):
+    asked = frame(spark, ("https://store.steampowered.com/app/7/", None, "us", 4, 4, 1)).drop("store_country")
+    assert requests.normalize(asked)[0].first().store_country == "kz"
