@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ludoshelf.operators.keyed import latest_by
 from ludoshelf.plans.workload import table
 from ludoshelf.session import shared_dir
-from ludoshelf.streaming.incremental import LatestTable, drain_in_shared_dir, read_increment, upsert, without_repeats
+from ludoshelf.streaming.incremental import LatestTable, read_increment, upsert
 
 COLUMNS = ("event_id", "user_id", "event_type", "ts")
 
@@ -20,14 +20,14 @@ def _run_dir(spark: SparkSession) -> str:
 
 
 def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events land twice; the stream lets each through once."""
+    """Events land twice, the second time in another order; the table holds each once."""
     root = _run_dir(spark)
     events = table(spark, sf_dir, "events").select(*COLUMNS)
-    for _ in range(2):
-        events.repartition(3, "event_id").write.mode("append").parquet(f"{root}/landing")
-    increment = read_increment(spark, f"{root}/landing", events.schema, max_files=4)
-    rows = without_repeats(increment, ["event_id", "event_type"], "ts", "3650 days")
-    return drain_in_shared_dir(spark, rows, root).select("event_id", "user_id", "event_type")
+    for order in ("event_id", "ts"):
+        events.repartition(3, order).write.mode("append").parquet(f"{root}/landing")
+    once = LatestTable(spark, f"{root}/once", events.schema, ["event_id", "event_type"], [], buckets=8)
+    upsert(read_increment(spark, f"{root}/landing", events.schema, max_files=4), once, f"{root}/checkpoint")
+    return once.read().select("event_id", "user_id", "event_type")
 
 
 LANDING_STREAM = "SELECT event_id, user_id, event_type FROM events"

@@ -1,7 +1,8 @@
-"""Incremental landing: each landed file once, and the newest record per key."""
+"""Incremental landing: each landed file once, and one record per key, however late a row lands."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ludoshelf.operators.keyed import latest_by
-from ludoshelf.sources.staging import Staging
 
 
 def read_increment(
@@ -22,71 +22,92 @@ def read_increment(
     return reader.parquet(path)
 
 
-def without_repeats(rows: DataFrame, keys: Sequence[str], event_time: str, horizon: str) -> DataFrame:
-    """Each key once: repeats within the watermark are dropped and their state expires after it.
-
-    Rows older than the watermark count as late and are left out, so ``horizon`` must cover the disorder of landing.
-    Watermarks need an instant, so a zone-less time is read in the session zone (UTC).
-    """
-    stamp = F.col(event_time).cast("timestamp")
-    return (
-        rows.withColumn("_event_time", stamp)
-        .withWatermark("_event_time", horizon)
-        .dropDuplicatesWithinWatermark(list(keys))
-        .drop("_event_time")
-    )
-
-
-def drain(rows: DataFrame, target: str, checkpoint: str) -> None:
-    """Process everything that has landed, append it to ``target`` exactly once, and stop."""
-    (
-        rows.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .outputMode("append")
-        .start()
-        .awaitTermination()
-    )
-
-
 class LatestTable:
-    """Newest record per key, in a Parquet table partitioned by a hash bucket of the key.
+    """Newest record per key, as immutable versions of hash buckets and a manifest that names the current ones.
 
-    A micro-batch reads and overwrites only the buckets it touches. Merging a batch twice gives the
-    same table, so a repeated batch after a failure does no harm.
+    A micro-batch reads and writes only the buckets it touches. Their new versions are written beside the old ones and
+    become visible with one renamed manifest, so a reader sees the table before or after a batch, and a stop at any
+    point loses nothing: until the manifest is there, a retry writes the same version again. Merging a batch twice
+    gives the same table. ``stamps`` must be a total order of the rows of a key; without stamps any one of its rows stays.
+    One writer at a time.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], stamps: Sequence[str], buckets: int
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        keys: Sequence[str],
+        stamps: Sequence[str],
+        buckets: int,
+        files_per_bucket: int = 4,
     ) -> None:
         self.spark, self.path = spark, path
-        self.keys, self.stamps, self.buckets = list(keys), list(stamps), buckets
+        self.keys, self.stamps, self.buckets, self.files = list(keys), list(stamps), buckets, files_per_bucket
         self.schema = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
-        spark.createDataFrame([], self.schema).write.mode("ignore").partitionBy("bucket").parquet(path)
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _current(self) -> tuple[int, dict[str, int]]:
+        """Number of the newest manifest and its version of every bucket that holds rows."""
+        folder = self._path(f"{self.path}/manifests")
+        if not self._files.exists(folder):
+            return 0, {}
+        names = [f.getPath().getName() for f in self._files.listStatus(folder)]
+        last = max((int(n) for n in names if n.isdigit()), default=0)
+        if not last:
+            return 0, {}
+        stream = self._files.open(self._path(f"{self.path}/manifests/{last}"))
+        try:
+            return last, json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _rows(self, versions: dict[str, int]) -> DataFrame:
+        if not versions:
+            return self.spark.createDataFrame([], self.schema)
+        paths = [f"{self.path}/data/version={v}/bucket={b}" for b, v in sorted(versions.items())]
+        reader = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("version", T.LongType())]))
+        return reader.option("basePath", f"{self.path}/data").parquet(*paths).drop("version")
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self._rows(self._current()[1])
 
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        """Newest per key of the batch and of the touched buckets, then dynamic overwrite of those buckets."""
+    def merge(self, batch: DataFrame, batch_id: int | None = None) -> None:
+        """Newest per key of the batch and of the touched buckets, as the next version of those."""
+        last, versions = self._current()
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        fresh = latest_by(batch, self.keys, *self.stamps).withColumn("bucket", bucket)
-        old = batch.sparkSession.read.schema(self.schema).parquet(self.path).join(fresh.select("bucket").distinct(), "bucket", "left_semi")
-        merged = latest_by(old.unionByName(fresh), self.keys, *self.stamps)
-        # A table cannot be overwritten while it is read: the result is written beside it first.
-        staged = Staging(batch.sparkSession)(merged, f"merge-{batch_id}")
-        (
-            staged.repartition("bucket")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket")
-            .parquet(self.path)
-        )
+        fresh = batch.withColumn("bucket", bucket)
+        touched = {str(r.bucket) for r in fresh.select("bucket").distinct().collect()}  # at most the number of buckets
+        if not touched:
+            return
+        old = self._rows({b: v for b, v in versions.items() if b in touched})
+        merged = latest_by(fresh.unionByName(old), self.keys, *(self.stamps or self.keys))
+        part = F.pmod(F.xxhash64(*self.keys, F.lit(1)), F.lit(self.files))
+        merged.repartition("bucket", part).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={last + 1}")
+        self._publish(last + 1, versions | dict.fromkeys(touched, last + 1))
+
+    def _publish(self, number: int, versions: dict[str, int]) -> None:
+        draft, final = (self._path(f"{self.path}/manifests/{name}") for name in (f"_{number}", str(number)))
+        out = self._files.create(draft, True)
+        out.write(bytearray(json.dumps(versions).encode()))
+        out.close()
+        if not self._files.rename(draft, final):
+            raise RuntimeError(f"another writer has published version {number} of {self.path}")
+
+    def vacuum(self) -> None:
+        """Remove bucket versions that the current manifest does not name. Not while older readers are at work."""
+        last, versions = self._current()
+        for version in self._files.globStatus(self._path(f"{self.path}/data/version=*")) or []:
+            number = int(version.getPath().getName().partition("=")[2])
+            for bucket in self._files.listStatus(version.getPath()):
+                name = bucket.getPath().getName().partition("=")[2]
+                if name and number <= last and versions.get(name) != number:
+                    self._files.delete(bucket.getPath(), True)
 
 
 def upsert(rows: DataFrame, table: LatestTable, checkpoint: str) -> None:
-    """Drain landed rows into the table of newest records."""
+    """Drain landed rows into the table."""
     (
         rows.writeStream.foreachBatch(table.merge)
         .option("checkpointLocation", checkpoint)
@@ -94,9 +115,3 @@ def upsert(rows: DataFrame, table: LatestTable, checkpoint: str) -> None:
         .start()
         .awaitTermination()
     )
-
-
-def drain_in_shared_dir(spark: SparkSession, rows: DataFrame, root: str) -> DataFrame:
-    """Drain into ``root``/rows with the checkpoint beside it, and read the result."""
-    drain(rows, f"{root}/rows", f"{root}/checkpoint")
-    return spark.read.schema(rows.schema).parquet(f"{root}/rows")

@@ -1,7 +1,9 @@
 import datetime as dt
 
+import pytest
+
 from ludoshelf.operators.keyed import latest_by
-from ludoshelf.streaming.incremental import LatestTable, drain, read_increment, upsert, without_repeats
+from ludoshelf.streaming.incremental import LatestTable, read_increment, upsert
 
 SCHEMA = "app_id bigint, kind string, cursor string, fetched_at timestamp_ntz, body string"
 
@@ -10,20 +12,51 @@ def rows(spark, *data):
     return spark.createDataFrame([(a, "reviews", c, dt.datetime(2024, 1, 1, h), b) for a, c, h, b in data], SCHEMA)
 
 
-def test_each_landed_row_once_across_runs(spark, tmp_path):
-    landing, target, checkpoint = (str(tmp_path / n) for n in ("landing", "target", "checkpoint"))
+def test_each_landed_row_once_across_runs_and_late_rows_stay(spark, tmp_path):
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
     schema = rows(spark, (1, "*", 1, "a")).schema
+    table = LatestTable(spark, str(tmp_path / "once"), schema, ["app_id", "kind", "cursor"], [], buckets=4)
 
     def run():
-        stream = read_increment(spark, landing, schema, max_files=1)
-        drain(without_repeats(stream, ["app_id", "kind", "cursor"], "fetched_at", "10 days"), target, checkpoint)
-        return sorted((r.app_id, r.cursor) for r in spark.read.schema(schema).parquet(target).collect())
+        upsert(read_increment(spark, landing, schema, max_files=1), table, checkpoint)
+        return sorted((r.app_id, r.cursor) for r in table.read().collect())
 
-    rows(spark, (1, "*", 1, "a"), (1, "*", 2, "again"), (2, "*", 1, "b")).coalesce(1).write.mode("append").parquet(landing)
+    rows(spark, (1, "*", 20, "a"), (1, "*", 21, "again"), (2, "*", 20, "b")).coalesce(1).write.mode("append").parquet(landing)
     assert run() == [(1, "*"), (2, "*")]
     assert run() == [(1, "*"), (2, "*")]
-    rows(spark, (1, "*", 3, "again"), (1, "c1", 3, "c")).coalesce(1).write.mode("append").parquet(landing)
+    rows(spark, (1, "*", 22, "again"), (1, "c1", 22, "c")).coalesce(1).write.mode("append").parquet(landing)
     assert run() == [(1, "*"), (1, "c1"), (2, "*")]
+    rows(spark, (3, "*", 0, "long ago")).coalesce(1).write.mode("append").parquet(landing)
+    assert run() == [(1, "*"), (1, "c1"), (2, "*"), (3, "*")]
+
+
+def test_a_stop_before_the_manifest_loses_nothing(spark, tmp_path, monkeypatch):
+    old = rows(spark, *((k, "*", 1, "old") for k in range(20)))
+    new = rows(spark, *((k, "*", 2, "new") for k in range(0, 20, 2)))
+    table = LatestTable(spark, str(tmp_path / "latest"), old.schema, ["app_id"], ["fetched_at"], buckets=3)
+    table.merge(old)
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(LatestTable, "_publish", stop)
+        with pytest.raises(RuntimeError):
+            table.merge(new)
+    assert sorted((r.app_id, r.body) for r in table.read().collect()) == [(k, "old") for k in range(20)]
+    table.merge(new)
+    want = [(k, "old" if k % 2 else "new") for k in range(20)]
+    assert sorted((r.app_id, r.body) for r in table.read().collect()) == want
+    table.vacuum()
+    assert sorted((r.app_id, r.body) for r in table.read().collect()) == want
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    data = rows(spark, *((k, "*", 1, "x") for k in range(50)))
+    table = LatestTable(spark, str(tmp_path / "latest"), data.schema, ["app_id"], ["fetched_at"], buckets=8)
+    table.merge(data)
+    table.merge(rows(spark, (7, "*", 2, "y")))
+    assert sorted(table._current()[1].values()) == [1] * 7 + [2]
 
 
 def test_upsert_equals_batch_and_repeats_harmlessly(spark, tmp_path):
