@@ -1,12 +1,14 @@
 """Marks elements of HTML pages: the one step that needs an HTML tokenizer.
 
 ``mark_elements(rules)`` gives an Arrow function from page text to an array of marks. A mark is one element
-that matches a rule: its name, its start and end position in document order, its text, one attribute. Which marks make up
+that matches a rule: its name, its start and end position in document order, its text, one attribute, and where the marks
+inside it begin and end in the array. Which marks make up
 a tag, a table row or a score block is decided by Column expressions in ``operators.html_facts``.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -21,6 +23,8 @@ MARKS = T.ArrayType(
     .add("last", T.IntegerType())
     .add("text", T.StringType())
     .add("attr", T.StringType())
+    .add("inner", T.IntegerType())
+    .add("upto", T.IntegerType())
 )
 
 # Elements without an end tag, and elements that a new one of the same group closes.
@@ -118,7 +122,11 @@ class _Marker(HTMLParser):
         self.feed(page)
         self.close()
         self._close_to(0)
-        return sorted(self.found, key=lambda m: m["first"])
+        found = sorted(self.found, key=lambda m: m["first"])
+        firsts = [m["first"] for m in found]
+        for m in found:
+            m["inner"], m["upto"] = bisect_right(firsts, m["first"]), bisect_right(firsts, m["last"])
+        return found
 
 
 def mark_elements(*rules: Rule):

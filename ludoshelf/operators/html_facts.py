@@ -47,6 +47,11 @@ def _inside(marks: Column, outer: Column) -> Column:
     return F.filter(marks, lambda m: (m["first"] > outer["first"]) & (m["last"] <= outer["last"]))
 
 
+def _within(marks: Column, outer: Column) -> Column:
+    """The marks inside one, as a slice of all marks: they stand together in document order."""
+    return F.slice(marks, outer["inner"] + 1, outer["upto"] - outer["inner"])
+
+
 def _first(marks: Column, kind: str) -> Column:
     return F.get(_of(marks, kind), F.lit(0))
 
@@ -94,7 +99,7 @@ def achievements(marks: Column) -> Column:
     """Achievement blocks that have a name, in page order."""
     opened = F.transform(
         _of(marks, "block"),
-        lambda b: F.struct(b["attr"].alias("css"), _inside(marks, b).alias("inner")),
+        lambda b: F.struct(b["attr"].alias("css"), _within(marks, b).alias("inner")),
     )
     lines = F.transform(
         opened,

@@ -73,3 +73,19 @@ def test_achievement_summary(spark):
     facts = html_facts.achievement_facts(rows(spark, html, ""), "app_id")
     got = html_facts.achievement_summary(facts, "app_id").orderBy("app_id").collect()
     assert [(r.achievements, r.hidden, r.avg_percent) for r in got] == [(2, 1, 10.0), (0, 0, None)]
+
+
+def test_time_of_a_page_grows_with_its_blocks(spark):
+    import time
+
+    from ludoshelf.operators import html_facts
+
+    def seconds(blocks):
+        row = '<div class="achieveRow"><div class="achieveTxt"><h3>n</h3><h5>d</h5></div></div>'
+        pages = spark.createDataFrame([(1, row * blocks)], "id long, body string")
+        start = time.perf_counter()
+        assert html_facts.achievement_facts(pages, "id").selectExpr("size(achievements) n").first().n == blocks
+        return time.perf_counter() - start
+
+    seconds(10)
+    assert seconds(8000) < 12 * max(seconds(1000), 0.5)
