@@ -55,13 +55,12 @@ def newest_response(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def until_first_stop(df: DataFrame, keys: Sequence[str], order: Column, stop: Column) -> DataFrame:
     """Rows of each chain up to and including its first stop row.
 
-    The stop position is a partial aggregate (one row per chain) joined back, so a chain that holds a large
-    share of the rows is never sorted in one task; the join's big side may be split by AQE.
+    Flags decide: the stop position is a partial aggregate (one row per chain), and what lies behind it is found on
+    rows of key and order alone. The whole rows meet only the positions to drop, by key and order, so a chain that holds a
+    large share of the rows is spread. ``df`` is read for the flags and for the rows; write it first where it is costly. A null stop is none.
     """
     marked = df.withColumn("_order", order)
-    stops = marked.where(stop).groupBy(*keys).agg(F.min("_order").alias("_stop_at"))
-    return (
-        marked.join(stops, list(keys), "left")
-        .where(F.col("_stop_at").isNull() | (F.col("_order") <= F.col("_stop_at")))
-        .drop("_order", "_stop_at")
-    )
+    flags = marked.select(*keys, "_order", stop.alias("_stop"))
+    stops = flags.where("_stop").groupBy(*keys).agg(F.min("_order").alias("_stop_at"))
+    behind = flags.join(stops, list(keys)).where(F.col("_order") > F.col("_stop_at")).select(*keys, "_order").distinct()
+    return marked.join(behind, [*keys, "_order"], "left_anti").select(*df.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ludoshelf.operators import reviews
 from ludoshelf.plans import workload
 from ludoshelf.plans.workload import PAGE_RANGE, table
+from ludoshelf.sources.staging import Staging
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +61,8 @@ SELECT k.* FROM kept k LEFT JOIN stops s ON k.conv_id = s.conv_id WHERE s.stop_a
 
 def chain_reviews(spark: SparkSession, sf_dir: str, k: Column) -> DataFrame:
     """Reviews of every chain up to its stop, at most the best k of a page."""
-    pages = reviews.bounded_pages(_pages(spark, sf_dir), ["app_id", "review_type"], None, stop=reviews.chain_stop())
+    written = Staging(spark)(_pages(spark, sf_dir), "review_pages")  # read for the flags and for the reviews
+    pages = reviews.bounded_pages(written, ["app_id", "review_type"], None, stop=reviews.chain_stop())
     return reviews.flatten(pages, k)
 
 
