@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ludoshelf.llm import line_dedup
+from ludoshelf.llm import line_dedup, url_filter
 
 
 
@@ -86,4 +86,4 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_lm_scores": op10_lm_scores,
 }
-ORACLE_SQL = {"op6_line_dedup": line_dedup.SQL}
+ORACLE_SQL = {"op2_url_filter": url_filter.SQL, "op6_line_dedup": line_dedup.SQL}

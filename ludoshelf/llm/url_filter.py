@@ -110,3 +110,50 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, stage
         .withColumn("own", own)
         .select("page_id", "host", "path", F.col("own.rule").alias("rule"), F.coalesce(F.col("own.verdict"), inherited).alias("verdict"), F.coalesce("n_aliases", F.lit(0)).alias("n_aliases"))
     )
+
+
+def _sql_host(url: str) -> str:
+    return f"coalesce(translate(regexp_extract({url}, '://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '')"
+
+
+def _sql_path(url: str) -> str:
+    return f"coalesce(regexp_extract({url}, '://[^/?#]*([^?#]*)', 1), '')"
+
+
+def _sql_rule(host: str, path: str, rule: bool) -> str:
+    cases = [
+        f"WHEN ({host} = '{of}' OR {host} LIKE '%.{of}') AND starts_with({path}, '{below}') THEN '{of + below if rule else verdict}'"
+        for verdict, of, below in sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r[1], r[2]))
+    ]
+    return f"CASE {' '.join(cases)} END"
+
+
+#: The same over ``pages`` with the default rules, in DuckDB's SQL.
+SQL = rf"""
+WITH RECURSIVE usable AS (SELECT * FROM pages WHERE url LIKE '%://%'),
+tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM usable),
+named AS (
+    SELECT url, CASE WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?canonical\b') THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+        WHEN regexp_matches(tag, '(?is)^<meta\b.*\bhttp-equiv\s*=\s*["'']?refresh\b') THEN regexp_extract(tag, '(?is)\bcontent\s*=\s*["'']?\s*[0-9.]*\s*[;,]\s*url\s*=\s*["'']?([^"''\s>]+)', 1)
+        ELSE '' END AS t FROM tags
+), links AS (
+    SELECT url AS a, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
+        WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || t
+        WHEN starts_with(t, '#') OR starts_with(t, '?') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || {_sql_path('url')} || t
+        ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || CASE WHEN {_sql_path('url')} LIKE '%/%' THEN regexp_replace({_sql_path('url')}, '[^/]*$', '') ELSE '/' END || t END AS b
+    FROM named WHERE t <> ''
+), addresses AS (SELECT url AS u FROM usable UNION SELECT b FROM links),
+spelled AS (
+    SELECT u AS a, replace(regexp_replace({_sql_host('u')}, '^(?:www\.|m\.)+([^.]+\.)', '\1') || regexp_replace({_sql_path('u')}, '/+$', '')
+        || CASE WHEN q <> '' THEN '?' || q ELSE '' END, '://', ':%2F/') AS b
+    FROM (SELECT u, array_to_string(list_filter(string_split(regexp_extract(u, '^[^?#]*\?([^#]*)', 1), '&'),
+        lambda x: x <> '' AND NOT regexp_matches(x, '^(?:utm_\w+|ref|fbclid|gclid)(?:=|$)')), '&') AS q FROM addresses)
+), edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links UNION SELECT a, b FROM spelled UNION SELECT b, a FROM spelled),
+reach AS (SELECT u AS node, u AS other FROM addresses UNION SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.other),
+ruled AS (SELECT u, {_sql_rule(_sql_host('u'), _sql_path('u'), False)} AS verdict FROM addresses),
+decided AS (SELECT r.node, count(*) AS n_aliases, bool_or(d.verdict = 'allow') AS allowed, bool_or(d.verdict = 'block') AS blocked FROM reach r JOIN ruled d ON d.u = r.other GROUP BY r.node)
+SELECT page_id, {_sql_host('p.url')} AS host, {_sql_path('p.url')} AS path, {_sql_rule(_sql_host('p.url'), _sql_path('p.url'), True)} AS rule,
+    coalesce({_sql_rule(_sql_host('p.url'), _sql_path('p.url'), False)}, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict,
+    coalesce(n_aliases, 0) AS n_aliases
+FROM pages p LEFT JOIN decided d ON d.node = p.url
+"""

@@ -124,6 +124,10 @@ def test_blocks_spread_over_redirects_and_allows_win(spark):
     ]
     got = judged(pages(spark, rows))
     assert [got[k].verdict for k in range(7)] == ["block", "block", "block", "allow", "allow", "allow", "allow"]
+    frame = pages(spark, rows)
+    duck = duckdb.connect()
+    duck.register("pages", frame.toPandas())
+    assert sorted(duck.sql(url_filter.SQL).fetchall()) == sorted(map(tuple, url_filter.judge(frame).collect()))
     assert got[0].n_aliases == 4 and judged(pages(spark, [])) == {}
 
 
