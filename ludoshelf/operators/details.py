@@ -32,9 +32,9 @@ DATE_OUTLINES = (r"^\p{L}{3} ", r"^\p{L}{3,} ", r"^\d+ \p{L}{3},", r"^\d{4}-")
 REQUIREMENT_MEMBERS = {"windows": "pc_requirements", "mac": "mac_requirements", "linux": "linux_requirements"}
 
 
-def landed_details(landed: DataFrame) -> DataFrame:
-    """Details responses with ``data`` and ``error``."""
-    return with_details(landed, FIELDS)
+def landed_details(landed: DataFrame, names: tuple[str, ...] = FIELDS) -> DataFrame:
+    """Details responses with ``data`` (the named members only) and ``error``."""
+    return with_details(landed, names)
 
 
 def release_date(raw: Column) -> Column:

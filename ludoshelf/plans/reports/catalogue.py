@@ -114,24 +114,29 @@ def catalogue_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-CATALOGUE_CHAIN = """
-WITH items AS (SELECT l_returnflag AS chain, l_orderkey // 100 AS page_no, l_partkey FROM lineitem),
-pages AS (SELECT chain, page_no, COUNT(*) + 3 AS items FROM items GROUP BY 1, 2),
-firsts AS (SELECT chain, l_partkey, MIN(page_no) AS page_no FROM items WHERE l_partkey > 0 GROUP BY 1, 2),
+CATALOGUE_ITEMS = """
+SELECT l_returnflag || '-' || (l_suppkey % 7) AS chain, l_suppkey % 7 AS residue, l_orderkey // 100 AS page_no, l_partkey FROM lineitem
+"""
+CATALOGUE_CHAIN = f"""
+WITH items AS ({CATALOGUE_ITEMS}),
+pages AS (SELECT chain, residue, page_no, CASE WHEN page_no <> 4 THEN 0 ELSE residue END AS odd, COUNT(*) + 3 AS items FROM items GROUP BY 1, 2, 3),
+firsts AS (SELECT chain, l_partkey, MIN(page_no) AS page_no FROM items WHERE l_partkey > 0 AND NOT (page_no = 4 AND residue IN (1, 5)) GROUP BY 1, 2),
 new AS (SELECT chain, page_no, COUNT(*) AS new_ids FROM firsts GROUP BY 1, 2),
-known AS (SELECT p.chain, p.page_no, p.items, COALESCE(n.new_ids, 0) AS new_ids
+known AS (SELECT p.chain, p.page_no, p.odd, CASE odd WHEN 1 THEN 0 WHEN 5 THEN NULL ELSE p.items END AS items,
+            CASE odd WHEN 2 THEN NULL WHEN 5 THEN NULL WHEN 3 THEN 4 ELSE p.page_no + 1 END AS next_key, COALESCE(n.new_ids, 0) AS new_ids,
+            CASE odd WHEN 5 THEN 'error' WHEN 1 THEN 'empty page' WHEN 2 THEN 'no next key' WHEN 3 THEN 'key not advancing' WHEN 4 THEN 'short page'
+              ELSE CASE WHEN n.new_ids IS NULL THEN 'no new ids' END END AS stop_reason
           FROM pages p LEFT JOIN new n ON p.chain = n.chain AND p.page_no = n.page_no),
-stops AS (SELECT chain, MIN(page_no) AS stop_at FROM known WHERE new_ids = 0 GROUP BY 1)
+stops AS (SELECT chain, MIN(page_no) AS stop_at FROM known WHERE stop_reason IS NOT NULL GROUP BY 1)
 SELECT k.chain, CAST(k.page_no AS INTEGER) AS page_no, CAST(k.items AS INTEGER) AS items,
-       CAST(k.page_no + 1 AS BIGINT) AS next_key, k.new_ids,
-       CASE WHEN k.new_ids = 0 THEN 'no new ids' END AS stop_reason
+       CAST(k.next_key AS BIGINT) AS next_key, k.new_ids, k.stop_reason
 FROM known k LEFT JOIN stops s ON k.chain = s.chain WHERE s.stop_at IS NULL OR k.page_no <= s.stop_at
 """
 
 
 APP_IDS = f"""
-SELECT DISTINCT l_partkey AS app_id FROM lineitem l JOIN ({CATALOGUE_CHAIN}) c
-  ON l.l_returnflag = c.chain AND l.l_orderkey // 100 = c.page_no WHERE l_partkey > 0
+SELECT DISTINCT l_partkey AS app_id FROM ({CATALOGUE_ITEMS}) i JOIN ({CATALOGUE_CHAIN}) c
+  ON i.chain = c.chain AND i.page_no = c.page_no AND c.items > 0 WHERE l_partkey > 0
 """
 
 ID_CATALOGUE = f"SELECT app_id FROM ({APP_IDS}) ORDER BY 1 LIMIT 1000"

@@ -10,14 +10,15 @@ from ludoshelf.plans import workload
 from ludoshelf.plans.workload import details_body, landed, table, wide
 
 
-def _admitted(rows: DataFrame) -> DataFrame:
-    return details.landed_details(rows).where(F.col("error").isNull())
+def _admitted(rows: DataFrame, *names: str) -> DataFrame:
+    """Admitted details; only the named members are read from the bodies, or all."""
+    return details.landed_details(rows, names or details.FIELDS).where(F.col("error").isNull())
 
 
-def _bodies(rows: DataFrame, key: str, data: Column, **values: Column) -> DataFrame:
-    """Admitted details of rows whose body holds ``data`` (JSON text)."""
+def _bodies(rows: DataFrame, key: str, data: Column, *names: str, **values: Column) -> DataFrame:
+    """Admitted details of rows whose body holds ``data`` (JSON text), with the named members."""
     app_id = F.col(key)
-    return _admitted(landed(rows, "app_details", app_id=app_id, body=details_body(app_id, data), **values))
+    return _admitted(landed(rows, "app_details", app_id=app_id, body=details_body(app_id, data), **values), *names)
 
 
 def base_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +94,7 @@ def release_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 8 == 6, "Coming soon")
     )
     data = F.to_json(F.struct(F.struct(raw.alias("date"), (k % 2 == 0).alias("coming_soon")).alias("release_date")))
-    dated = _bodies(wide(spark, sf_dir, "orders"), "o_orderkey", data).select(
+    dated = _bodies(wide(spark, sf_dir, "orders"), "o_orderkey", data, "release_date").select(
         details.release(F.col("data.release_date")).alias("r")
     )
     return dated.groupBy(
@@ -121,7 +122,7 @@ def price_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     data = F.to_json(F.struct(price.alias("price_overview")))
     priced = _bodies(
-        wide(spark, sf_dir, "lineitem"), "l_orderkey", data, store_country=F.lower("l_returnflag")
+        wide(spark, sf_dir, "lineitem"), "l_orderkey", data, "price_overview", store_country=F.lower("l_returnflag")
     ).select("store_country", details.price(F.col("data.price_overview")).alias("price"))
     return details.price_summary(priced, "store_country")
 
@@ -145,7 +146,7 @@ def media_links(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     data = F.regexp_replace(F.to_json(F.struct(shots.alias("screenshots"))), r"\]\}\z", ',7,"x",null]}')
-    read = _bodies(wide(spark, sf_dir, "pages"), "page_id", data)
+    read = _bodies(wide(spark, sf_dir, "pages"), "page_id", data, "screenshots")
     return details.item_rows(read, details.screenshots(F.col("data.screenshots")), "app_id").select(
         "app_id", "pos", "item.id", "item.full_url", "item.thumbnail_url"
     )
@@ -186,7 +187,7 @@ def split_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_replace(words, "ing,", "ing<strong>*</strong>,"), F.lit(", *,<br><strong>*</strong>languages with full audio support")
     )
     data = F.to_json(F.struct(listed.alias("supported_languages")))
-    read = _bodies(wide(spark, sf_dir, "documents"), "doc_id", data).select(
+    read = _bodies(wide(spark, sf_dir, "documents"), "doc_id", data, "supported_languages").select(
         "app_id", details.language_fragments(F.col("data.supported_languages")).alias("parts")
     )
     return (
@@ -252,7 +253,7 @@ def map_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = F.struct(
         (kind == "view").alias("windows"), (value > 20).alias("mac"), F.lit("yes").alias("linux"), F.lit(1).alias("deck")
     )
-    read = _bodies(wide(spark, sf_dir, "events"), "user_id", F.to_json(F.struct(flags.alias("platforms"))))
+    read = _bodies(wide(spark, sf_dir, "events"), "user_id", F.to_json(F.struct(flags.alias("platforms"))), "platforms")
     return (
         details.item_rows(read, F.map_entries(details.platforms(F.col("data.platforms"))), "app_id")
         .groupBy("app_id", F.col("item.key").alias("os"))
@@ -276,7 +277,7 @@ def descriptor_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(12).alias("rating"), F.lit(12).alias("required_age")).alias("esrb"),
         F.lit("none").alias("dejus"),
     )
-    read = _bodies(wide(spark, sf_dir, "documents"), "doc_id", F.to_json(F.struct(ratings.alias("ratings"))))
+    read = _bodies(wide(spark, sf_dir, "documents"), "doc_id", F.to_json(F.struct(ratings.alias("ratings"))), "ratings")
     rows = details.item_rows(read, details.age_ratings(F.col("data.ratings")), "app_id")
     per_app = details.required_age(rows, "app_id")
     parts = F.col("item.descriptors")

@@ -326,7 +326,11 @@ def requests_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` as catalogue pages: return flag = chain, 100 order keys per page, items in mixed shapes."""
+    """``lineitem`` as catalogue pages: return flag and supplier residue = chain, 100 order keys per page, items in mixed shapes.
+
+    Page 4 of a chain is, by the residue: empty (1), without a next key (2), with a key that does not advance (3), the short last
+    one (4), or no answer at all (5). The others end where a page brings nothing new.
+    """
     key = F.col("l_partkey").cast("string")
     n = F.col("l_linenumber")
     item = (
@@ -336,23 +340,32 @@ def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     pages = (
         table(spark, sf_dir, "lineitem")
-        .groupBy("l_returnflag", F.expr("cast(l_orderkey div 100 as int)").alias("page_no"))
+        .groupBy("l_returnflag", (F.col("l_suppkey") % 7).alias("residue"), F.expr("cast(l_orderkey div 100 as int)").alias("page_no"))
         .agg(F.collect_list(item).alias("items"))
     )
-    body = F.concat(
+
+    def fourth(residue: int) -> Column:
+        return (F.col("page_no") == 4) & (F.col("residue") == residue)
+
+    page_no = F.col("page_no").cast("string")
+    apps = F.when(fourth(1), "").otherwise(F.concat(F.array_join("items", ","), F.lit(',null,"x",{"name":1}')))
+    next_key = F.when(fourth(2), "null").when(fourth(3), page_no).otherwise((F.col("page_no") + 1).cast("string"))
+    answer = F.concat(
         F.lit('{"response":{"apps":['),
-        F.array_join("items", ","),
-        F.lit(',null,"x",{"name":1}],"have_more_results":true,"last_appid":'),
-        (F.col("page_no") + 1).cast("string"),
+        apps,
+        F.lit('],"have_more_results":'),
+        F.when(fourth(4), "false").otherwise("true"),
+        F.lit(',"last_appid":'),
+        next_key,
         F.lit("}}"),
     )
     return landed(
         pages,
         "app_list",
-        url=F.col("l_returnflag"),
+        url=F.concat_ws("-", "l_returnflag", "residue"),
         page_no=F.col("page_no"),
-        cursor=F.when(F.col("page_no") > 0, F.col("page_no").cast("string")),
-        body=body,
+        cursor=F.when(F.col("page_no") > 0, page_no),
+        body=F.when(fourth(5), '{"answer":{}}').otherwise(answer),
     )
 
 
