@@ -17,7 +17,7 @@ from itertools import combinations, islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludoshelf.llm.common import ROWS_AT_ONCE, components, stage
@@ -29,6 +29,7 @@ SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and length
 GENERATOR = 0b101011100011  # fixed value: generator polynomial of the binary Golay code of length 23
 HASHES_AT_ONCE = 1 << 16
+STARS = 3  # comparisons with heads, before the members of different components are compared
 
 
 def fingerprint(text: str | None, words: int) -> int:
@@ -129,47 +130,63 @@ def key_rows(prints: DataFrame) -> DataFrame:
     return prints.select("print").mapInArrow(run, "key int, print long")
 
 
-def link_components(near: DataFrame, staged: Staging, radius: int = RADIUS, proof: DataFrame | None = None, proved: Callable[[str, str], str] | None = None) -> DataFrame:
-    """``node`` and ``root`` for those nodes of ``near`` (key, node, print) that have links: prints at most ``radius`` bits apart.
+def link_components(near: DataFrame, linked: Callable[[str, str], str], staged: Staging, proof: DataFrame | None = None, proved: Callable[[str, str], str] | None = None) -> DataFrame:
+    """``node`` and ``root`` for those nodes of ``near`` that have links. ``near`` has ``key``, ``node`` and the columns that
+    ``linked`` reads; ``linked(a, b)`` is the condition of a link between two rows by the prefixes of their columns.
 
-    With ``proof`` (a row per node) a link must also meet ``proved(a, b)``, a condition on its columns by their prefixes. The
-    wide columns of the proof are joined to pairs and to crowded keys only.
+    With ``proof`` (a row per node) a link must also meet ``proved(a, b)``, a condition on its columns. These wide columns are joined
+    to pairs and to crowded keys only.
 
-    First every member of a key is held against the least one of the key: links of a star, one row a member. Only
-    then, in keys that still hold several components, members of different components are held against each
+    First every member of a key is held against one head of the key: links of a star, one row a member. This is repeated with other
+    heads in the keys that still hold several components. Only then members of different components are held against each
     other, and what leaves the join are pairs of components. A crowded group is thereby one component before any pairs are made.
     """
-    if not 0 <= radius <= RADIUS:
-        raise ValueError(f"the keys guarantee a radius of at most {RADIUS}")
     near = staged(near, "golay_keys")
+    carried = [c for c in near.columns if c not in ("key", "node")]
 
     def side(rows: DataFrame, name: str, *but: str) -> DataFrame:
         return rows.withColumnsRenamed({c: f"{name}_{c}" for c in rows.columns if c not in but})
 
-    heads = near.groupBy("key").agg(F.min("node").alias("h_node"), F.min_by("print", "node").alias("h_print"), F.count("*").alias("n"))
-    heads = heads.where("n > 1").drop("n").hint("merge")
-    star = near.join(heads, "key").where(f"h_node != node and bit_count(h_print ^ print) <= {radius}")
-    star = star.select(F.col("h_node").alias("a"), F.col("node").alias("b")).distinct()
-    if proof is not None:
-        star = star.join(side(proof, "a", "node").withColumnRenamed("node", "a"), "a").join(side(proof, "b", "node").withColumnRenamed("node", "b"), "b")
-        star = star.where(proved("a", "b")).select("a", "b")
-    first = components(star, staged, "golay_star")
-
-    named = near.join(first, "node", "left").select(*near.columns, F.coalesce("root", "node").alias("root"))
-    named = staged(named, "golay_named")
-    # The least member of a key has been held against all others; a key of two is done.
-    mixed = named.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    mixed = mixed.where("n > 2 and lo != hi").select("key", "head").hint("merge")
-    named = named.join(mixed, "key").where("node != head").drop("head")
-    named = staged(named if proof is None else named.join(proof, "node"), "golay_mixed")
-    across = side(named, "a", "key").hint("merge").join(side(named, "b", "key"), "key")
-    across = across.where(f"a_root < b_root and bit_count(a_print ^ b_print) <= {radius}" + (f" and {proved('a', 'b')}" if proved else ""))
-    second = components(across.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), staged, "golay_across")
-
-    again = second.select(F.col("node").alias("root"), F.col("root").alias("final"))
-    through = first.join(again, "root", "left").select("node", F.coalesce("final", "root").alias("root"))
-    alone = second.join(first.select("node"), "node", "left_anti")
-    return staged(through.unionByName(alone), "golay_components")
+    def by(number: int) -> Column:
+        """The order of a round, whose least member is the key's head."""
+        return F.xxhash64("node", F.lit(number))
+
+    def star(rows: DataFrame, number: int) -> DataFrame:
+        """Links between the members of a key and its head."""
+        heads = rows.groupBy("key").agg(*[F.min_by(c, by(number)).alias(f"h_{c}") for c in ("node", *carried)], F.count("*").alias("n"))
+        heads = heads.where("n > 1").drop("n").hint("merge")
+        pairs = side(rows, "m", "key").join(heads, "key").where(f"h_node != m_node and {linked('h', 'm')}")
+        pairs = pairs.select(F.least("h_node", "m_node").alias("a"), F.greatest("h_node", "m_node").alias("b")).distinct()
+        if proof is None:
+            return pairs
+        pairs = pairs.join(side(proof, "a", "node").withColumnRenamed("node", "a"), "a").join(side(proof, "b", "node").withColumnRenamed("node", "b"), "b")
+        return pairs.where(proved("a", "b")).select("a", "b")
+
+    def merged(roots: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+        """Components after further links, whose ends may be nodes or roots."""
+        for end in ("a", "b"):
+            of = roots.select(F.col("node").alias(end), F.col("root").alias("_root"))
+            pairs = pairs.join(of, end, "left").withColumn(end, F.coalesce("_root", end)).drop("_root")
+        again = components(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), staged, name)
+        through = roots.join(again.select(F.col("node").alias("root"), F.col("root").alias("_final")), "root", "left")
+        through = through.select("node", F.coalesce("_final", "root").alias("root"))
+        alone = again.join(roots.select("node"), "node", "left_anti").select("node", "root")
+        return staged(through.unionByName(alone), f"{name}_roots")
+
+    rows, roots = near, None
+    for number in range(STARS):
+        pairs = star(rows, number)
+        roots = components(pairs, staged, "golay_star_0") if roots is None else merged(roots, pairs, f"golay_star_{number}")
+        named = staged(rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"golay_named_{number}")
+        mixed = named.groupBy("key").agg(F.min_by("node", by(number)).alias("head"), F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+        # The head of a key has been held against all others; a key of two is done, and so is one of a single component.
+        mixed = mixed.where("n > 2 and lo != hi").select("key", "head").hint("merge")
+        left = staged(named.join(mixed, "key").where("node != head").drop("head"), f"golay_mixed_{number}")
+        rows = left.drop("root")
+    left = left if proof is None else staged(left.join(proof, "node"), "golay_proof")
+    across = side(left, "a", "key").hint("merge").join(side(left, "b", "key"), "key")
+    across = across.where(f"a_root < b_root and {linked('a', 'b')}" + (f" and {proved('a', 'b')}" if proved else ""))
+    return merged(roots, across.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), "golay_across")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, radius: int = RADIUS, staged: Staging | None = None) -> DataFrame:
@@ -182,8 +199,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = RADIUS, stage
     staged = staged or stage(docs.sparkSession)
     printed = staged(fingerprints(docs, words), "simhash")
     distinct = staged(printed.groupBy("print").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash_distinct")
-    near = key_rows(distinct).select("key", F.col("print").alias("node"), "print")
-    linked = link_components(near, staged, radius).withColumnRenamed("node", "print")
+    if not 0 <= radius <= RADIUS:
+        raise ValueError(f"the keys guarantee a radius of at most {RADIUS}")
+    near = key_rows(distinct).withColumnRenamed("print", "node")
+    linked = link_components(near, lambda a, b: f"bit_count({a}_node ^ {b}_node) <= {radius}", staged).withColumnRenamed("node", "print")
     rooted = distinct.join(linked, "print", "left").withColumn("root", F.coalesce("root", "print"))
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("n_component")).hint("merge")
     named = staged(rooted.join(groups, "root").select("print", "component_id", "n_component"), "simhash_groups")
@@ -226,7 +245,7 @@ def text_prints(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _word_keys(classes: DataFrame) -> DataFrame:
-    """Golay keys of every word print of a class."""
+    """Golay keys of every word print of a class, with the first half of its wide print."""
 
     def run(batches):
         for batch in batches:
@@ -235,25 +254,30 @@ def _word_keys(classes: DataFrame) -> DataFrame:
                 prints = np.array(part.column(1).to_pylist(), np.int64).reshape(-1, WORD_PRINTS)
                 for number in range(WORD_PRINTS):
                     of, key = keys(np.ascontiguousarray(prints[:, number]))
-                    nodes = part.column(0).take(pa.array(of))
-                    yield pa.RecordBatch.from_arrays([pa.array((key + number * (3 << 24)).astype(np.int32)), nodes, pa.array(prints[of, number])], names=["key", "node", "print"])
+                    rows = pa.array(of)
+                    columns = [part.column(k).take(rows) for k in (0, 2, 3)]
+                    yield pa.RecordBatch.from_arrays([pa.array((key + number * (3 << 24)).astype(np.int32)), *columns], names=["key", "node", *WIDE[:2]])
 
-    return classes.select("node", "q").mapInArrow(run, "key int, node long, print long")
+    return classes.select("node", "q", *WIDE[:2]).mapInArrow(run, f"key int, node long, {WIDE[0]} long, {WIDE[1]} long")
 
 
 def representatives(docs: DataFrame, words: int = 5, similarity: float = SIMILAR, staged: Staging | None = None) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any other columns), as they are, that are first of their group of near-duplicates.
 
-    Texts are linked if a print over their words is near (Golay keys) and their wide prints over shingles of ``words`` words
+    Texts are linked if prints over their words meet in a Golay key and their wide prints over shingles of ``words`` words
     are as near as texts of ``similarity`` are; a wide print is known by its 64-bit hash. The least (doc_id, text key) of a group stays, one row of it; a null doc_id is least. Null,
     empty and blank texts are one group.
     """
     staged = staged or stage(docs.sparkSession)
-    most = round(64 * WIDE_LONGS * (math.acos(2 * similarity / (1 + similarity)) / math.pi + 0.02))
+    most = round(64 * WIDE_LONGS * (math.acos(2 * similarity / (1 + similarity)) / math.pi + 0.01))
     printed = staged(text_prints(docs, words).withColumn("node", F.xxhash64(*WIDE)), "text_prints")
     classes = staged(printed.groupBy("node", *WIDE).agg(F.min("q").alias("q")), "text_classes")
-    apart = " + ".join(f"bit_count({{0}}_{w} ^ {{1}}_{w})" for w in WIDE)
-    linked = link_components(_word_keys(classes), staged, proof=classes.select("node", *WIDE), proved=lambda a, b: f"{apart.format(a, b)} <= {most}")
+    def apart(names: list[str]) -> Callable[[str, str], str]:
+        return lambda a, b: " + ".join(f"bit_count({a}_{w} ^ {b}_{w})" for w in names) + f" <= {most}"
+
+    # Half of the bits already rules out nearly all pairs that merely meet in a key; the other half is joined to the rest.
+    proof = classes.select("node", *[F.col(w).alias(f"p{w}") for w in WIDE])
+    linked = link_components(_word_keys(classes), apart(WIDE[:2]), staged, proof, apart([f"p{w}" for w in WIDE]))
     rooted = printed.select("doc_id", "k1", "k2", "node").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first")).select("first.*")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text").cast("string")))
