@@ -130,16 +130,16 @@ def key_rows(prints: DataFrame) -> DataFrame:
     return prints.select("print").mapInArrow(run, "key int, print long")
 
 
-def link_components(near: DataFrame, linked: Callable[[str, str], str], staged: Staging, proof: DataFrame | None = None, proved: Callable[[str, str], str] | None = None) -> DataFrame:
+def link_components(near: DataFrame, linked: Callable[[str, str], str], staged: Staging, verified: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """``node`` and ``root`` for those nodes of ``near`` that have links. ``near`` has ``key``, ``node`` and the columns that
     ``linked`` reads; ``linked(a, b)`` is the condition of a link between two rows by the prefixes of their columns.
 
-    With ``proof`` (a row per node) a link must also meet ``proved(a, b)``, a condition on its columns. These wide columns are joined
-    to pairs and to crowded keys only.
+    With ``verified`` a pair that meets this condition is only a candidate: ``verified(pairs, name)`` gives those of the distinct pairs
+    (``a``, ``b``) that are links.
 
     First every member of a key is held against one head of the key: links of a star, one row a member. This is repeated with other
     heads in the keys that still hold several components. Only then members of different components are held against each
-    other, and what leaves the join are pairs of components. A crowded group is thereby one component before any pairs are made.
+    other. A crowded group is thereby one component before any pairs are made.
     """
     near = staged(near, "golay_keys")
     carried = [c for c in near.columns if c not in ("key", "node")]
@@ -157,10 +157,7 @@ def link_components(near: DataFrame, linked: Callable[[str, str], str], staged:
         heads = heads.where("n > 1").drop("n").hint("merge")
         pairs = side(rows, "m", "key").join(heads, "key").where(f"h_node != m_node and {linked('h', 'm')}")
         pairs = pairs.select(F.least("h_node", "m_node").alias("a"), F.greatest("h_node", "m_node").alias("b")).distinct()
-        if proof is None:
-            return pairs
-        pairs = pairs.join(side(proof, "a", "node").withColumnRenamed("node", "a"), "a").join(side(proof, "b", "node").withColumnRenamed("node", "b"), "b")
-        return pairs.where(proved("a", "b")).select("a", "b")
+        return pairs if verified is None else verified(pairs, f"golay_star_{number}")
 
     def merged(roots: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
         """Components after further links, whose ends may be nodes or roots."""
@@ -183,10 +180,12 @@ def link_components(near: DataFrame, linked: Callable[[str, str], str], staged:
         mixed = mixed.where("n > 2 and lo != hi").select("key", "head").hint("merge")
         left = staged(named.join(mixed, "key").where("node != head").drop("head"), f"golay_mixed_{number}")
         rows = left.drop("root")
-    left = left if proof is None else staged(left.join(proof, "node"), "golay_proof")
-    across = side(left, "a", "key").hint("merge").join(side(left, "b", "key"), "key")
-    across = across.where(f"a_root < b_root and {linked('a', 'b')}" + (f" and {proved('a', 'b')}" if proved else ""))
-    return merged(roots, across.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), "golay_across")
+    across = side(left, "a", "key").hint("merge").join(side(left, "b", "key"), "key").where(f"a_root < b_root and {linked('a', 'b')}")
+    if verified is None:
+        across = across.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct()
+    else:
+        across = verified(across.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct(), "golay_across")
+    return merged(roots, across, "golay_across")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, radius: int = RADIUS, staged: Staging | None = None) -> DataFrame:
@@ -211,76 +210,136 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = RADIUS, stage
     )
 
 
-#: A looser search for whole-text similarity. Candidates come from prints over the set of words, which a changed word moves least;
-#: they are verified on wide prints over word shingles. Angle / pi is arccos(2s / (1 + s)) / pi = 0.152 of the bits at a
-#: similarity of 0.8; one standard deviation of the estimate is 0.022.
-WORD_PRINTS = 3
+#: Whole-text similarity: exact Jaccard of the sets of word shingles. Texts meet in keys that lose no pair, wide SimHash prints of the sets
+#: rule out what merely met, and the rest is verified on the sets. Angle / pi is at most arccos(2s / (1 + s)) / pi = 0.152 of the bits at a
+#: similarity of 0.8, and 3/16 for the smallest sets; the cut lies six standard deviations above.
 WIDE_LONGS = 4
 SIMILAR = 0.8
+SMALL = 32  # shingles of a set whose prints are cut by the wider share
 WIDE = [f"w{k}" for k in range(WIDE_LONGS)]
+SAMPLE = 5_000  # documents whose shingles are counted
+COMMON = 300_000  # shingles that are known as common at most
 
 
 def _digest(feature: bytes, first_seed: int) -> bytes:
     return b"".join(xxhash.xxh3_128_digest(feature, seed=first_seed + k) for k in range(2))
 
 
-def text_prints(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, k1, k2 (the row's key), w0.. (a wide print over shingles) and q (prints over the set of words)."""
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The distinct 64-bit hashes of the word shingles of a text, in order."""
+    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(s, seed=SEED) for s in _shingles(words_of(text), words)), np.uint64).view(np.int64))
+
+
+def shingle_sets(docs: DataFrame, words: int, keys: list[str]) -> DataFrame:
+    """The columns ``keys`` (long) of ``docs`` and ``shingles``, the set of its column text."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                wide, narrow = [], []
-                for text in part.column(3).to_pylist():
-                    split = words_of(text)
-                    wide.append(_majority(_shingles(split, words), partial(_digest, first_seed=SEED), WIDE_LONGS).astype(np.int64))
-                    narrow.append(_majority(set(split), partial(_digest, first_seed=SEED + 2), WIDE_LONGS).astype(np.int64)[:WORD_PRINTS])
-                columns = [pa.array(c) for c in np.stack(wide).T]
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns, pa.array(list(narrow), pa.list_(pa.int64()))], names=["doc_id", "k1", "k2", *WIDE, "q"])
+                sets = [shingle_set(t, words) for t in part.column(len(keys)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keys)], pa.array(sets, pa.list_(pa.int64()))], names=[*keys, "shingles"])
 
-    text = F.col("text").cast("string")
-    kinds = ", ".join(f"{w} long" for w in WIDE)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(text), text).mapInArrow(run, f"doc_id long, k1 long, k2 long, {kinds}, q array<long>")
+    return docs.select(*keys, F.col("text").cast("string")).mapInArrow(run, ", ".join(f"{k} long" for k in keys) + ", shingles array<long>")
 
 
-def _word_keys(classes: DataFrame) -> DataFrame:
-    """Golay keys of every word print of a class, with the first half of its wide print."""
+def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that stand in several texts of a sample, in order, and their counts. They only order the keys; no result depends on them."""
+    every = max(1, docs.count() // SAMPLE)
+    some = docs.where(F.expr(f"pmod(xxhash64(cast(text as string)), {every}) = 0")).select(F.lit(0).cast("long").alias("zero"), "text")
+    counts = shingle_sets(some, words, ["zero"]).select(F.explode("shingles").alias("h")).groupBy("h").count().where("count > 1")
+    found = counts.orderBy(F.desc("count"), "h").limit(COMMON).toArrow()
+    hashes, n = (found.column(k).to_numpy().astype(np.int64) for k in ("h", "count"))
+    order = np.argsort(hashes)
+    return hashes[order], n[order]
+
+
+def prefix(shingles: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The shingles of a set of which it shares one with those of any set of at least ``similarity``.
+
+    In one order of all shingles, rare ones first, two sets that share ``similarity`` * n of n shingles share one of their first n - similarity * n + 1.
+    """
+    hashes, counts = common
+    n = len(shingles)
+    if n == 0:
+        return shingles
+    known = np.zeros(n, np.int64)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, shingles), len(hashes) - 1)
+        known = np.where(hashes[at] == shingles, counts[at], 0)
+    return shingles[np.lexsort((shingles, known))[: n - math.ceil(similarity * n - 1e-9) + 1]]
+
+
+def text_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """doc_id, k1, k2 (the row's key), node (a hash of the set of shingles), n (its size), w0.. (its wide print) and keys."""
+    known = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                prints = np.array(part.column(1).to_pylist(), np.int64).reshape(-1, WORD_PRINTS)
-                for number in range(WORD_PRINTS):
-                    of, key = keys(np.ascontiguousarray(prints[:, number]))
-                    rows = pa.array(of)
-                    columns = [part.column(k).take(rows) for k in (0, 2, 3)]
-                    yield pa.RecordBatch.from_arrays([pa.array((key + number * (3 << 24)).astype(np.int32)), *columns], names=["key", "node", *WIDE[:2]])
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                node, n, wide, keys = [], [], [], []
+                for text in part.column(3).to_pylist():
+                    shingles = set(_shingles(words_of(text), words))
+                    wide.append(_majority(shingles, partial(_digest, first_seed=SEED), WIDE_LONGS).astype(np.int64))
+                    hashes = shingle_set(text, words)
+                    node.append(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes(), seed=SEED)).astype(np.int64))
+                    n.append(len(hashes))
+                    keys.append(prefix(hashes, similarity, known.value))
+                columns = [pa.array(node, pa.int64()), pa.array(n, pa.int64()), *[pa.array(c) for c in np.stack(wide).T], pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns], names=["doc_id", "k1", "k2", "node", "n", *WIDE, "keys"])
+
+    text = F.col("text").cast("string")
+    kinds = ", ".join(f"{w} long" for w in WIDE)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(text), text).mapInArrow(run, f"doc_id long, k1 long, k2 long, node long, n long, {kinds}, keys array<long>")
 
-    return classes.select("node", "q", *WIDE[:2]).mapInArrow(run, f"key int, node long, {WIDE[0]} long, {WIDE[1]} long")
+
+def most_bits(share: float) -> int:
+    """Bits of a wide print in which two prints may differ that are expected to differ in ``share`` of them: six standard deviations more."""
+    bits = 64 * WIDE_LONGS
+    return round(bits * share + 6 * math.sqrt(bits * share * (1 - share)))
 
 
 def representatives(docs: DataFrame, words: int = 5, similarity: float = SIMILAR, staged: Staging | None = None) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any other columns), as they are, that are first of their group of near-duplicates.
 
-    Texts are linked if prints over their words meet in a Golay key and their wide prints over shingles of ``words`` words
-    are as near as texts of ``similarity`` are; a wide print is known by its 64-bit hash. The least (doc_id, text key) of a group stays, one row of it; a null doc_id is least. Null,
+    Texts are linked if the Jaccard similarity of their sets of shingles of ``words`` words is at least ``similarity``; a set is known by
+    its 64-bit hash, like a shingle. The least (doc_id, text key) of a group stays, one row of it; a null doc_id is least. Null,
     empty and blank texts are one group.
     """
     staged = staged or stage(docs.sparkSession)
-    most = round(64 * WIDE_LONGS * (math.acos(2 * similarity / (1 + similarity)) / math.pi + 0.01))
-    printed = staged(text_prints(docs, words).withColumn("node", F.xxhash64(*WIDE)), "text_prints")
-    classes = staged(printed.groupBy("node", *WIDE).agg(F.min("q").alias("q")), "text_classes")
-    def apart(names: list[str]) -> Callable[[str, str], str]:
-        return lambda a, b: " + ".join(f"bit_count({a}_{w} ^ {b}_{w})" for w in names) + f" <= {most}"
-
-    # Half of the bits already rules out nearly all pairs that merely meet in a key; the other half is joined to the rest.
-    proof = classes.select("node", *[F.col(w).alias(f"p{w}") for w in WIDE])
-    linked = link_components(_word_keys(classes), apart(WIDE[:2]), staged, proof, apart([f"p{w}" for w in WIDE]))
-    rooted = printed.select("doc_id", "k1", "k2", "node").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first")).select("first.*")
+    angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    most, most_small = most_bits(angle), most_bits(max(angle, 3 / 16))
+    printed = staged(text_prints(docs, words, similarity), "text_prints")
+    least = F.min(F.struct("doc_id", "k1", "k2")).alias("least")
+    classes = staged(printed.groupBy("node", "n", *WIDE).agg(least), "text_classes")
+    # Most keys stand in one text only. They go before nodes are shuffled; keys that only copies share go after copies have met.
+    every = printed.select(F.explode("keys").alias("key"), "node")
+    met = staged(every.join(staged(every.groupBy("key").count().where("count > 1").select("key"), "text_keys"), "key").distinct(), "text_met")
+    met = met.join(met.groupBy("key").count().where("count > 1").select("key").hint("merge"), "key")
+    near = met.join(classes.select("node", "n", *WIDE), "node").select("key", "node", "n", *WIDE)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text").cast("string")))
+
+    def linked(a: str, b: str) -> str:
+        sizes = f"least({a}_n, {b}_n) >= {similarity} * greatest({a}_n, {b}_n) - 1e-9"
+        bits = " + ".join(f"bit_count({a}_{w} ^ {b}_{w})" for w in WIDE)
+        return f"{sizes} and {bits} <= if(least({a}_n, {b}_n) < {SMALL}, {most_small}, {most})"
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs of nodes whose sets are similar; the two sets of a pair meet by the pair, so a crowd's head is in many tasks."""
+        pairs = staged(pairs, f"{name}_candidates")
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        asked = staged(classes.join(nodes, "node").select("node", "least.*"), f"{name}_asked")
+        texts = rows.alias("d").join(asked.alias("m"), same_row("d", "m")).select("node", F.col("row.text").cast("string").alias("text")).dropDuplicates(["node"])
+        sets = shingle_sets(texts, words, ["node"])
+        ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
+        two = ends.join(sets, "node").groupBy("a", "b").agg(F.min_by("shingles", "node").alias("x"), F.max_by("shingles", "node").alias("y"))
+        both = two.select("a", "b", F.expr("size(array_intersect(x, y))").alias("both"), F.expr("size(x) + size(y)").alias("sizes"))
+        return both.where(f"both >= {similarity} * (sizes - both) - 1e-9").select("a", "b")
+
+    linked_nodes = link_components(near, linked, staged, verified)
+    rooted = classes.select("node", "least").join(linked_nodes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = rooted.groupBy("root").agg(F.min("least").alias("first")).select("first.*")
     kept = rows.alias("d").join(first.alias("f"), same_row("d", "f")).select("row", "d.doc_id", "d.k1", "d.k2")
     copies = Window.partitionBy("doc_id", "k1", "k2").orderBy(F.xxhash64("row"))
     return kept.withColumn("copy", F.row_number().over(copies)).where("copy = 1").select("row.*")

@@ -81,6 +81,25 @@ def test_representatives(make_docs, odd_docs, no_docs):
     assert {r.doc_id for r in kept.collect()} >= {None, 5, 6, 7}
 
 
+def test_representatives_by_brute_force(make_docs):
+    """Pairs at a similarity of 0.7 to 0.9, long and short: one of two stays exactly if they are at 0.8 or more."""
+    rng = np.random.default_rng(31)
+    texts, similar = [], {}
+    for k in range(150):
+        n = int(rng.integers(12, 300))
+        words = [f"d{k}w{v}" for v in rng.integers(0, 10_000, n)]
+        other = list(words)
+        for _ in range(int(rng.integers(1, max(2, n // 28 + 1)))):
+            at = int(rng.integers(0, n))
+            other[at] = "changed"
+        of = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (words, other)]
+        similar[k] = len(of[0] & of[1]) / len(of[0] | of[1])
+        texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    assert sum(0.8 <= s < 0.9 for s in similar.values()) >= 20 and sum(0.7 <= s < 0.8 for s in similar.values()) >= 20
+    kept = {r.doc_id for r in simhash.representatives(make_docs(texts)).collect()}
+    assert kept == {2 * k for k in similar} | {2 * k + 1 for k, s in similar.items() if s < 0.8}
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     got = simhash.near_duplicates(odd_docs).collect()
     assert len(got) == 12 and {r.fingerprint for r in got if r.doc_id in (2, 3, 4)} == {"0" * 16}
