@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -35,7 +35,10 @@ CANDIDATES = {
     "name": re.compile(r"[A-ZÀ-Þ][a-zß-ÿ'-]+(?:\x20[A-ZÀ-Þ][a-zß-ÿ'-]+){1,2}(?!\w)"),
 }
 DOT = re.compile(r"(?:\(dot\)|\[dot\]|\x20dot\x20)")
-NOT_BEFORE = {"number": re.compile(r"[\w.+-]$"), "iban": re.compile(r"\w$"), "handle": re.compile(r"(?!)"), "name": re.compile(r"(?:[.!?] |\n|\w|^)$")}
+NOT_BEFORE = {"number": re.compile(r"[\w.+-]\Z"), "iban": re.compile(r"\w\Z"), "handle": re.compile(r"(?!)"), "name": re.compile(r"\w\Z")}
+# Where prose sets a capital letter anyway: the start of a text, line or sentence. A title's full stop ends no sentence.
+OPENING = re.compile(r"(?:[.!?] |\n|\A)\Z")
+TITLE = re.compile(r"\b(?i:mr|mrs|ms|dr|prof)\. \Z", re.ASCII)
 
 GIVEN = frozenset(
     "James Mary John Linda Robert Susan Michael Karen William Nancy David Lisa Thomas Anna Peter Maria Paul Laura Daniel Sarah Hans Klaus Heike Ursula Jean Marie Pierre "
@@ -131,23 +134,53 @@ def _by_length(kind, span, before):
 LABELERS = (_by_form, _by_gazetteer, _by_full_gazetteer, _by_cue, _by_other_cue, _by_date, _by_length)
 
 
+def _opens(kind: str, before: str) -> bool:
+    """Whether a name stands where any word has a capital letter; part of the candidate's shape."""
+    return kind == "name" and bool(OPENING.search(before)) and not TITLE.search(before)
+
+
+def _votes(kind: str, span: str, before: str) -> str:
+    return "".join("-" if (v := label(kind, span, before)) is None else str(v) for label in LABELERS)
+
+
+def _spans(text: str, kind: str) -> Iterator[tuple[int, int, str, bool]]:
+    """(start, end, votes, at an opening) of the matches of a kind, in order. A name is also tried one word later where its first
+    word is the tail of another word, or may be a mere opener: no given name, at an opening, with votes that are no better."""
+    regex, at = CANDIDATES[kind], 0
+
+    def read(m: re.Match) -> tuple[int, int, str, bool]:
+        before = text[max(0, m.start() - CONTEXT) : m.start()]
+        return *m.span(), _votes(kind, m[0], before), _opens(kind, before)
+
+    def balance(votes: str) -> int:
+        return votes.count("1") - votes.count("0")
+
+    while m := regex.search(text, at):
+        a, at = m.span()
+        first = m[0].split(" ")[0]
+        if NOT_BEFORE[kind].search(text[max(0, a - 2) : a]):
+            at = a + len(first) if kind == "name" else at
+            continue
+        span = read(m)
+        if span[3] and first not in GIVEN:
+            later = regex.match(text, a + len(first) + 1)
+            if later and balance((other := read(later))[2]) >= balance(span[2]):
+                span, at = other, later.end()
+        yield span
+
+
 def candidates(text: str, base: Sequence[tuple[int, int, str]]) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pattern) of spans that touch no base span; the pattern is the kind, the votes and the shape."""
     out = []
-    for kind, regex in CANDIDATES.items():
+    for kind in CANDIDATES:
         if kind == "handle" and not DOT.search(text):
             continue
-        for m in regex.finditer(text):
-            a, b = m.span()
-            if NOT_BEFORE[kind].search(text[max(0, a - 2) : a]):
-                continue
+        for a, b, votes, opens in _spans(text, kind):
             if any(x < b and a < y for x, y, _ in base) or any(x < b and a < y for x, y, _, _ in out):
                 continue
-            if kind == "number" and not 7 <= sum(c.isdigit() for c in m[0]) <= 19:
+            if kind == "number" and not 7 <= sum(c.isdigit() for c in text[a:b]) <= 19:
                 continue
-            before = text[max(0, a - CONTEXT) : a]
-            votes = "".join("-" if (v := label(kind, m[0], before)) is None else str(v) for label in LABELERS)
-            shape = f"{min((b - a) // 4, 9)}{min(sum(not c.isalnum() for c in m[0]), 3)}"
+            shape = f"{min((b - a) // 4, 9)}{min(sum(not c.isalnum() for c in text[a:b]), 3)}{int(opens)}"
             out.append((a, b, kind, f"{kind} {votes} {shape}"))
     return out
 
@@ -181,7 +214,7 @@ def features(pattern: str) -> np.ndarray:
     values = [1.0, *(float(kind == k) for k in ADDED)]
     for v in votes:
         values += [float(v == "1"), float(v == "0")]
-    return np.array([*values, int(shape[0]) / 9, int(shape[1]) / 3])
+    return np.array([*values, int(shape[0]) / 9, int(shape[1]) / 3, int(shape[2])])
 
 
 def train(patterns: Sequence[str], counts: Sequence[int]) -> dict[str, float]:

@@ -91,3 +91,18 @@ def test_pii_adds_what_labelers_agree_on(make_docs):
     got = by_id(pii.find(make_docs(texts)))
     assert got[0].spans == "name:15:26" and got[2].spans == "number:5:17"
     assert got[1].spans == "" and got[3].spans == ""
+
+
+def test_pii_names_at_openings_are_judged(make_docs):
+    texts = []
+    for k in range(40):
+        texts += [
+            (10 * k, "we saw contact James Smith there"), (10 * k + 1, "John Smith\nAnna Weber\n12 Long Road"), (10 * k + 2, "we met Mr. John Smith and Dr. Anna Weber"),
+            (10 * k + 3, "Yesterday John Smith left"), (10 * k + 4, "as said\nDear Anna Weber, hello"), (10 * k + 5, "He left. Anna Maria Weber stayed"), (10 * k + 6, "It ended. Green Valley is near"),
+            (10 * k + 7, "Big Town has rain. Old Harbour too"), (10 * k + 8, "call\n555-123-4567 today"), (10 * k + 9, "in McOld John Smith wrote"),
+        ]
+    docs = {i: t for i, t in texts}
+    got = {i: [docs[i][int(a) : int(b)] for kind, a, b in (s.split(":") for s in r.spans.split(",") if s)] for i, r in by_id(pii.find(make_docs(texts))).items()}
+    assert got[0] == ["James Smith"] and got[1] == ["John Smith", "Anna Weber"] and got[2] == ["John Smith", "Anna Weber"]
+    assert got[3] == ["John Smith"] and got[4] == ["Anna Weber"] and got[5] == ["Anna Maria Weber"]
+    assert got[6] == [] and got[7] == [] and got[8] == ["555-123-4567"] and got[9] == ["John Smith"]
