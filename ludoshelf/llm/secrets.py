@@ -179,8 +179,7 @@ def guessed_spans(text: str, ranks: dict[str, int], longest: int, base: list[tup
             continue
         cost = guess_cost(value, ranks, longest)
         highest = cost if highest is None else max(highest, cost)
-        mixed = any(c.isdigit() for c in value) or not value.isalnum()
-        if cost >= hard and mixed and not any(x < b and a < y for x, y, _ in base):
+        if cost >= hard and not any(x < b and a < y for x, y, _ in base):
             found.append((a, b, "guess"))
     return found, highest
 

@@ -59,6 +59,12 @@ def test_scan_has_base_spans_and_adds_guessed_ones(make_docs):
     assert got[1].base_sha256 == hashlib.sha256(got[1].spans.encode()).hexdigest()
 
 
+def test_assigned_values_of_letters_alone_are_judged_by_cost(make_docs):
+    texts = [(1, "pwd=QzXkVjWpHtGbNm"), (2, "passphrase: qzxkvjwphtgbnm"), (3, "password: qzxkvjwphtg"), (4, "password: summer"), (5, "pwd=correcthorse"), (6, "passphrase is qzxkvjwphtgbnm")]
+    got = by_id(secrets.scan(make_docs(texts)))
+    assert [got[k].spans for k in range(1, 7)] == ["guess:4:18", "guess:12:26", "guess:10:21", "", "", ""]
+
+
 def test_odd_rows(odd_docs, no_docs):
     for operator in (secrets.scan, pii.find):
         found = operator(odd_docs).collect()
