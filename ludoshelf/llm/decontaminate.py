@@ -67,7 +67,6 @@ def contaminations(
     """
     spark = docs.sparkSession
     staged = staged or stage(spark)
-    share = 2 * similarity / (1 + similarity)
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), once(words_of(F.col("text").cast("string"))).alias("w")).where("size(w) > 0").distinct()
     items = staged(items.select("item_id", F.size("w").alias("n"), F.xxhash64("w").alias("item_key"), "w"), "bench_words")
@@ -78,7 +77,7 @@ def contaminations(
     placed = items.select("item_id", "item_key", "n", F.size("shingles").alias("m"), F.posexplode("shingles").alias("p", "h"))
     placed = placed.groupBy("item_id", "item_key", "n", "m", "h").agg(F.min("p").alias("p"))
     rank = F.expr("row_number() over (partition by item_id, item_key order by xxhash64(h), h)")
-    anchors = placed.withColumn("rank", rank).where(F.col("rank") <= F.floor(F.col("m") * (1 - share) + 1e-9) + 1)
+    anchors = placed.withColumn("rank", rank).where(F.col("rank") <= F.floor(F.col("m") * (1 - similarity) + 1e-9) + 1)
     anchors = staged(anchors.groupBy("h").agg(F.collect_set(F.struct("n", "p")).alias("at")), "bench_anchors")
 
     text = F.col("text").cast("string")

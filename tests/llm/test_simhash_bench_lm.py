@@ -107,6 +107,14 @@ def test_near_duplicates_odd_rows(odd_docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
 
+def test_documents_shorter_than_an_item_meet_an_anchor(spark, make_docs):
+    """Items of ten words without the last one share five of six shingles."""
+    items = [[f"i{k}x{j}" for j in range(10)] for k in range(60)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = decontaminate.contaminations(make_docs([(k, " ".join(w[:9])) for k, w in enumerate(items)]), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(k, k) for k in range(60)}
+
+
 def test_decontamination_by_brute_force(spark, make_docs):
     rng = np.random.default_rng(3)
     vocabulary = [f"w{k}" for k in range(300)]
