@@ -74,6 +74,12 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.fingerprints import edit_likeness
+
+    return edit_likeness(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_url_filter": op2_url_filter,
@@ -85,5 +91,6 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
     "op10_lm_scores": op10_lm_scores,
+    "op11_fingerprints": op11_fingerprints,
 }
 ORACLE_SQL = {"op2_url_filter": url_filter.SQL, "op6_line_dedup": line_dedup.SQL}

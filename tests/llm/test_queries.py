@@ -13,8 +13,8 @@ SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
 
 
-def test_ten_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 12))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
@@ -28,7 +28,7 @@ def test_a_row_for_every_row(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
 
 
-@pytest.mark.parametrize("name", ["op2_url_filter", "op6_line_dedup", "op7_decontaminate"])
+@pytest.mark.parametrize("name", ["op2_url_filter", "op6_line_dedup", "op7_decontaminate", "op11_fingerprints"])
 def test_native_plans(spark, name):
     text = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text and "NestedLoop" not in text
