@@ -31,6 +31,7 @@ KEY = ["id", "k1", "k2"]
 SPACES = "[\\x20\\x09-\\x0D]+"
 LANES = 4294967297  # the lowest bit of both halves of a long
 COPIES = 100_000  # identical rows that are dealt out at once
+SENT = 500_000  # weights that are sent to every task at most (16 bytes each); more are joined by a shuffle
 
 
 def terms(text: Column) -> Column:
@@ -57,19 +58,22 @@ def weights(texts: DataFrame, steps: int = STEPS) -> DataFrame:
     """
     held = texts.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("word")).where("word != ''")
     counts = held.groupBy(F.xxhash64("word").alias("term")).agg(F.count("*").alias("n"))
-    total = texts.agg(F.count("*").alias("total"))
-    share = F.floor(F.log2(F.col("total") / F.col("n"))).cast("long")
-    return counts.join(F.broadcast(total)).where(F.col("n") * (1 << steps) >= F.col("total")).select("term", (share + 1).alias("weight"))
+    total = texts.count()
+    share = F.floor(F.log2(total / F.col("n"))).cast("long")
+    return counts.where(F.col("n") * (1 << steps) >= total).select("term", (share + 1).alias("weight"))
 
 
 def fingerprints(texts: DataFrame, weighted: DataFrame, keys: list[str], steps: int = STEPS) -> DataFrame:
-    """``keys`` (no nulls) and the fingerprint (``f0``, ``f1``) of every row of ``texts`` (the keys and text) that has a term.
+    """``keys`` (no nulls) and the fingerprint (``f0``, ``f1``) of every row of ``texts`` (the keys and text); zero without a term.
 
     A text's votes are added where its words are, so one row per text and task is shuffled, or none if the rows are dealt by the keys.
+    ``weighted`` is sent to the tasks if it has few rows; they are counted first.
     """
-    words = texts.select(*keys, F.explode(terms(F.col("text"))).alias("word")).where("word != ''")
-    hashed = words.select(*keys, F.xxhash64("word").alias("term"), F.xxhash64(F.lit(1), "word").alias("term_1"))
-    voting = hashed.join(weighted, "term", "left").withColumn("w", F.coalesce("weight", F.lit(steps + 1)))
+    if weighted.count() <= SENT:
+        weighted = F.broadcast(weighted)
+    words = texts.select(*keys, F.explode(terms(F.col("text"))).alias("word"))
+    hashed = words.select(*keys, F.xxhash64("word").alias("term"), F.xxhash64(F.lit(1), "word").alias("term_1"), (F.col("word") == "").alias("blank"))
+    voting = hashed.join(weighted, "term", "left").withColumn("w", F.expr(f"if(blank, 0L, coalesce(weight, {steps + 1}L))"))
     lanes = [F.sum(F.expr(f"w * (shiftrightunsigned({h}, {b}) & {LANES})")).alias(f"s{k}_{b}") for k, h in enumerate(("term", "term_1")) for b in range(32)]
     sums = voting.groupBy(*keys).agg(F.sum("w").alias("votes"), *lanes)
 
@@ -175,11 +179,10 @@ def edit_likeness(docs: DataFrame, staged: Staging | None = None, radius: int =
     kept = f"substring(text, 1, cast(n_chars as int) - {cut})"
     versions = F.expr(f"stack(3, 0, text, 1, concat({kept}, given), 2, if(copies > 1, concat({kept}, substring(text, 1, {cut})), null)) as (version, text)")
     edited = both.select(*KEY, versions).where("text is not null")
-    printed = fingerprints(edited, weighted, [*KEY, "version"])
-    wide = printed.groupBy(*KEY).agg(*[F.max(F.expr(f"if(version = {v}, {c}, null)")).alias(f"v{v}_{c}") for v in range(3) for c in PRINT])
-    digests = edited.where("version > 0").select(*KEY, "version", F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
-    digests = digests.groupBy(*KEY).agg(*[F.max(F.expr(f"if(version = {v}, sha, null)")).alias(f"sha_{v}") for v in (1, 2)])
-    prints = staged(digests.join(wide, KEY, "left").na.fill(0, [f"v{v}_{c}" for v in range(3) for c in PRINT]), "fingerprint_prints")
+    edited = edited.select(*KEY, "version", F.sha2(F.col("text").cast("binary"), 256).alias("sha"), "text")
+    printed = fingerprints(edited, weighted, [*KEY, "version", "sha"])
+    wide = printed.groupBy(*KEY).agg(*[F.max(F.expr(f"if(version = {v}, {c}, null)")).alias(f"v{v}_{c}") for v in range(3) for c in (*PRINT, "sha")])
+    prints = staged(wide, "fingerprint_prints")
 
     after = prints.select(*[F.col(k).alias(f"next_{k}") for k in KEY], *[F.col(f"v0_{c}").alias(f"n_{c}") for c in PRINT])
     per_class = ordered.join(prints, KEY).join(after, [f"next_{k}" for k in KEY])
@@ -208,7 +211,7 @@ def edit_likeness(docs: DataFrame, staged: Staging | None = None, radius: int =
     return dealt.select(
         doc_id.alias("doc_id"),
         "n_chars",
-        F.expr("if(own, sha_2, sha_1)").alias("edited_sha256"),
+        F.expr("if(own, v2_sha, v1_sha)").alias("edited_sha256"),
         digits("v0_").alias("fingerprint"),
         F.when(F.col("own"), digits("v2_")).otherwise(digits("v1_")).alias("edited_fingerprint"),
         F.when(F.col("own"), alike("v0_", "v2_")).otherwise(alike("v0_", "v1_")).alias("near_edited"),
