@@ -80,6 +80,12 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.alignment import align_tokenizers
+
+    return align_tokenizers(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_url_filter": op2_url_filter,
@@ -92,5 +98,6 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_lm_scores": op10_lm_scores,
     "op11_fingerprints": op11_fingerprints,
+    "op12_token_alignment": op12_token_alignment,
 }
 ORACLE_SQL = {"op2_url_filter": url_filter.SQL, "op6_line_dedup": line_dedup.SQL}

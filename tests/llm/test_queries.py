@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables a
 
 
 def test_all_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 12))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 13))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
