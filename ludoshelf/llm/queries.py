@@ -86,6 +86,12 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ludoshelf.llm.spelling import variants
+
+    return variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_url_filter": op2_url_filter,
@@ -99,5 +105,6 @@ QUERIES = {
     "op10_lm_scores": op10_lm_scores,
     "op11_fingerprints": op11_fingerprints,
     "op12_token_alignment": op12_token_alignment,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE_SQL = {"op2_url_filter": url_filter.SQL, "op6_line_dedup": line_dedup.SQL}
