@@ -3,7 +3,8 @@
 Every character belongs to a group; a word's vector holds how many of its characters each group has. The trie's levels are the groups in turn, its branches
 their counts, its leaves the words of one vector. One edit adds at most one to one count (surplus) and takes at most one from another
 (deficit), so a depth-first search with a budget of one each reaches the leaves of all near words; what it reaches is
-verified. Inside a leaf only words that share a half with the sought one are looked at.
+verified. Of two near words with different vectors only the one that has more at the first level where they differ looks for the other, so a
+search spends its deficit before its surplus. Inside a leaf only words that share a half with the sought one are looked at.
 
 The trie is never in one place: the first levels are a key by which words are dealt, and a word visits the keys that its budget reaches. How many levels
 make the key follows from the number of words, so that the tasks hold a bounded number; a key with more words all the same is cut into
@@ -16,13 +17,12 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludoshelf.llm.common import stage
+from ludoshelf.llm.common import ROWS_AT_ONCE, stage
 from ludoshelf.sources.staging import Staging
 
 RUN = re.compile("[a-zÀ-ÿ]+")  # on texts whose A-Z are in lower case
@@ -32,7 +32,8 @@ LEAST = 2
 TIMES = 10
 GROUPS = 12
 KEPT_WORDS = 200_000  # different words that a task adds up before it hands them on
-BRANCH = 20_000  # words of a key that are searched together, and visitors that are held against them
+BRANCH = 50_000  # words of a key that are searched together, and visitors that are held against them
+SENT = 200_000  # keys with their numbers of blocks that are sent to every task; more are joined by a shuffle
 
 
 def misspelled(doc_id: int | None, text: str | None) -> Iterator[tuple[str, int]]:
@@ -89,18 +90,19 @@ def one_apart(a: str, b: str) -> bool:
     return a[k:] == b[k + 1 :] if len(a) < len(b) else a[k + 1 :] == b[k + 1 :]
 
 
-def within_budget(counts: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...], int, int]]:
-    """All prefixes of vectors that differ from ``counts`` by at most one surplus and one deficit, with what is left of both."""
-    yield counts, 1, 1
+#: What a search has spent on its way: nothing, the deficit, or both.
+SAME, SHORTER, CHANGED = range(3)
+
+
+def within_budget(counts: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...], int]]:
+    """The prefixes of vectors that a search for ``counts`` may pass, with what it has spent there."""
+    yield counts, SAME
     for i, c in enumerate(counts):
-        more = (*counts[:i], c + 1, *counts[i + 1 :])
-        yield more, 0, 1
         if c:
             less = (*counts[:i], c - 1, *counts[i + 1 :])
-            yield less, 1, 0
-            for j, d in enumerate(counts):
-                if j != i:
-                    yield (*less[:j], d + 1, *less[j + 1 :]), 0, 0
+            yield less, SHORTER
+            for j in range(i + 1, len(counts)):
+                yield (*less[:j], less[j] + 1, *less[j + 1 :]), CHANGED
 
 
 class Leaf:
@@ -115,15 +117,13 @@ class Leaf:
             self.halves.setdefault((len(word), True, word[:size]), []).append((word, n))
             self.halves.setdefault((len(word), False, word[len(word) - size :]), []).append((word, n))
 
-    def near(self, word: str) -> dict[str, int]:
-        found = {}
-        for other in (len(word) - 1, len(word), len(word) + 1):
-            size = min(other, len(word)) // 2
-            for first, half in ((True, word[:size]), (False, word[len(word) - size :])):
-                for candidate, n in self.halves.get((other, first, half), ()):
-                    if candidate not in found and one_apart(word, candidate):
-                        found[candidate] = n
-        return found
+    def near(self, word: str, spent: int) -> list[tuple[str, int]]:
+        """Words of this leaf near to ``word``; of two with the same vector only the greater is found."""
+        other = len(word) - (spent == SHORTER)
+        size = other // 2
+        first = self.halves.get((other, True, word[:size]), ())
+        last = self.halves.get((other, False, word[len(word) - size :]), ())
+        return [(x, n) for x, n in {*first, *last} if (spent != SAME or x > word) and one_apart(word, x)]
 
 
 class Trie:
@@ -142,23 +142,29 @@ class Trie:
                 node = self.root = Leaf()
             node.add(word, n)
 
-    def leaves(self, counts: tuple[int, ...], surplus: int, deficit: int) -> list[Leaf]:
-        """The leaves that a search with these budgets reaches."""
+    def leaves(self, counts: tuple[int, ...], spent: int) -> list[tuple[Leaf, int]]:
+        """The leaves that a search reaches from the root, where it has spent ``spent``, and what it has spent there."""
         if isinstance(self.root, Leaf):
-            return [self.root]
+            return [(self.root, spent)]
         if not self.root:
             return []
         out, last = [], len(counts) - 1
-        stack = [(self.root, 0, surplus, deficit)]
+        stack = [(self.root, 0, spent)]
         while stack:
-            node, level, more, less = stack.pop()
+            node, level, state = stack.pop()
             c = counts[level]
-            for count, left, right in ((c, more, less), (c + 1, more - 1, less), (c - 1, more, less - 1)):
-                if left >= 0 and right >= 0 and count in node:
+            steps = [(c, state)]
+            if state == SAME:
+                steps.append((c - 1, SHORTER))
+            elif state == SHORTER:
+                steps.append((c + 1, CHANGED))
+            for count, after in steps:
+                child = node.get(count)
+                if child is not None:
                     if level == last:
-                        out.append(node[count])
+                        out.append((child, after))
                     else:
-                        stack.append((node[count], level + 1, left, right))
+                        stack.append((child, level + 1, after))
         return out
 
 
@@ -185,45 +191,53 @@ def near_pairs(words: DataFrame, staged: Staging, branch: int = BRANCH) -> DataF
 
     def visits(batches):
         for batch in batches:
-            rows = {"prefix": [], "word": [], "n": [], "surplus": [], "deficit": []}
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for prefix, surplus, deficit in within_budget(vector(word)[:depth]):
-                    for name, value in zip(rows, (",".join(map(str, prefix)), word, n, surplus, deficit), strict=True):
-                        rows[name].append(value)
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("prefix", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("surplus", pa.int32()), ("deficit", pa.int32())]))
-
-    visiting = words.select("word", "n").mapInArrow(visits, "prefix string, word string, n long, surplus int, deficit int")
-    visiting = staged(visiting, "spelling_visits")
-    own = visiting.where("surplus = 1 and deficit = 1")  # the word's own key
-    sizes = own.groupBy("prefix").agg(F.count("*").alias("words"))
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                prefixes, states, of = [], [], []
+                for k, word in enumerate(part.column(0).to_pylist()):
+                    for prefix, spent in within_budget(vector(word)[:depth]):
+                        prefixes.append(",".join(map(str, prefix)))
+                        states.append(spent)
+                        of.append(k)
+                columns = [pa.array(prefixes, pa.string()), *[c.take(pa.array(of, pa.int32())) for c in part.columns], pa.array(states, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=["prefix", "word", "n", "spent"])
+
+    visiting = staged(words.select("word", "n").mapInArrow(visits, "prefix string, word string, n long, spent int"), "spelling_visits")
+    own = F.col("spent") == SAME
     # Visits to keys without words end here. Keys with many words or visitors are cut on both sides; each word block meets each visitor block.
-    calls = visiting.join(sizes.hint("merge"), "prefix").groupBy("prefix").agg(F.max("words").alias("words"), F.count("*").alias("visitors"))
+    calls = visiting.groupBy("prefix").agg(F.count_if(own).alias("words"), F.count("*").alias("visitors")).where("words > 0")
     blocks = calls.select("prefix", F.ceil(F.col("words") / branch).alias("rows"), F.ceil(F.col("visitors") / branch).alias("columns"))
-    blocks = staged(blocks, "spelling_blocks").hint("merge")
+    blocks = staged(blocks, "spelling_blocks")
+    blocks = F.broadcast(blocks) if blocks.count() <= SENT else blocks.hint("merge")
     block = "cast(pmod(xxhash64(word), {}) as int)"
-    here = own.join(blocks, "prefix").select("prefix", F.expr(block.format("rows")).alias("row"), F.explode(F.expr("sequence(0, cast(columns as int) - 1)")).alias("column"), "word", "n")
+    here = visiting.where(own).join(blocks, "prefix").select(
+        "prefix", F.expr(block.format("rows")).alias("row"), F.explode(F.expr("sequence(0, cast(columns as int) - 1)")).alias("column"), "word", "n"
+    )
     there = visiting.join(blocks, "prefix").select(
-        "prefix", F.explode(F.expr("sequence(0, cast(rows as int) - 1)")).alias("row"), F.expr(block.format("columns")).alias("column"), "word", "surplus", "deficit"
+        "prefix", F.explode(F.expr("sequence(0, cast(rows as int) - 1)")).alias("row"), F.expr(block.format("columns")).alias("column"), "word", "n", "spent"
     )
     # Both sides come from one table; other names keep them apart.
-    there = there.toDF("to_prefix", "to_row", "to_column", "asked", "surplus", "deficit")
+    there = there.toDF("to_prefix", "to_row", "to_column", "asked", "asked_n", "spent")
 
     def search(key, held, asked):
         def rows(table, *names):
             return zip(*(table.column(c).to_pylist() for c in names), strict=True)
 
         trie = Trie(depth, rows(held, "word", "n"))
-        known, out = {}, {"word": [], "near": [], "near_n": []}
-        for word, surplus, deficit in rows(asked, "asked", "surplus", "deficit"):
-            counts = vector(word)[depth:]
-            budget = (counts, surplus, deficit)
+        known, left, left_n, right, right_n = {}, [], [], [], []
+        for word, n, spent in rows(asked, "asked", "asked_n", "spent"):
+            budget = (vector(word)[depth:], spent)
             leaves = known.get(budget)
             if leaves is None:
                 leaves = known[budget] = trie.leaves(*budget)
-            for near, n in chain.from_iterable(leaf.near(word).items() for leaf in leaves):
-                for name, value in zip(out, (word, near, n), strict=True):
-                    out[name].append(value)
-        return pa.Table.from_pydict(out, schema=pa.schema([("word", pa.string()), ("near", pa.string()), ("near_n", pa.int64())]))
+            for leaf, state in leaves:
+                for near, near_n in leaf.near(word, state):
+                    left.append(word)
+                    left_n.append(n)
+                    right.append(near)
+                    right_n.append(near_n)
+        kinds = pa.schema([("word", pa.string()), ("near", pa.string()), ("near_n", pa.int64())])
+        return pa.Table.from_pydict({"word": left + right, "near": right + left, "near_n": right_n + left_n}, schema=kinds)
 
     return here.groupBy("prefix", "row", "column").cogroup(there.groupBy("to_prefix", "to_row", "to_column")).applyInArrow(search, "word string, near string, near_n long")
 

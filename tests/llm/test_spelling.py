@@ -96,12 +96,11 @@ def test_one_apart_and_budget():
         a, b = ("".join(rnd.choices("ab", k=rnd.randrange(8))) for _ in range(2))
         assert sp.one_apart(a, b) == (edits(a, b) == 1)
     counts = (2, 0, 1)
-    reached = {p: (s, d) for p, s, d in sp.within_budget(counts)}
+    reached = dict(sp.within_budget(counts))
     for other in [(x, y, z) for x in range(5) for y in range(4) for z in range(4)]:
-        up = sum(max(o - c, 0) for o, c in zip(other, counts, strict=True))
-        down = sum(max(c - o, 0) for o, c in zip(other, counts, strict=True))
-        assert (other in reached) == (up <= 1 and down <= 1)
-        assert other not in reached or reached[other] == (1 - up, 1 - down)
+        changes = [o - c for o, c in zip(other, counts, strict=True) if o != c]
+        want = {(): sp.SAME, (-1,): sp.SHORTER, (-1, 1): sp.CHANGED}.get(tuple(changes))
+        assert reached.get(other) == want
 
 
 def test_odd_rows(odd_docs, no_docs):
