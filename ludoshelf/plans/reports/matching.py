@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludoshelf.functions.text import slug
-from ludoshelf.operators import matching
+from ludoshelf.operators import matching, title_join
 from ludoshelf.plans import workload
 from ludoshelf.plans.workload import table
+from ludoshelf.sources.staging import Staging
 
 
 def decorated(name: Column, key: Column) -> Column:
@@ -195,6 +196,44 @@ WHERE l_linenumber = 1 AND l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WH
 """
 
 
+def _shop_titles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Parts as a catalogue of names, and as titles of another shop that writes them in its own ways."""
+    k, parts = F.col("p_partkey"), table(spark, sf_dir, "part")
+    name = F.concat_ws(" ", "p_name", "p_type", "p_brand")
+    title = (
+        F.when(k % 6 == 0, F.concat(F.upper(name), F.lit("™")))
+        .when(k % 6 == 1, F.concat(name, F.lit("  GOTY")))
+        .when(k % 6 == 2, F.replace(name, F.lit("e"), F.lit("33")))
+        .when(k % 6 == 3, F.concat_ws(" ", "p_type", "p_brand"))
+        .when(k % 6 == 4, F.replace(name, F.lit("Brand#"), F.lit("br. ")))
+        .otherwise(F.concat_ws(" ", "p_brand", "p_name", "p_type"))
+    )
+    return parts.select(k.alias("app_id"), title.alias("title")), parts.select(k.alias("name_id"), name.alias("name"))
+
+
+def catalogue_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best name of the whole catalogue for every title."""
+    found = title_join.catalogue_match(*_shop_titles(spark, sf_dir), staged=Staging(spark))
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+CATALOGUE_MATCH = """
+WITH names AS (SELECT p_partkey AS name_id, p_name || ' ' || p_type || ' ' || p_brand AS name FROM part),
+titles AS (SELECT p_partkey AS app_id, CASE p_partkey % 6 WHEN 0 THEN upper(p_name || ' ' || p_type || ' ' || p_brand) || '™' WHEN 1 THEN p_name || ' ' || p_type || ' ' || p_brand || '  GOTY'
+  WHEN 2 THEN replace(p_name || ' ' || p_type || ' ' || p_brand, 'e', '33') WHEN 3 THEN p_type || ' ' || p_brand
+  WHEN 4 THEN replace(p_name || ' ' || p_type || ' ' || p_brand, 'Brand#', 'br. ') ELSE p_brand || ' ' || p_name || ' ' || p_type END AS title FROM part),
+plain AS (SELECT title, trim(regexp_replace(replace(title, '™', ''), '\\s+', ' ', 'g')) AS n FROM (SELECT DISTINCT title FROM titles)),
+cut AS (SELECT *, regexp_replace(n, '(?i)\\s+goty$', '') AS e FROM plain),
+variants AS (SELECT title, 0 AS variant_ord, title AS v FROM cut UNION ALL SELECT title, 1, n FROM cut WHERE n <> title
+  UNION ALL SELECT title, CASE WHEN n <> title THEN 2 ELSE 1 END, e FROM cut WHERE e <> title AND e <> n),
+catalogue AS (SELECT lower(name) AS s, arg_min(name, (name, name_id)) AS name, arg_min(name_id, (name, name_id)) AS name_id FROM names GROUP BY 1),
+scored AS (SELECT title, variant_ord, s, name, name_id, 1 - levenshtein(lower(v), s)::DOUBLE / greatest(length(v), length(s)) AS similarity FROM variants CROSS JOIN catalogue),
+best AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY similarity DESC, variant_ord, s) AS place FROM scored WHERE similarity >= 0.65)
+SELECT app_id, title, CAST(variant_ord AS INTEGER) AS variant_ord, name_id, name, round(similarity, 6) AS similarity, similarity = 1 AS exact
+FROM titles JOIN best USING (title) WHERE place = 1
+"""
+
+
 def hours_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("event_id") % 10 == 0, "n/a").otherwise(F.col("value").cast("string"))
     return matching.hours_summary(table(spark, sf_dir, "events").withColumn("text", text), "event_type", F.col("text"))
@@ -214,5 +253,6 @@ REPORTS = {
     "fuzzy_match": (fuzzy_match, FUZZY_MATCH),
     "ambiguous_top5": (ambiguous_top5, AMBIGUOUS_TOP5),
     "match_missing": (match_missing, MATCH_MISSING),
+    "catalogue_match": (catalogue_match, CATALOGUE_MATCH),
     "hours_stats": (hours_stats, HOURS_STATS),
 }
