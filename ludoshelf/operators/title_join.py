@@ -2,7 +2,9 @@
 
 Two strings of similarity s or more differ by at most (1 - s) * n edits, n the longer length. An edit breaks at most q of the q-grams
 of a string, so at most q * (1 - s) * length of its numbered grams are not in the other. With all grams in one order, rare ones first, both strings therefore
-hold a common gram among their first q * (1 - s) * length + 1: these are the blocks. No pair is lost, and the edit distance decides.
+hold a common gram among their first q * (1 - s) * length + 1: these are the blocks. The first gram that two strings share also bounds how many
+they can share at all, by what is left behind it in both; pairs below the number that they need end in the join. No pair is lost, and the edit
+distance decides. A pair may meet in several blocks; it is scored there, so that only what is similar enough is shuffled on.
 
 Titles are looked up in rounds of falling similarity. Long grams and few of them serve the first rounds; a title that has found a name
 there can not find a better one later, so only the rest meets the short grams of the last round. A crowded block is cut on the side of the
@@ -11,7 +13,7 @@ names, and its titles go to every part. Equal strings are compared once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludoshelf.operators.matching import ACCEPT_FROM, variant_rows
@@ -42,9 +44,8 @@ def grams(strings: DataFrame, similarity: float, q: int) -> DataFrame:
 
 
 def blocks(strings: DataFrame, similarity: float, q: int, crowded: int) -> DataFrame:
-    """``side``, ``s``, ``gram`` and ``part``: where the strings of both sides meet."""
-    from pyspark.sql import Window
-
+    """``side``, ``s``, ``gram``, ``part``, ``left`` and ``need``: where the strings of both sides meet, how many grams a string has from there on, and how
+    many of its grams a string that similar must hold."""
     rows = grams(strings, similarity, q)
     shortest = _least_length(similarity, q)
     if shortest > 1 and q == min(length for _, length in ROUNDS):
@@ -59,7 +60,8 @@ def blocks(strings: DataFrame, similarity: float, q: int, crowded: int) -> DataF
     parts = F.ceil(F.col("names") / crowded)
     own = F.array(F.pmod(F.xxhash64("s"), parts))
     part = F.explode(F.when(F.col("side") == "name", own).otherwise(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    return ranked.select("side", "s", "gram", part.alias("part"))
+    total = F.length("s") - F.substring_index("gram", "#", 1).cast("int") + 1
+    return ranked.select("side", "s", "gram", part.alias("part"), (total - F.col("rank") + 1).alias("left"), (total - F.col("keep") + 1).alias("need"))
 
 
 def nearest(titles: DataFrame, names: DataFrame, staged: Stage = in_place, rounds=ROUNDS, crowded: int = CROWDED) -> DataFrame:
@@ -67,6 +69,7 @@ def nearest(titles: DataFrame, names: DataFrame, staged: Stage = in_place, round
 
     Equal similarities are decided by the least name. Titles below the last round's similarity are left out. Case counts; null and empty strings match nothing.
     """
+    tasks = int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     asked = titles.where("s != ''")
     known = names.where("s != ''")
     exact = asked.join(known, "s", "left_semi").select(F.col("s").alias("title"), F.col("s").alias("name"), F.lit(1.0).alias("similarity"))
@@ -76,10 +79,12 @@ def nearest(titles: DataFrame, names: DataFrame, staged: Stage = in_place, round
         sure = asked if number == len(rounds) - 1 else asked.where(F.length("s") >= _least_length(similarity, q))
         both = sure.select("s", F.lit("title").alias("side")).unionByName(known.select("s", F.lit("name").alias("side")))
         placed = staged(blocks(both, similarity, q, crowded), f"match_blocks_{number}")
-        left = placed.where("side = 'title'").select("gram", "part", F.col("s").alias("title"))
-        right = placed.where("side = 'name'").select("gram", "part", F.col("s").alias("name"))
+        left = placed.where("side = 'title'").select("gram", "part", F.col("s").alias("title"), F.col("left").alias("t_left"), F.col("need").alias("t_need"))
+        right = placed.where("side = 'name'").select("gram", "part", F.col("s").alias("name"), F.col("left").alias("n_left"), F.col("need").alias("n_need"))
+        left = left.repartition(tasks, "gram", "part")  # few bytes, much work: not to be coalesced into few tasks
         shorter, longer = F.least(F.length("title"), F.length("name")), F.greatest(F.length("title"), F.length("name"))
-        pairs = left.join(right, ["gram", "part"]).where(shorter >= longer * similarity - SLACK).select("title", "name").distinct()
+        enough = F.least("t_left", "n_left") >= F.greatest("t_need", "n_need")
+        pairs = left.join(right, ["gram", "part"]).where((shorter >= longer * similarity - SLACK) & enough)
         scored = pairs.withColumn("similarity", 1 - F.levenshtein("title", "name") / longer).where(F.col("similarity") >= similarity)
         best = scored.groupBy("title").agg(F.min(F.struct((-F.col("similarity")).alias("minus"), "name")).alias("best"))
         found.append(staged(best.select("title", "best.name", (-F.col("best.minus")).alias("similarity")), f"match_found_{number}"))

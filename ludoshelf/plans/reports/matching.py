@@ -199,14 +199,14 @@ WHERE l_linenumber = 1 AND l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WH
 def _shop_titles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Parts as a catalogue of names, and as titles of another shop that writes them in its own ways."""
     k, parts = F.col("p_partkey"), table(spark, sf_dir, "part")
-    name = F.concat_ws(" ", "p_name", "p_type", "p_brand")
+    name = F.concat_ws(" ", "p_name", "p_type")
     title = (
         F.when(k % 6 == 0, F.concat(F.upper(name), F.lit("™")))
         .when(k % 6 == 1, F.concat(name, F.lit("  GOTY")))
         .when(k % 6 == 2, F.replace(name, F.lit("e"), F.lit("33")))
-        .when(k % 6 == 3, F.concat_ws(" ", "p_type", "p_brand"))
-        .when(k % 6 == 4, F.replace(name, F.lit("Brand#"), F.lit("br. ")))
-        .otherwise(F.concat_ws(" ", "p_brand", "p_name", "p_type"))
+        .when(k % 6 == 3, F.concat_ws(" ", "p_brand", "p_type"))
+        .when(k % 6 == 4, F.concat_ws(" ", F.lit("The"), name))
+        .otherwise(F.concat_ws(" ", "p_type", "p_name"))
     )
     return parts.select(k.alias("app_id"), title.alias("title")), parts.select(k.alias("name_id"), name.alias("name"))
 
@@ -218,10 +218,10 @@ def catalogue_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CATALOGUE_MATCH = """
-WITH names AS (SELECT p_partkey AS name_id, p_name || ' ' || p_type || ' ' || p_brand AS name FROM part),
-titles AS (SELECT p_partkey AS app_id, CASE p_partkey % 6 WHEN 0 THEN upper(p_name || ' ' || p_type || ' ' || p_brand) || '™' WHEN 1 THEN p_name || ' ' || p_type || ' ' || p_brand || '  GOTY'
-  WHEN 2 THEN replace(p_name || ' ' || p_type || ' ' || p_brand, 'e', '33') WHEN 3 THEN p_type || ' ' || p_brand
-  WHEN 4 THEN replace(p_name || ' ' || p_type || ' ' || p_brand, 'Brand#', 'br. ') ELSE p_brand || ' ' || p_name || ' ' || p_type END AS title FROM part),
+WITH names AS (SELECT p_partkey AS name_id, p_name || ' ' || p_type AS name FROM part),
+titles AS (SELECT p_partkey AS app_id, CASE p_partkey % 6 WHEN 0 THEN upper(p_name || ' ' || p_type) || '™' WHEN 1 THEN p_name || ' ' || p_type || '  GOTY'
+  WHEN 2 THEN replace(p_name || ' ' || p_type, 'e', '33') WHEN 3 THEN p_brand || ' ' || p_type
+  WHEN 4 THEN 'The ' || p_name || ' ' || p_type ELSE p_type || ' ' || p_name END AS title FROM part),
 plain AS (SELECT title, trim(regexp_replace(replace(title, '™', ''), '\\s+', ' ', 'g')) AS n FROM (SELECT DISTINCT title FROM titles)),
 cut AS (SELECT *, regexp_replace(n, '(?i)\\s+goty$', '') AS e FROM plain),
 variants AS (SELECT title, 0 AS variant_ord, title AS v FROM cut UNION ALL SELECT title, 1, n FROM cut WHERE n <> title
