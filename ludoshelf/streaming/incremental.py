@@ -1,15 +1,21 @@
-"""Incremental landing: each landed file once, and one record per key, however late a row lands."""
+"""Incremental landing: each landed record once, and one newest record per key, however late a row lands.
+
+Both write plain Parquet below a folder for every batch. A batch that is tried again overwrites its own folder with the same rows, so a stop at
+any point changes nothing; readers need no manifest, since what they compute does not change when rows repeat.
+"""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ludoshelf.operators.keyed import latest_by
+BATCH = "batch"
+LATE = "late"
 
 
 def read_increment(
@@ -22,96 +28,110 @@ def read_increment(
     return reader.parquet(path)
 
 
-class LatestTable:
-    """Newest record per key, as immutable versions of hash buckets and a manifest that names the current ones.
+def drain(rows: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Run a stream until what has landed is done; ``sink`` gets every micro-batch with its number, again after a stop.
 
-    A micro-batch reads and writes only the buckets it touches. Their new versions are written beside the old ones and
-    become visible with one renamed manifest, so a reader sees the table before or after a batch, and a stop at any
-    point loses nothing: until the manifest is there, a retry writes the same version again. Merging a batch twice
-    gives the same table. ``stamps`` must be a total order of the rows of a key; without stamps any one of its rows stays.
-    One writer at a time.
+    Batches without data are off meanwhile: an operator with timers asks for one after another, so the run would not end. Timers that are due go off in the next batch with data.
     """
+    conf, setting = rows.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(setting)
+    conf.set(setting, "false")
+    try:
+        query = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        conf.set(setting, before)
+    query.awaitTermination()
+
+
+# Newest record per key ------------------------------------------------------------------------------------------------
+
+
+def newest(rows: DataFrame, keys: Sequence[str], stamps: Sequence[str]) -> DataFrame:
+    """The newest row per key, as a partial aggregate; rows with equal stamps are decided by a hash, null stamps are oldest."""
+    rest = [c for c in rows.columns if c not in keys]
+    order = F.struct(*stamps, F.xxhash64(*rows.columns))
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_newest"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_newest.{c}").alias(c) for c in rows.columns])
+
+
+def append_newest(path: str, keys: Sequence[str], stamps: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """A sink that adds the newest row per key of every batch as a delta below ``path``; nothing that is there is read or rewritten."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        newest(batch, keys, stamps).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+
+    return sink
+
+
+def read_newest(spark: SparkSession, schema: T.StructType, keys: Sequence[str], stamps: Sequence[str], *paths: str) -> DataFrame:
+    """The newest row per key over all deltas below ``paths``, merged when they are read; a folder that is not there yet has none."""
+    deltas = spark.createDataFrame([], schema)
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            deltas = deltas.unionByName(spark.read.schema(schema).parquet(path).select(*schema.names))
+    return newest(deltas, keys, stamps)
+
+
+def compact(spark: SparkSession, schema: T.StructType, keys: Sequence[str], stamps: Sequence[str], path: str, into: str) -> None:
+    """Merge the deltas below ``path`` to one table ``into``, as an ordinary job.
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        schema: T.StructType,
-        keys: Sequence[str],
-        stamps: Sequence[str],
-        buckets: int,
-        files_per_bucket: int = 4,
-    ) -> None:
-        self.spark, self.path = spark, path
-        self.keys, self.stamps, self.buckets, self.files = list(keys), list(stamps), buckets, files_per_bucket
-        self.schema = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._files = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _current(self) -> tuple[int, dict[str, int]]:
-        """Number of the newest manifest and its version of every bucket that holds rows."""
-        folder = self._path(f"{self.path}/manifests")
-        if not self._files.exists(folder):
-            return 0, {}
-        names = [f.getPath().getName() for f in self._files.listStatus(folder)]
-        last = max((int(n) for n in names if n.isdigit()), default=0)
-        if not last:
-            return 0, {}
-        stream = self._files.open(self._path(f"{self.path}/manifests/{last}"))
-        try:
-            return last, json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
-
-    def _rows(self, versions: dict[str, int]) -> DataFrame:
-        if not versions:
-            return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self.path}/data/version={v}/bucket={b}" for b, v in sorted(versions.items())]
-        reader = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("version", T.LongType())]))
-        return reader.option("basePath", f"{self.path}/data").parquet(*paths).drop("version")
-
-    def read(self) -> DataFrame:
-        return self._rows(self._current()[1])
-
-    def merge(self, batch: DataFrame, batch_id: int | None = None) -> None:
-        """Newest per key of the batch and of the touched buckets, as the next version of those."""
-        last, versions = self._current()
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        fresh = batch.withColumn("bucket", bucket)
-        touched = {str(r.bucket) for r in fresh.select("bucket").distinct().collect()}  # at most the number of buckets
-        if not touched:
+    Reading both folders gives the same rows before, during and after this job, and also when any of the merged batch folders have been removed after it.
+    """
+    read_newest(spark, schema, keys, stamps, path).write.mode("overwrite").parquet(into)
+
+
+# Each record once -----------------------------------------------------------------------------------------------------
+
+
+def first_of_each(rows: DataFrame, keys: Sequence[str], stamp: str, keep_ms: int) -> DataFrame:
+    """A stream's first row of every key, and with ``late`` true its rows that are older than what is remembered.
+
+    A key is remembered until ``keep_ms`` after the newest of its stamps; then a timer drops it, so the state holds no more than the keys of that time.
+    A row whose stamp lies further back when it lands can not be told from a repeat: it goes to the late rows, none is lost. A row without
+    stamp is late. Of the rows of one batch the one with the least stamp stays.
+    """
+    names, schema = rows.columns, rows.schema
+    at = F.unix_millis(F.col(stamp).cast("timestamp")).alias("_at")
+
+    def one_key(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
             return
-        old = self._rows({b: v for b, v in versions.items() if b in touched})
-        merged = latest_by(fresh.unionByName(old), self.keys, *(self.stamps or self.keys))
-        part = F.pmod(F.xxhash64(*self.keys, F.lit(1)), F.lit(self.files))
-        merged.repartition("bucket", part).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={last + 1}")
-        self._publish(last + 1, versions | dict.fromkeys(touched, last + 1))
-
-    def _publish(self, number: int, versions: dict[str, int]) -> None:
-        draft, final = (self._path(f"{self.path}/manifests/{name}") for name in (f"_{number}", str(number)))
-        out = self._files.create(draft, True)
-        out.write(bytearray(json.dumps(versions).encode()))
-        out.close()
-        if not self._files.rename(draft, final):
-            raise RuntimeError(f"another writer has published version {number} of {self.path}")
-
-    def vacuum(self) -> None:
-        """Remove bucket versions that the current manifest does not name. Not while older readers are at work."""
-        last, versions = self._current()
-        for version in self._files.globStatus(self._path(f"{self.path}/data/version=*")) or []:
-            number = int(version.getPath().getName().partition("=")[2])
-            for bucket in self._files.listStatus(version.getPath()):
-                name = bucket.getPath().getName().partition("=")[2]
-                if name and number <= last and versions.get(name) != number:
-                    self._files.delete(bucket.getPath(), True)
-
-
-def upsert(rows: DataFrame, table: LatestTable, checkpoint: str) -> None:
-    """Drain landed rows into the table."""
-    (
-        rows.writeStream.foreachBatch(table.merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
+        now = state.getCurrentProcessingTimeMs()
+        last = state.get[0] if state.exists else None
+        known, first = last is not None, None
+        for frame in frames:
+            in_time = frame["_at"].notna() & (frame["_at"] + keep_ms > now)
+            late = frame[~in_time]
+            if len(late):
+                yield late[names].assign(**{LATE: True})
+            current = frame[in_time].sort_values("_at", kind="stable")
+            if len(current):
+                last = max(int(current["_at"].iloc[-1]), last or 0)
+                if not known and (first is None or current["_at"].iloc[0] < first["_at"].iloc[0]):
+                    first = current.head(1)
+        if first is not None:
+            yield first[names].assign(**{LATE: False})
+        if last is not None and last + keep_ms > now:
+            state.update((last,))
+            state.setTimeoutDuration(last + keep_ms - now)
+        elif state.exists:
+            state.remove()
+
+    return rows.select("*", at).groupBy(*keys).applyInPandasWithState(
+        one_key, T.StructType([*schema.fields, T.StructField(LATE, T.BooleanType())]), "last long", "append", GroupStateTimeout.ProcessingTimeTimeout
     )
+
+
+def append_split(once: str, late: str) -> Callable[[DataFrame, int], None]:
+    """A sink for ``first_of_each``: first rows below one folder, late rows below another, by batch."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        is_late: Column = F.col(LATE)
+        for path, wanted in ((once, ~is_late), (late, is_late)):
+            batch.where(wanted).drop(LATE).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        batch.unpersist()
+
+    return sink

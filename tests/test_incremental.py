@@ -1,74 +1,120 @@
 import datetime as dt
+import time
 
 import pytest
 
 from ludoshelf.operators.keyed import latest_by
-from ludoshelf.streaming.incremental import LatestTable, read_increment, upsert
+from ludoshelf.streaming import incremental as inc
 
 SCHEMA = "app_id bigint, kind string, cursor string, fetched_at timestamp_ntz, body string"
+KEYS = ["app_id", "kind", "cursor"]
+YEARS = 365 * 86_400_000
 
 
 def rows(spark, *data):
-    return spark.createDataFrame([(a, "reviews", c, dt.datetime(2024, 1, 1, h), b) for a, c, h, b in data], SCHEMA)
+    return spark.createDataFrame([(a, "reviews", c, None if h is None else dt.datetime(2024, 1, 1, h), b) for a, c, h, b in data], SCHEMA)
 
 
-def test_each_landed_row_once_across_runs_and_late_rows_stay(spark, tmp_path):
-    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
-    schema = rows(spark, (1, "*", 1, "a")).schema
-    table = LatestTable(spark, str(tmp_path / "once"), schema, ["app_id", "kind", "cursor"], [], buckets=4)
+def land(frame, path):
+    frame.coalesce(1).write.mode("append").parquet(path)
 
-    def run():
-        upsert(read_increment(spark, landing, schema, max_files=1), table, checkpoint)
-        return sorted((r.app_id, r.cursor) for r in table.read().collect())
 
-    rows(spark, (1, "*", 20, "a"), (1, "*", 21, "again"), (2, "*", 20, "b")).coalesce(1).write.mode("append").parquet(landing)
-    assert run() == [(1, "*"), (2, "*")]
-    assert run() == [(1, "*"), (2, "*")]
-    rows(spark, (1, "*", 22, "again"), (1, "c1", 22, "c")).coalesce(1).write.mode("append").parquet(landing)
-    assert run() == [(1, "*"), (1, "c1"), (2, "*")]
-    rows(spark, (3, "*", 0, "long ago")).coalesce(1).write.mode("append").parquet(landing)
-    assert run() == [(1, "*"), (1, "c1"), (2, "*"), (3, "*")]
+def newest_rows(spark, schema, keys, *paths):
+    return sorted((r.app_id, r.body) for r in inc.read_newest(spark, schema, keys, ["fetched_at"], *paths).collect())
 
 
-def test_a_stop_before_the_manifest_loses_nothing(spark, tmp_path, monkeypatch):
-    old = rows(spark, *((k, "*", 1, "old") for k in range(20)))
-    new = rows(spark, *((k, "*", 2, "new") for k in range(0, 20, 2)))
-    table = LatestTable(spark, str(tmp_path / "latest"), old.schema, ["app_id"], ["fetched_at"], buckets=3)
-    table.merge(old)
+def test_newest_equals_batch_and_late_rows_count(spark, tmp_path):
+    first = rows(spark, (1, "*", 1, "a"), (2, "*", 5, "b"), (3, "*", 1, "c"), (5, "*", None, "no stamp"))
+    second = rows(spark, (1, "*", 2, "newer"), (2, "*", 4, "older"), (4, "*", 1, "d"), (5, "*", 0, "stamp"))
+    landing, deltas, checkpoint = (str(tmp_path / name) for name in ("landing", "deltas", "checkpoint"))
+    assert newest_rows(spark, first.schema, ["app_id"], deltas) == []
+    for more in (first, second):
+        land(more, landing)
+        inc.drain(inc.read_increment(spark, landing, first.schema), inc.append_newest(deltas, ["app_id"], ["fetched_at"]), checkpoint)
+    want = sorted((r.app_id, r.body) for r in latest_by(first.unionByName(second), ["app_id"], "fetched_at").collect())
+    assert newest_rows(spark, first.schema, ["app_id"], deltas) == want
+    assert sorted(p.name for p in (tmp_path / "deltas").iterdir()) == ["batch=0", "batch=1"]
 
-    def stop(*_):
-        raise RuntimeError("stopped")
 
-    with monkeypatch.context() as broken:
-        broken.setattr(LatestTable, "_publish", stop)
-        with pytest.raises(RuntimeError):
-            table.merge(new)
-    assert sorted((r.app_id, r.body) for r in table.read().collect()) == [(k, "old") for k in range(20)]
-    table.merge(new)
+def test_a_batch_tried_again_changes_nothing(spark, tmp_path):
+    deltas = str(tmp_path / "deltas")
+    sink = inc.append_newest(deltas, ["app_id"], ["fetched_at"])
+    old, new = rows(spark, *((k, "*", 1, "old") for k in range(20))), rows(spark, *((k, "*", 2, "new") for k in range(0, 20, 2)))
+    for batch, number in ((old, 0), (new, 1), (new, 1), (old, 0)):
+        sink(batch, number)
     want = [(k, "old" if k % 2 else "new") for k in range(20)]
-    assert sorted((r.app_id, r.body) for r in table.read().collect()) == want
-    table.vacuum()
-    assert sorted((r.app_id, r.body) for r in table.read().collect()) == want
-
-
-def test_only_touched_buckets_are_written(spark, tmp_path):
-    data = rows(spark, *((k, "*", 1, "x") for k in range(50)))
-    table = LatestTable(spark, str(tmp_path / "latest"), data.schema, ["app_id"], ["fetched_at"], buckets=8)
-    table.merge(data)
-    table.merge(rows(spark, (7, "*", 2, "y")))
-    assert sorted(table._current()[1].values()) == [1] * 7 + [2]
-
-
-def test_upsert_equals_batch_and_repeats_harmlessly(spark, tmp_path):
-    first = rows(spark, (1, "*", 1, "a"), (2, "*", 5, "b"), (3, "*", 1, "c"))
-    second = rows(spark, (1, "*", 2, "newer"), (2, "*", 4, "older"), (4, "*", 1, "d"))
-    table = LatestTable(spark, str(tmp_path / "latest"), first.schema, ["app_id", "cursor"], ["fetched_at"], buckets=4)
-    landing = str(tmp_path / "landing")
-    first.coalesce(1).write.parquet(landing)
-    upsert(read_increment(spark, landing, first.schema), table, str(tmp_path / "checkpoint"))
-    second.coalesce(1).write.mode("append").parquet(landing)
-    upsert(read_increment(spark, landing, first.schema), table, str(tmp_path / "checkpoint"))
-    want = sorted((r.app_id, r.body) for r in latest_by(first.unionByName(second), ["app_id", "cursor"], "fetched_at").collect())
-    assert sorted((r.app_id, r.body) for r in table.read().collect()) == want
-    table.merge(second, 7)
-    assert sorted((r.app_id, r.body) for r in table.read().collect()) == want
+    assert newest_rows(spark, old.schema, ["app_id"], deltas) == want
+    # Written under another number, as after a lost checkpoint: still the same.
+    sink(old, 7)
+    assert newest_rows(spark, old.schema, ["app_id"], deltas) == want
+
+
+def test_a_stopped_batch_is_done_after_a_restart(spark, tmp_path):
+    landing, deltas, checkpoint = (str(tmp_path / name) for name in ("landing", "deltas", "checkpoint"))
+    data = rows(spark, *((k, "*", 1, "x") for k in range(9)))
+    land(data, landing)
+    sink = inc.append_newest(deltas, ["app_id"], ["fetched_at"])
+
+    def stops(batch, number):
+        sink(batch.where("app_id < 4"), number)  # a part is written, then the driver is gone
+        raise RuntimeError("stopped")
+
+    with pytest.raises(Exception, match="stopped"):
+        inc.drain(inc.read_increment(spark, landing, data.schema), stops, checkpoint)
+    assert len(newest_rows(spark, data.schema, ["app_id"], deltas)) == 4
+    inc.drain(inc.read_increment(spark, landing, data.schema), sink, checkpoint)
+    assert newest_rows(spark, data.schema, ["app_id"], deltas) == [(k, "x") for k in range(9)]
+
+
+def test_compaction_keeps_the_rows(spark, tmp_path):
+    deltas, base = str(tmp_path / "deltas"), str(tmp_path / "base")
+    sink = inc.append_newest(deltas, ["app_id"], ["fetched_at"])
+    for hour in range(3):
+        sink(rows(spark, *((k, "*", hour, f"at {hour}") for k in range(hour, 6))), hour)
+    schema = rows(spark, (1, "*", 1, "a")).schema
+    want = newest_rows(spark, schema, ["app_id"], deltas)
+    inc.compact(spark, schema, ["app_id"], ["fetched_at"], deltas, base)
+    assert newest_rows(spark, schema, ["app_id"], base) == newest_rows(spark, schema, ["app_id"], base, deltas) == want
+    sink(rows(spark, (0, "*", 9, "later")), 3)
+    assert newest_rows(spark, schema, ["app_id"], base, deltas) == [(0, "later"), *want[1:]]
+    assert spark.read.parquet(base).count() == 6
+
+
+def test_each_record_once_across_restarts_and_late_rows_apart(spark, tmp_path):
+    landing, checkpoint, once, late = (str(tmp_path / name) for name in ("landing", "checkpoint", "once", "late"))
+    schema = rows(spark, (1, "*", 1, "a")).schema
+
+    def run():
+        stream = inc.first_of_each(inc.read_increment(spark, landing, schema, max_files=1), KEYS, "fetched_at", 100 * YEARS)
+        inc.drain(stream, inc.append_split(once, late), checkpoint)
+        return [sorted(((r.app_id, r.cursor, r.body) for r in spark.read.schema(schema).parquet(path).collect()), key=str) for path in (once, late)]
+
+    land(rows(spark, (1, "*", 21, "again"), (1, "*", 20, "a"), (2, "*", 20, "b")), landing)
+    assert run() == [[(1, "*", "a"), (2, "*", "b")], []]
+    assert run() == [[(1, "*", "a"), (2, "*", "b")], []]
+    old = spark.createDataFrame([(3, "reviews", "*", dt.datetime(1900, 1, 1), "long ago"), (3, "reviews", "*", dt.datetime(1901, 1, 1), "long ago too")], SCHEMA)
+    land(rows(spark, (1, "*", 22, "again"), (1, "c1", 22, "c"), (4, "*", None, "no stamp"), (None, None, 3, "no key")).unionByName(old), landing)
+    assert set(run()[1]) == {(3, "*", "long ago"), (3, "*", "long ago too"), (4, "*", "no stamp")}
+    kept = {(r.app_id, r.cursor, r.body) for r in spark.read.schema(schema).parquet(once).collect()}
+    assert kept == {(1, "*", "a"), (2, "*", "b"), (1, "c1", "c"), (None, None, "no key")}
+
+
+def test_state_is_dropped_by_its_timer(spark, tmp_path):
+    """A key is remembered for its time only: afterwards its rows are late, and the state is empty."""
+    landing, checkpoint, once, late = (str(tmp_path / name) for name in ("landing", "checkpoint", "once", "late"))
+    schema = rows(spark, (1, "*", 1, "a")).schema
+    now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    land(spark.createDataFrame([(k, "reviews", "*", now, "x") for k in range(5)], SCHEMA), landing)
+
+    def run():
+        stream = inc.first_of_each(inc.read_increment(spark, landing, schema), KEYS, "fetched_at", 25_000)
+        inc.drain(stream, inc.append_split(once, late), checkpoint)
+        state = spark.read.format("statestore").load(checkpoint)
+        return state.count()
+
+    assert run() == 5
+    time.sleep(max(0, 26 - (dt.datetime.now(dt.UTC).replace(tzinfo=None) - now).total_seconds()))
+    land(spark.createDataFrame([(0, "reviews", "*", now, "repeat")], SCHEMA), landing)
+    assert run() == 0
+    assert [(r.app_id, r.body) for r in spark.read.schema(schema).parquet(late).collect()] == [(0, "repeat")]
+    assert spark.read.schema(schema).parquet(once).count() == 5
