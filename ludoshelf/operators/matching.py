@@ -175,7 +175,7 @@ def hours(best: Column) -> Column:
 
 
 def hours_summary(rows: DataFrame, key: str, value: Column) -> DataFrame:
-    """Mean, maximum and median of hour values per group; values that are no numbers are skipped."""
+    """Number, mean and maximum of hour values per group; values that are no numbers are skipped."""
     return (
         rows.select(key, value.try_cast("double").alias("hours"))
         .groupBy(key)
