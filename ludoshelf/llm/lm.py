@@ -28,7 +28,7 @@ from ludoshelf.llm.trie import Trie
 from ludoshelf.sources.staging import Staging
 
 FOLDS, HELD_OUT = 7, 2
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 1_250_000
 SHARD_TOKENS = 1_500_000  # tokens of the corpus for each shard of requests
 SEED = 42
 END = b"\n"  # no word holds a line feed
@@ -213,14 +213,19 @@ def score(docs: DataFrame, staged: Staging | None = None) -> DataFrame:
     def run(mine: pa.Table, back: pa.Table) -> pa.Table:
         out: list[list] = [[], [], [], [], [], []]
         for batch in mine.to_pylist():
-            rows = sorted(back.to_pylist(), key=lambda r: r["shard"])
+            shard_of = back.column("shard").to_numpy()
+            by_shard = np.argsort(shard_of)
             vocabulary, local, sizes = _read(batch)
             keys, context, token, pair_of = _pairs(vocabulary, local, sizes)
             parts = [[], []]
             shards = -(-tokens // SHARD_TOKENS) or 1
             for level, of in ((0, vocabulary), (1, keys)):
-                lengths = np.diff(_cuts(of, shards))
-                parts[level] = np.concatenate([_counts(r[f"counts{level + 1}"], int(lengths[r["shard"]])) for r in rows])
+                cuts = _cuts(of, shards)
+                parts[level] = np.zeros(len(of), np.int64)
+                answer = back.column(f"counts{level + 1}")
+                for row in by_shard:  # one answer at a time
+                    start, end = (int(cuts[shard_of[row] + k]) for k in (0, 1))
+                    parts[level][start:end] = _counts(answer[int(row)].as_py(), end - start)
             counts, pairs = parts
             trie, shorter = model_slice(len(vocabulary), counts, context, token, pairs, n, types, once)
             node = trie.child(0, context, token)
