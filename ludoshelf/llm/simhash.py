@@ -130,13 +130,27 @@ def key_rows(prints: DataFrame) -> DataFrame:
     return prints.select("print").mapInArrow(run, "key int, print long")
 
 
-def link_components(near: DataFrame, linked: Callable[[str, str], str], staged: Staging, verified: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+def side(rows: DataFrame, name: str, *but: str) -> DataFrame:
+    """``rows`` with ``name`` before the names of its columns, but for some."""
+    return rows.withColumnsRenamed({c: f"{name}_{c}" for c in rows.columns if c not in but})
+
+
+def merged(roots: DataFrame, pairs: DataFrame, staged: Staging, name: str) -> DataFrame:
+    """Components (``node``, ``root``) after further links ``a``, ``b``, whose ends may be nodes or roots."""
+    for end in ("a", "b"):
+        of = roots.select(F.col("node").alias(end), F.col("root").alias("_root"))
+        pairs = pairs.join(of, end, "left").withColumn(end, F.coalesce("_root", end)).drop("_root")
+    again = components(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), staged, name)
+    through = roots.join(again.select(F.col("node").alias("root"), F.col("root").alias("_final")), "root", "left")
+    through = through.select("node", F.coalesce("_final", "root").alias("root"))
+    alone = again.join(roots.select("node"), "node", "left_anti").select("node", "root")
+    return staged(through.unionByName(alone), f"{name}_roots")
+
+
+def link_components(near: DataFrame, linked: Callable[[str, str], str], staged: Staging) -> DataFrame:
     """``node`` and ``root`` for those nodes of ``near`` that have links. ``near`` has ``key``, ``node`` and the columns that
     ``linked`` reads; ``linked(a, b)`` is the condition of a link between two rows by the prefixes of their columns.
 
-    With ``verified`` a pair that meets this condition is only a candidate: ``verified(pairs, name)`` gives those of the distinct pairs
-    (``a``, ``b``) that are links.
-
     First every member of a key is held against one head of the key: links of a star, one row a member. This is repeated with other
     heads in the keys that still hold several components. Only then members of different components are held against each
     other. A crowded group is thereby one component before any pairs are made.
@@ -144,9 +158,6 @@ def link_components(near: DataFrame, linked: Callable[[str, str], str], staged:
     near = staged(near, "golay_keys")
     carried = [c for c in near.columns if c not in ("key", "node")]
 
-    def side(rows: DataFrame, name: str, *but: str) -> DataFrame:
-        return rows.withColumnsRenamed({c: f"{name}_{c}" for c in rows.columns if c not in but})
-
     def by(number: int) -> Column:
         """The order of a round, whose least member is the key's head."""
         return F.xxhash64("node", F.lit(number))
@@ -156,24 +167,12 @@ def link_components(near: DataFrame, linked: Callable[[str, str], str], staged:
         heads = rows.groupBy("key").agg(*[F.min_by(c, by(number)).alias(f"h_{c}") for c in ("node", *carried)], F.count("*").alias("n"))
         heads = heads.where("n > 1").drop("n").hint("merge")
         pairs = side(rows, "m", "key").join(heads, "key").where(f"h_node != m_node and {linked('h', 'm')}")
-        pairs = pairs.select(F.least("h_node", "m_node").alias("a"), F.greatest("h_node", "m_node").alias("b")).distinct()
-        return pairs if verified is None else verified(pairs, f"golay_star_{number}")
-
-    def merged(roots: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-        """Components after further links, whose ends may be nodes or roots."""
-        for end in ("a", "b"):
-            of = roots.select(F.col("node").alias(end), F.col("root").alias("_root"))
-            pairs = pairs.join(of, end, "left").withColumn(end, F.coalesce("_root", end)).drop("_root")
-        again = components(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), staged, name)
-        through = roots.join(again.select(F.col("node").alias("root"), F.col("root").alias("_final")), "root", "left")
-        through = through.select("node", F.coalesce("_final", "root").alias("root"))
-        alone = again.join(roots.select("node"), "node", "left_anti").select("node", "root")
-        return staged(through.unionByName(alone), f"{name}_roots")
+        return pairs.select(F.least("h_node", "m_node").alias("a"), F.greatest("h_node", "m_node").alias("b")).distinct()
 
     rows, roots = near, None
     for number in range(STARS):
         pairs = star(rows, number)
-        roots = components(pairs, staged, "golay_star_0") if roots is None else merged(roots, pairs, f"golay_star_{number}")
+        roots = components(pairs, staged, "golay_star_0") if roots is None else merged(roots, pairs, staged, f"golay_star_{number}")
         named = staged(rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"golay_named_{number}")
         mixed = named.groupBy("key").agg(F.min_by("node", by(number)).alias("head"), F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
         # The head of a key has been held against all others; a key of two is done, and so is one of a single component.
@@ -181,11 +180,7 @@ def link_components(near: DataFrame, linked: Callable[[str, str], str], staged:
         left = staged(named.join(mixed, "key").where("node != head").drop("head"), f"golay_mixed_{number}")
         rows = left.drop("root")
     across = side(left, "a", "key").hint("merge").join(side(left, "b", "key"), "key").where(f"a_root < b_root and {linked('a', 'b')}")
-    if verified is None:
-        across = across.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct()
-    else:
-        across = verified(across.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct(), "golay_across")
-    return merged(roots, across, "golay_across")
+    return merged(roots, across.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), staged, "golay_across")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, radius: int = RADIUS, staged: Staging | None = None) -> DataFrame:
@@ -210,19 +205,19 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = RADIUS, stage
     )
 
 
-#: Whole-text similarity: exact Jaccard of the sets of word shingles. Texts meet in keys that lose no pair, wide SimHash prints of the sets
-#: rule out what merely met, and the rest is verified on the sets. Angle / pi is at most arccos(2s / (1 + s)) / pi = 0.152 of the bits at a
-#: similarity of 0.8, and 3/16 for the smallest sets; the cut lies six standard deviations above.
+#: Whole-text similarity: exact Jaccard of the sets of word shingles. Texts meet in keys that lose no pair, two prints of the sets rule out
+#: what merely met, and the rest is verified on the sets. SimHash: angle / pi is at most arccos(2s / (1 + s)) / pi = 0.152 of the bits at a
+#: similarity of 0.8, and 3/16 for the smallest sets; the cut lies six standard deviations above. Parity: bit b tells whether an odd number
+#: of shingles fell on it, so the bits in which two sets differ are never more than the shingles in which they differ; this cut is exact.
 WIDE_LONGS = 4
+PARITY_LONGS = 16
 SIMILAR = 0.8
 SMALL = 32  # shingles of a set whose prints are cut by the wider share
 WIDE = [f"w{k}" for k in range(WIDE_LONGS)]
+PARITY = [f"p{k}" for k in range(PARITY_LONGS)]
 SAMPLE = 5_000  # documents whose shingles are counted
 COMMON = 300_000  # shingles that are known as common at most
-
-
-def _digest(feature: bytes, first_seed: int) -> bytes:
-    return b"".join(xxhash.xxh3_128_digest(feature, seed=first_seed + k) for k in range(2))
+SETTLED = 0.9  # a round of stars that leaves more of its rows is the last one
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -230,6 +225,31 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(s, seed=SEED) for s in _shingles(words_of(text), words)), np.uint64).view(np.int64))
 
 
+def _mixed(hashes: np.ndarray, number: int) -> np.ndarray:
+    """Further 64 bits of each hash, by the finaliser of splitmix64."""
+    x = hashes.view(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * number) % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def wide_print(shingles: np.ndarray) -> np.ndarray:
+    """SimHash of a set of hashes, ``WIDE_LONGS`` signed longs."""
+    ones = np.zeros((WIDE_LONGS, 64), np.int64)
+    for at in range(0, len(shingles), HASHES_AT_ONCE):
+        part = shingles[at : at + HASHES_AT_ONCE]
+        for k in range(WIDE_LONGS):
+            ones[k] += np.unpackbits(_mixed(part, k + 1).view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(shingles), axis=1).view(">i8").ravel().astype(np.int64)
+
+
+def parity_print(shingles: np.ndarray) -> np.ndarray:
+    """For each of 64 * ``PARITY_LONGS`` places whether an odd number of hashes fell on it, as signed longs."""
+    bits = 64 * PARITY_LONGS
+    places = (_mixed(shingles, WIDE_LONGS + 1) % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).view(">i8").astype(np.int64)
+
+
 def shingle_sets(docs: DataFrame, words: int, keys: list[str]) -> DataFrame:
     """The columns ``keys`` (long) of ``docs`` and ``shingles``, the set of its column text."""
 
@@ -255,7 +275,7 @@ def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
 
 
 def prefix(shingles: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The shingles of a set of which it shares one with those of any set of at least ``similarity``.
+    """The shingles of a set of which it shares one with those of any set of at least ``similarity``, in their order.
 
     In one order of all shingles, rare ones first, two sets that share ``similarity`` * n of n shingles share one of their first n - similarity * n + 1.
     """
@@ -271,26 +291,25 @@ def prefix(shingles: np.ndarray, similarity: float, common: tuple[np.ndarray, np
 
 
 def text_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """doc_id, k1, k2 (the row's key), node (a hash of the set of shingles), n (its size), w0.. (its wide print) and keys."""
+    """doc_id, k1, k2 (the row's key), node (a hash of the set of shingles), n (its size), its two prints and keys."""
     known = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                node, n, wide, keys = [], [], [], []
+                node, n, prints, keys = [], [], [], []
                 for text in part.column(3).to_pylist():
-                    shingles = set(_shingles(words_of(text), words))
-                    wide.append(_majority(shingles, partial(_digest, first_seed=SEED), WIDE_LONGS).astype(np.int64))
                     hashes = shingle_set(text, words)
+                    prints.append(np.concatenate([wide_print(hashes), parity_print(hashes)]))
                     node.append(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes(), seed=SEED)).astype(np.int64))
                     n.append(len(hashes))
                     keys.append(prefix(hashes, similarity, known.value))
-                columns = [pa.array(node, pa.int64()), pa.array(n, pa.int64()), *[pa.array(c) for c in np.stack(wide).T], pa.array(keys, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns], names=["doc_id", "k1", "k2", "node", "n", *WIDE, "keys"])
+                columns = [pa.array(node, pa.int64()), pa.array(n, pa.int64()), *[pa.array(c) for c in np.stack(prints).T], pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns], names=["doc_id", "k1", "k2", "node", "n", *WIDE, *PARITY, "keys"])
 
     text = F.col("text").cast("string")
-    kinds = ", ".join(f"{w} long" for w in WIDE)
+    kinds = ", ".join(f"{c} long" for c in (*WIDE, *PARITY))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(text), text).mapInArrow(run, f"doc_id long, k1 long, k2 long, node long, n long, {kinds}, keys array<long>")
 
 
@@ -300,6 +319,72 @@ def most_bits(share: float) -> int:
     return round(bits * share + 6 * math.sqrt(bits * share * (1 - share)))
 
 
+def similar_components(met: DataFrame, prints: DataFrame, sets: DataFrame, similarity: float, staged: Staging) -> DataFrame:
+    """``node`` and ``root`` for the sets that are linked: pairs with a Jaccard similarity of at least ``similarity``.
+
+    ``met`` has a row for each key of a set (``key``, ``node``, ``pos``, ``n``: its place in the set's order and the set's size), ``prints`` the prints of each
+    node, ``sets`` its shingles. At the first key that two similar sets share, no more than the rest of both sets can be common; pairs for which that is too
+    little are not made. They are made at a later key, if at all, where nothing is lost.
+
+    Rounds of stars come first: each key's members are held against one head, the member with most keys, then the one with most keys outside the component
+    of the first. Rounds go on while they settle keys. Members of different components that still share a key are then held against each other; that
+    the prints agree is part of the join's condition, so what merely shares a key becomes no row.
+    """
+    angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    most, most_small = most_bits(angle), most_bits(max(angle, 3 / 16))
+    prints_of = [*WIDE, *PARITY]
+
+    def within_reach(a: str, b: str) -> str:
+        sizes = f"least({a}_n, {b}_n) >= {similarity} * greatest({a}_n, {b}_n) - 1e-9"
+        return f"{sizes} and least({a}_n - {a}_pos, {b}_n - {b}_pos) >= {similarity / (1 + similarity)} * ({a}_n + {b}_n) - 1e-9"
+
+    def prints_agree(a: str, b: str) -> str:
+        differ = {kind[0]: " + ".join(f"bit_count({a}_{w} ^ {b}_{w})" for w in kind) for kind in (WIDE, PARITY)}
+        parity = f"{differ[PARITY[0]]} <= {(1 - similarity) / (1 + similarity)} * ({a}_n + {b}_n) + 1e-9"
+        return f"{parity} and {differ[WIDE[0]]} <= if(least({a}_n, {b}_n) < {SMALL}, {most_small}, {most})"
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}_set")), end)
+        both = pairs.select("a", "b", F.expr("size(array_intersect(a_set, b_set))").alias("both"), F.expr("size(a_set) + size(b_set)").alias("sizes"))
+        return both.where(f"both >= {similarity} * (sizes - both) - 1e-9").select("a", "b")
+
+    def ordered(a: str, b: str) -> list[Column]:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+    keys = met.groupBy("node").agg(F.count("*").alias("keys"))
+    rows = staged(met.join(keys, "node").withColumn("root", F.col("node")), "near_rows_0")
+    left, roots, number = rows.count(), None, 0
+    order = F.struct(-F.col("keys"), F.xxhash64("node"), "node")
+    while left:
+        heads = rows.groupBy("key").agg(F.min_by(F.struct("node", "root", "pos", "n"), order).alias("h"))
+        if number:
+            others = rows.join(heads.select("key", F.col("h.root").alias("settled")).hint("merge"), "key").where("root != settled")
+            heads = others.groupBy("key").agg(F.min_by(F.struct("node", "root", "pos", "n"), order).alias("h"))
+        heads = heads.select("key", *[F.col(f"h.{c}").alias(f"h_{c}") for c in ("node", "root", "pos", "n")]).hint("merge")
+        pairs = side(rows, "m", "key").join(heads, "key").where(f"h_root != m_root and {within_reach('h', 'm')}")
+        pairs = pairs.select(*ordered("h_node", "m_node")).distinct()
+        for end in ("a", "b"):
+            pairs = pairs.join(side(prints, end, "node").withColumnRenamed("node", end), end)
+        links = verified(staged(pairs.where(prints_agree("a", "b")).select("a", "b"), f"near_candidates_{number}"))
+        roots = components(links, staged, "near_star_0") if roots is None else merged(roots, links, staged, f"near_star_{number}")
+        named = rows.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        named = staged(named, f"near_named_{number}")
+        mixed = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key").hint("merge")
+        number += 1
+        rows = staged(named.join(mixed, "key"), f"near_rows_{number}")
+        before, left = left, rows.count()
+        if left > SETTLED * before:
+            break
+    if roots is None:
+        return met.select("node", F.col("node").alias("root"))
+    seen = side(rows.select("key", "node", "pos", "n", "root").join(prints.select("node", *prints_of), "node"), "a", "key")
+    other = seen.withColumnsRenamed({c: f"b{c[1:]}" for c in seen.columns if c != "key"})
+    across = seen.hint("merge").join(other, "key").where(f"a_root < b_root and {within_reach('a', 'b')} and {prints_agree('a', 'b')}")
+    across = staged(across.select(*ordered("a_node", "b_node")).distinct(), "near_across_candidates")
+    return merged(roots, verified(across), staged, "near_across")
+
+
 def representatives(docs: DataFrame, words: int = 5, similarity: float = SIMILAR, staged: Staging | None = None) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any other columns), as they are, that are first of their group of near-duplicates.
 
@@ -308,37 +393,22 @@ def representatives(docs: DataFrame, words: int = 5, similarity: float = SIMILAR
     empty and blank texts are one group.
     """
     staged = staged or stage(docs.sparkSession)
-    angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    most, most_small = most_bits(angle), most_bits(max(angle, 3 / 16))
     printed = staged(text_prints(docs, words, similarity), "text_prints")
     least = F.min(F.struct("doc_id", "k1", "k2")).alias("least")
-    classes = staged(printed.groupBy("node", "n", *WIDE).agg(least), "text_classes")
+    classes = staged(printed.groupBy("node").agg(least), "text_classes")
     # Most keys stand in one text only. They go before nodes are shuffled; keys that only copies share go after copies have met.
-    every = printed.select(F.explode("keys").alias("key"), "node")
-    met = staged(every.join(staged(every.groupBy("key").count().where("count > 1").select("key"), "text_keys"), "key").distinct(), "text_met")
-    met = met.join(met.groupBy("key").count().where("count > 1").select("key").hint("merge"), "key")
-    near = met.join(classes.select("node", "n", *WIDE), "node").select("key", "node", "n", *WIDE)
+    every = printed.select(F.posexplode("keys").alias("pos", "key"), "node", F.col("n").cast("int").alias("n"))
+    shared = staged(every.groupBy("key").count().where("count > 1").select("key"), "text_keys")
+    met = staged(every.join(shared, "key").select("key", "node", "pos", "n").distinct(), "text_met")
+    met = staged(met.join(met.groupBy("key").count().where("count > 1").select("key").hint("merge"), "key"), "text_near")
+    asked = met.select("node").distinct()
+    prints = staged(printed.select("node", "n", *WIDE, *PARITY).join(asked, "node").dropDuplicates(["node"]), "text_near_prints")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text").cast("string")))
-
-    def linked(a: str, b: str) -> str:
-        sizes = f"least({a}_n, {b}_n) >= {similarity} * greatest({a}_n, {b}_n) - 1e-9"
-        bits = " + ".join(f"bit_count({a}_{w} ^ {b}_{w})" for w in WIDE)
-        return f"{sizes} and {bits} <= if(least({a}_n, {b}_n) < {SMALL}, {most_small}, {most})"
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs of nodes whose sets are similar; the two sets of a pair meet by the pair, so a crowd's head is in many tasks."""
-        pairs = staged(pairs, f"{name}_candidates")
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        asked = staged(classes.join(nodes, "node").select("node", "least.*"), f"{name}_asked")
-        texts = rows.alias("d").join(asked.alias("m"), same_row("d", "m")).select("node", F.col("row.text").cast("string").alias("text")).dropDuplicates(["node"])
-        sets = shingle_sets(texts, words, ["node"])
-        ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
-        two = ends.join(sets, "node").groupBy("a", "b").agg(F.min_by("shingles", "node").alias("x"), F.max_by("shingles", "node").alias("y"))
-        both = two.select("a", "b", F.expr("size(array_intersect(x, y))").alias("both"), F.expr("size(x) + size(y)").alias("sizes"))
-        return both.where(f"both >= {similarity} * (sizes - both) - 1e-9").select("a", "b")
-
-    linked_nodes = link_components(near, linked, staged, verified)
-    rooted = classes.select("node", "least").join(linked_nodes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    one = classes.join(asked, "node").select("node", "least.*")
+    texts = rows.alias("d").join(one.alias("m"), same_row("d", "m")).select("node", F.col("row.text").cast("string").alias("text"))
+    sets = staged(shingle_sets(texts, words, ["node"]).dropDuplicates(["node"]), "text_near_sets")
+    linked_nodes = similar_components(met, prints, sets, similarity, staged)
+    rooted = classes.join(linked_nodes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("least").alias("first")).select("first.*")
     kept = rows.alias("d").join(first.alias("f"), same_row("d", "f")).select("row", "d.doc_id", "d.k1", "d.k2")
     copies = Window.partitionBy("doc_id", "k1", "k2").orderBy(F.xxhash64("row"))
