@@ -100,6 +100,16 @@ def test_representatives_by_brute_force(make_docs):
     assert kept == {2 * k for k in similar} | {2 * k + 1 for k, s in similar.items() if s < 0.8}
 
 
+def test_parity_prints_never_differ_in_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(8)
+    for n, changed in ((1, 1), (30, 3), (146, 30), (3000, 700), (3000, 3000)):
+        hashes = np.unique(rng.integers(-(2**63), 2**63 - 1, n + changed, np.int64))
+        a, b = hashes[:n], hashes[changed:]
+        bits = sum(int(x).bit_count() for x in (simhash.parity_print(a) ^ simhash.parity_print(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b))
+    assert not simhash.parity_print(hashes[:0]).any() and not simhash.wide_print(hashes[:0]).any()
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     got = simhash.near_duplicates(odd_docs).collect()
     assert len(got) == 12 and {r.fingerprint for r in got if r.doc_id in (2, 3, 4)} == {"0" * 16}
