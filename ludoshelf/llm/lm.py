@@ -30,6 +30,7 @@ from ludoshelf.sources.staging import Staging
 FOLDS, HELD_OUT = 7, 2
 BATCH_TOKENS = 1_250_000
 SHARD_TOKENS = 1_500_000  # tokens of the corpus for each shard of requests
+SHARDS_AT_ONCE = 64  # rows of an Arrow batch of requests
 SEED = 42
 END = b"\n"  # no word holds a line feed
 K = 5.0
@@ -145,13 +146,14 @@ def requests(batched: DataFrame, shards: int) -> DataFrame:
                 counts = np.bincount(pair_of[train], minlength=len(keys))
                 own = _counts(batch["counts"], len(vocabulary))
                 one, two = _cuts(vocabulary, shards), _cuts(keys, shards)
-                for s in range(shards):
-                    a, b, c, d = one[s], one[s + 1], two[s], two[s + 1]
-                    if a == b and c == d:
-                        continue
-                    row = [s, batch["batch"], vocabulary[a:b].tobytes(), _compact(own[a:b]), keys[c:d].tobytes(), _compact(counts[c:d])]
+                asked = np.flatnonzero((np.diff(one) > 0) | (np.diff(two) > 0))  # never more shards than the batch has keys
+                for at in range(0, len(asked), SHARDS_AT_ONCE):
+                    rows = []
+                    for s in asked[at : at + SHARDS_AT_ONCE].tolist():
+                        a, b, c, d = one[s], one[s + 1], two[s], two[s + 1]
+                        rows.append((s, batch["batch"], vocabulary[a:b].tobytes(), _compact(own[a:b]), keys[c:d].tobytes(), _compact(counts[c:d])))
                     kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
-                    yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(row, kinds, strict=True)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     return batched.select("batch", "held", "sizes", "vocabulary", "counts", "tokens").mapInArrow(run, REQUESTS)
 
@@ -185,7 +187,10 @@ def answers(asked: DataFrame) -> DataFrame:
 
 
 def model_slice(size: int, counts: np.ndarray, context: np.ndarray, token: np.ndarray, pairs: np.ndarray, n: int, types: int, once: int) -> tuple[Trie, Trie]:
-    """The trie of a batch with log10 probabilities, and one of a single level with the log10 weights of the shorter history."""
+    """The trie of a batch with log10 probabilities, and one of a single level with the log10 weights of the shorter history.
+
+    The codebooks follow from the model's totals alone: no probability is below 1 / (N + V + 1), nor a weight below that of a history seen N times.
+    """
     single = np.log10((counts + 1) / (n + types + 1))
     share = min(once / n, 1.0) if n else 1.0
     weight = share + (1 - share) * K / (counts + K)
@@ -193,7 +198,8 @@ def model_slice(size: int, counts: np.ndarray, context: np.ndarray, token: np.nd
     seen = seen[np.lexsort((token[seen], context[seen]))]
     v, w = context[seen], token[seen]
     value = np.log10((1 - weight[v]) * pairs[seen] / np.maximum(counts[v], 1) + weight[v] * 10.0 ** single[w])
-    return Trie(size, [(v, w, value)], single), Trie(size, [], np.log10(weight))
+    books = [np.linspace(np.log10(least), 0.0, 256) for least in (1 / (n + types + 1), share + (1 - share) * K / (n + K))]
+    return Trie(size, [(v, w, value)], single, books[0]), Trie(size, [], np.log10(weight), books[1])
 
 
 def score(docs: DataFrame, staged: Staging | None = None) -> DataFrame:

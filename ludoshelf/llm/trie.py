@@ -111,18 +111,18 @@ class EliasFano:
 
 
 class Quantised:
-    """Values in one byte each: the mean of the values in their 256th of the range (exact for up to 256 distinct values)."""
+    """Values in one byte each, by a codebook of at most 256 rising values: each is coded as the nearest one.
 
-    def __init__(self, values: np.ndarray) -> None:
-        distinct = np.unique(values)
-        if len(distinct) <= 256:
-            self.book = distinct
-            codes = np.searchsorted(distinct, values)
-        else:
-            codes = np.minimum((values - distinct[0]) / (distinct[-1] - distinct[0]) * 256, 255).astype(np.int64)
-            total, n = np.bincount(codes, values, 256), np.bincount(codes, minlength=256)
-            self.book = total / np.maximum(n, 1)
-        self.codes = mapped(codes.astype(np.uint8))
+    A slice of a larger model is given the model's codebook, so a value's code does not depend on what else is in the slice. Without
+    one the codebook is made of the values: themselves if they are few, else equal steps over their range.
+    """
+
+    def __init__(self, values: np.ndarray, book: np.ndarray | None = None) -> None:
+        if book is None:
+            distinct = np.unique(values)
+            book = distinct if len(distinct) <= 256 else np.linspace(distinct[0], distinct[-1], 256)
+        self.book = book
+        self.codes = mapped(np.searchsorted((book[1:] + book[:-1]) / 2, values).astype(np.uint8))
 
     def get(self, index: np.ndarray) -> np.ndarray:
         return self.book[self.codes[index]]
@@ -137,11 +137,11 @@ class Trie:
     as the context's base plus its id. Every level has a quantised value per node.
     """
 
-    def __init__(self, size: int, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], values: np.ndarray) -> None:
-        """``levels``: per order from 2, (context node in the level above, last token, value), sorted by context and token."""
+    def __init__(self, size: int, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], values: np.ndarray, book: np.ndarray | None = None) -> None:
+        """``levels``: per order from 2, (context node in the level above, last token, value), sorted by context and token; ``book``: the model's codebook."""
         self.pointers: list[EliasFano] = []
         self.successors: list[EliasFano] = []
-        self.values = [Quantised(values)]
+        self.values = [Quantised(values, book)]
         above = size
         for context, token, value in levels:
             starts = np.searchsorted(context, np.arange(above + 1))
@@ -150,7 +150,7 @@ class Trie:
             step = np.zeros(len(token), np.int64)
             step[ends[:-1]] = token[ends[:-1] - 1] + 1  # a range starts behind the last of the range before
             self.successors.append(EliasFano(np.cumsum(step) + token))
-            self.values.append(Quantised(value))
+            self.values.append(Quantised(value, book))
             above = len(token)
 
     @property

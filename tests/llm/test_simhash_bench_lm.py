@@ -243,6 +243,17 @@ def test_scores_by_brute_force(make_docs):
             assert r.score == pytest.approx(sum(math.log10(probability(*p)) for p in zip([b"\n", *words_of], words_of)), abs=0.02 * len(words_of))
 
 
+def test_scores_do_not_depend_on_batches_or_files(make_docs, monkeypatch):
+    texts = [" ".join(PROSE.split()[k % 7 : 9 + k % 11]) + f" w{k % 13}" for k in range(120)]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, t) for i, t in enumerate(texts)]
+    by_batches, whole = [], lm.batches
+    for most, parts in ((lm.BATCH_TOKENS, 1), (150, 5), (40, 3)):
+        monkeypatch.setattr(lm, "batches", lambda d, most=most: whole(d, most))
+        by_batches.append({r.doc_id: r.score for r in lm.score(make_docs(docs).repartition(parts)).collect()})
+    assert by_batches[0] == by_batches[1] == by_batches[2]
+    assert all(by_batches[0][i] == by_batches[0][1000 + i] for i in range(len(texts)))
+
+
 def test_scores_odd_rows(odd_docs, no_docs):
     got = lm.score(odd_docs).collect()
     assert len(got) == 12 and all(r.score < 0 and r.n_tokens >= 1 for r in got)
