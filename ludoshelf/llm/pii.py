@@ -23,15 +23,17 @@ BASE = ("email", "ip", "card", "phone")
 ADDED = ("number", "iban", "handle", "name")
 KINDS = BASE + ADDED
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# An address is sought from its "@", an ip only at the start of a run of digits: both find the same matches, in time linear in the text.
+LOCAL_PART = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 CANDIDATES = {
     "number": re.compile(r"[0-9(][0-9().\x20/-]{5,28}[0-9](?!\w)"),
     "iban": re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w)"),
-    "handle": re.compile(r"[A-Za-z0-9._%+-]+\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]+(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z0-9-]+)+"),
+    "handle": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]+(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z0-9-]+)+"),
     "name": re.compile(r"[A-ZÀ-Þ][a-zß-ÿ'-]+(?:\x20[A-ZÀ-Þ][a-zß-ÿ'-]+){1,2}(?!\w)"),
 }
 DOT = re.compile(r"(?:\(dot\)|\[dot\]|\x20dot\x20)")
@@ -49,9 +51,15 @@ FAMILY = frozenset(
     "Martin Bernard Dubois Moreau Laurent Garcia Martinez Lopez Sanchez Perez Gonzalez Rodriguez Fernandez".split()
 )
 NO_NAME = frozenset("January February March April May June July August September October November December Monday Tuesday Wednesday Thursday Friday Saturday Sunday The This That".split())
+# Characters of an iban by country.
+IBAN_CHARS = {
+    "AD": 24, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22,
+    "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19, "SK": 24, "TR": 26,
+}
 CUES = re.compile(
     r"(?i:phone|tel|call|mobile|cell|fax|contact|ssn|social security|passport|account|iban|licen[cs]e|insurance|mr|mrs|ms|dr|name|signed|born|e-?mail|reach|write to)[\s.:#-]*(?:\w+\s)?\(?$", re.ASCII
 )
+NAME_CUES = re.compile(r"\b(?i:mr|mrs|ms|dr|prof|name|named|signed|dear|regards|sincerely)(?:\sis)?[\s.,:#-]*\Z", re.ASCII)
 NO_CUES = re.compile(r"(?i:page|pages|isbn|issn|version|order|invoice|total|price|figure|table|section|chapter|sku|build|year|years)[\s.:#-]*\(?$|[$€£]\s?$", re.ASCII)
 DATE = re.compile(r"(?:(?:19|20)[0-9]{2}[-./ ][0-9]{1,2}[-./ ][0-9]{1,2}|[0-9]{1,2}[-./ ][0-9]{1,2}[-./ ](?:19|20)[0-9]{2})(?![0-9])|(?:19|20)[0-9]{2}\s?[-/]\s?(?:19|20)[0-9]{2}$")
 LOCAL = re.compile(r"\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}$|[0-9]{3}-[0-9]{2}-[0-9]{4}$")
@@ -66,8 +74,22 @@ def luhn(digits: str) -> bool:
     return sum(values[::2] + [sum(divmod(2 * v, 10)) for v in values[1::2]]) % 10 == 0
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """The leftmost matches of local part, "@" and dotted domain: each begins as far left of its "@" as the match before allows."""
+    after, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > after and text[start - 1] in LOCAL_PART:
+            start -= 1
+        domain = DOMAIN.match(text, at + 1) if start < at else None
+        after = domain.end() if domain else at + 1
+        if domain:
+            yield start, after
+        at = text.find("@", after)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
-    found = [(*m.span(), "email") for m in EMAIL.finditer(text)] if "@" in text else []
+    found = [(*span, "email") for span in emails(text)]
     for m in IP.finditer(text):
         parts = [p.lstrip("0") for p in m[0].split(".")]
         if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
@@ -93,9 +115,23 @@ def _mod97(code: str) -> bool:
 def _by_form(kind, span, before):
     if kind == "number":
         return 1 if LOCAL.match(span) else 0 if span.isdigit() else None
+    if kind == "handle":
+        return 1 if "(" in span or "[" in span else None
+    return None
+
+
+def _by_checksum(kind, span, before):
+    return int(_mod97(span)) if kind == "iban" else None
+
+
+def _by_ending(kind, span, before):
+    """An iban's length by its country, a handle's last label."""
     if kind == "iban":
-        return int(_mod97(span))
-    return 1 if kind == "handle" else None
+        return int(IBAN_CHARS.get(span[:2]) == len(span.replace(" ", "")))
+    if kind == "handle":
+        last = DOT.split(span)[-1].strip()
+        return int(last.isalpha() and 2 <= len(last) <= 6)
+    return None
 
 
 def _by_gazetteer(kind, span, before):
@@ -109,13 +145,17 @@ def _by_full_gazetteer(kind, span, before):
     if kind != "name":
         return None
     first, *_, last = span.split(" ")
-    return 1 if first in GIVEN and last in FAMILY else 0
+    return 1 if first in GIVEN and last in FAMILY else None
 
 
 def _by_cue(kind, span, before):
     return 1 if CUES.search(before) else None
 
 
+def _by_name_cue(kind, span, before):
+    return 1 if kind == "name" and NAME_CUES.search(before) else None
+
+
 def _by_other_cue(kind, span, before):
     return 0 if NO_CUES.search(before) else None
 
@@ -131,7 +171,17 @@ def _by_length(kind, span, before):
     return 0 if digits > 13 or span.count(".") == 1 and digits < 9 else 1 if 9 <= digits <= 11 else None
 
 
-LABELERS = (_by_form, _by_gazetteer, _by_full_gazetteer, _by_cue, _by_other_cue, _by_date, _by_length)
+#: Each labeler with how often it is expected to be right where it votes on a true and on a false candidate.
+LABELERS = {
+    _by_form: (0.95, 0.95), _by_checksum: (0.999, 0.99), _by_ending: (0.9, 0.8), _by_gazetteer: (0.9, 0.9), _by_full_gazetteer: (0.95, 0.97),
+    _by_cue: (0.8, 0.9), _by_name_cue: (0.9, 0.95), _by_other_cue: (0.9, 0.8), _by_date: (0.95, 0.9), _by_length: (0.8, 0.7),
+}
+#: One more labeler's vote is added when all documents are read: both of a name's words follow name cues somewhere in the corpus.
+LEARNT = (0.9, 0.9)
+TOLD = np.array([*LABELERS.values(), LEARNT]).T
+#: The least share of true candidates that is assumed: few numbers and capital words are personal, most spelled-out addresses are.
+FLOOR = {"number": 0.05, "iban": 0.1, "handle": 0.3, "name": 0.05}
+CUED_SHARE = 0.2  # of the occurrences of a word in names: from here on a word that follows name cues is a learnt name
 
 
 def _opens(kind: str, before: str) -> bool:
@@ -169,40 +219,61 @@ def _spans(text: str, kind: str) -> Iterator[tuple[int, int, str, bool]]:
         yield span
 
 
-def candidates(text: str, base: Sequence[tuple[int, int, str]]) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, pattern) of spans that touch no base span; the pattern is the kind, the votes and the shape."""
-    out = []
+def candidates(text: str, base: Sequence[tuple[int, int, str]]) -> list[tuple[int, int, str, str, str, bool]]:
+    """(start, end, kind, votes, shape, after a name cue) of spans that touch no base span or candidate of an earlier kind."""
+    out, taken = [], bytearray(len(text))
+    for a, b, _ in base:
+        taken[a:b] = b"\1" * (b - a)
     for kind in CANDIDATES:
         if kind == "handle" and not DOT.search(text):
             continue
         for a, b, votes, opens in _spans(text, kind):
-            if any(x < b and a < y for x, y, _ in base) or any(x < b and a < y for x, y, _, _ in out):
+            if taken.find(1, a, b) >= 0:
                 continue
             if kind == "number" and not 7 <= sum(c.isdigit() for c in text[a:b]) <= 19:
                 continue
+            taken[a:b] = b"\1" * (b - a)
             shape = f"{min((b - a) // 4, 9)}{min(sum(not c.isalnum() for c in text[a:b]), 3)}{int(opens)}"
-            out.append((a, b, kind, f"{kind} {votes} {shape}"))
+            cued = kind == "name" and bool(NAME_CUES.search(text[max(0, a - CONTEXT) : a]))
+            out.append((a, b, kind, votes, shape, cued))
     return out
 
 
-def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def reliabilities(
+    votes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS, told: np.ndarray | None = None, floor: float = 0.001
+) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of yes per row of ``votes`` (1, 0, -1 for nothing) and, per labeler, how often it is right on yes and on no.
 
-    Expectation-maximisation for the two classes, started from the share of yes votes; pseudo-counts say that
-    a labeler is right four times of five until the candidates say otherwise.
+    Expectation-maximisation for the two classes. Without ``told`` it starts from the share of yes votes, and pseudo-counts say that a labeler is
+    right four times of five until the candidates say otherwise. ``told`` (two rows, a column per labeler) is what is expected of the
+    labelers: it is the start, and stays half of every estimate, so that a class cannot be taken over by what is merely frequent. A labeler that
+    only ever says one thing here does not show how often it is wrong, and stays as told.
+    ``floor`` is the least share of the class yes.
     """
     yes, no = votes == 1, votes == 0
-    cast = np.maximum(yes.sum(1) + no.sum(1), 1)
-    posterior = np.clip(0.5 + (yes.sum(1) - no.sum(1)) / (2 * cast), 0.05, 0.95)
-    posterior[(yes | no).sum(1) == 0] = 0.05
-    right = np.full((2, votes.shape[1]), 0.8)
+
+    def posteriors(right: np.ndarray, prior: float) -> np.ndarray:
+        score = np.log(prior / (1 - prior)) + yes @ np.log(right[0] / (1 - right[1])) + no @ np.log((1 - right[0]) / right[1])
+        return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+
+    if told is None:
+        cast = np.maximum(yes.sum(1) + no.sum(1), 1)
+        posterior = np.clip(0.5 + (yes.sum(1) - no.sum(1)) / (2 * cast), 0.05, 0.95)
+        posterior[(yes | no).sum(1) == 0] = 0.05
+        right, expected = np.full((2, votes.shape[1]), 0.8), np.full((2, votes.shape[1]), 0.8)
+    else:
+        right, expected = told, told
+        posterior = posteriors(told, floor)
     for _ in range(rounds):
         on, off = posterior * counts, (1 - posterior) * counts
-        right = np.stack([(8 + on @ yes) / (10 + on @ (yes | no)), (8 + off @ no) / (10 + off @ (yes | no))])
-        right = np.clip(right, 0.5, 0.999)
-        prior = np.clip((1 + on.sum()) / (2 + counts.sum()), 0.001, 0.5)
-        score = np.log(prior / (1 - prior)) + yes @ np.log(right[0] / (1 - right[1])) + no @ np.log((1 - right[0]) / right[1])
-        new = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+        cast = np.stack([on @ (yes | no), off @ (yes | no)])
+        good = np.stack([on @ yes, off @ no])
+        weight = 10.0 if told is None else 10.0 + cast
+        right = np.clip((weight * expected + good) / (weight + cast), 0.5, 0.999)
+        if told is not None:
+            right = np.where(yes.any(0) & no.any(0), right, told)
+        prior = np.clip((1 + on.sum()) / (2 + counts.sum()), floor, 0.5)
+        new = posteriors(right, prior)
         moved, posterior = np.abs(new - posterior).max(initial=0), new
         if moved < 1e-6:
             break
@@ -210,31 +281,56 @@ def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -
 
 
 def features(pattern: str) -> np.ndarray:
-    kind, votes, shape = pattern.split(" ")
-    values = [1.0, *(float(kind == k) for k in ADDED)]
+    _, votes, shape = pattern.split(" ")
+    values = [1.0]
     for v in votes:
         values += [float(v == "1"), float(v == "0")]
     return np.array([*values, int(shape[0]) / 9, int(shape[1]) / 3, int(shape[2])])
 
 
 def train(patterns: Sequence[str], counts: Sequence[int]) -> dict[str, float]:
-    """The final classifier's probability of each pattern: a logistic model, fitted by Newton steps to the posteriors."""
-    if not patterns:
-        return {}
-    weight = np.array(counts, float)
-    votes = np.array([[-1 if v == "-" else int(v) for v in p.split(" ")[1]] for p in patterns])
-    target, _ = reliabilities(votes, weight)
-    x = np.stack([features(p) for p in patterns])
-    w, ridge = np.zeros(x.shape[1]), 1e-2 * np.eye(x.shape[1])
-    for _ in range(50):
+    """The final classifier's probability of each pattern: for each kind a logistic model, fitted by Newton steps to the posteriors of its candidates."""
+    found: dict[str, float] = {}
+    for kind in ADDED:
+        of = [k for k, p in enumerate(patterns) if p.split(" ")[0] == kind]
+        if not of:
+            continue
+        own, weight = [patterns[k] for k in of], np.array([counts[k] for k in of], float)
+        votes = np.array([[-1 if v == "-" else int(v) for v in p.split(" ")[1]] for p in own])
+        target, _ = reliabilities(votes, weight, told=TOLD, floor=FLOOR[kind])
+        # A pattern weighs by the root of its count: a frequent one is met well, a rare one is not given up for it.
+        weight, x = np.sqrt(weight), np.stack([features(p) for p in own])
+        w, ridge = np.zeros(x.shape[1]), 1e-2 * np.eye(x.shape[1])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            slope = x.T @ (weight * (target - p)) - ridge @ w
+            step = np.linalg.solve((x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + ridge, slope)
+            w += step * min(1.0, 5 / (np.abs(step).max() + 1e-12))
+            if np.abs(step).max() < 1e-6:
+                break
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weight * (target - p)) - ridge @ w
-        step = np.linalg.solve((x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + ridge, slope)
-        w += step * min(1.0, 5 / (np.abs(step).max() + 1e-12))
-        if np.abs(step).max() < 1e-6:
-            break
-    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-    return dict(zip(patterns, p.tolist(), strict=True))
+        found |= dict(zip(own, p.tolist(), strict=True))
+    return found
+
+
+def _with_learnt(read: DataFrame, staged: Staging) -> DataFrame:
+    """``read`` with the pattern of each of ``more`` complete: kind, votes, the learnt vote and shape.
+
+    A word is a learnt name if it follows a name cue and does so in ``CUED_SHARE`` of its occurrences in names. Words are counted over all
+    documents and joined to the names by word; what is gathered again per row is as long as the row's own list.
+    """
+    names = read.select("uid", F.posexplode("more").alias("pos", "m")).where("m.kind = 'name'").select("uid", "pos", "m.first", "m.last", "m.cued")
+    names = staged(names, "pii_names")
+    words = names.select(F.explode(F.array("first", "last")).alias("word"), "cued").groupBy("word").agg(F.count("*").alias("n"), F.count_if("cued").alias("c"))
+    learnt = staged(words.where(f"c > 0 and c >= {CUED_SHARE} * n").select("word"), "pii_words")
+    for end in ("first", "last"):
+        names = names.join(learnt.withColumnRenamed("word", end), end, "left_semi")
+    both = names.groupBy("uid").agg(F.collect_set("pos").alias("known"))
+    vote = F.expr(
+        "transform(more, (m, i) -> struct(m.start as start, m.end as end, m.kind as kind, "
+        "concat(m.kind, ' ', m.votes, if(array_contains(known, i), '1', '-'), ' ', m.shape) as pattern))"
+    )
+    return staged(read.join(both, "uid", "left").select("*", vote.alias("judged")).drop("uid", "more", "known"), "pii_patterns")
 
 
 def find(docs: DataFrame, accept: float = ACCEPT, staged: Staging | None = None) -> DataFrame:
@@ -243,7 +339,7 @@ def find(docs: DataFrame, accept: float = ACCEPT, staged: Staging | None = None)
     A candidate is added if the classifier's probability is ``accept`` or more and some labeler said yes. What is gathered for
     training is the count of each pattern (kind, votes and shape), over all candidates of all documents; their number is bounded by the
     number of labelers. A null text counts as empty: zero counts, the digest of the empty string, no spans.
-    Repeated rows count as often as they stand; other columns are ignored. Texts are read whole.
+    Repeated rows count as often as they stand; other columns are ignored. Texts are read whole, in time linear in their length.
     """
     spark = docs.sparkSession
     staged = staged or stage(spark)
@@ -253,19 +349,26 @@ def find(docs: DataFrame, accept: float = ACCEPT, staged: Staging | None = None)
             text = text or ""
             base = base_spans(text)
             count = [sum(s[2] == kind for s in base) for kind in BASE]
-            more = [{"start": a, "end": b, "kind": kind, "pattern": p} for a, b, kind, p in candidates(text, base)]
+            more = []
+            for a, b, kind, votes, shape, cued in candidates(text, base):
+                first, *_, last = text[a:b].split(" ") if kind == "name" else ("", "")
+                more.append({"start": a, "end": b, "kind": kind, "votes": votes, "shape": shape, "cued": cued, "first": first, "last": last})
             return doc_id, *count, hashlib.sha256(digest(base, KINDS).encode()).hexdigest(), [{"start": a, "end": b, "kind": k} for a, b, k in base], more
 
         return one
 
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base array<struct<start: int, end: int, kind: string>>, more array<struct<start: int, end: int, kind: string, pattern: string>>"
-    read = staged(map_rows(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), setup, schema), "pii_candidates")
-    seen = read.select(F.explode("more.pattern").alias("pattern")).groupBy("pattern").count().orderBy("pattern").collect()
+    schema = (
+        "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base array<struct<start: int, end: int, kind: string>>, "
+        "more array<struct<start: int, end: int, kind: string, votes: string, shape: string, cued: boolean, first: string, last: string>>"
+    )
+    found = map_rows(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), setup, schema)
+    read = _with_learnt(staged(found.withColumn("uid", F.monotonically_increasing_id()), "pii_candidates"), staged)
+    seen = read.select(F.explode("judged.pattern").alias("pattern")).groupBy("pattern").count().orderBy("pattern").collect()
     known = train([r.pattern for r in seen], [r["count"] for r in seen])
     accepted = [p for p, share in known.items() if share >= accept and "1" in p.split(" ")[1]]
     # At most as many patterns as votes and shapes allow; their array is a constant of the plan.
     good = F.array(*map(F.lit, accepted)).cast("array<string>")
-    added = F.filter("more", lambda m: F.array_contains(good, m["pattern"]))
+    added = F.filter("judged", lambda m: F.array_contains(good, m["pattern"]))
     order = F.array(*map(F.lit, KINDS))
     spans = F.concat("base", F.transform(added, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["kind"].alias("kind"))))
     ranked = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))

@@ -1,5 +1,7 @@
 import hashlib
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -112,3 +114,77 @@ def test_pii_names_at_openings_are_judged(make_docs):
     assert got[0] == ["James Smith"] and got[1] == ["John Smith", "Anna Weber"] and got[2] == ["John Smith", "Anna Weber"]
     assert got[3] == ["John Smith"] and got[4] == ["Anna Weber"] and got[5] == ["Anna Maria Weber"]
     assert got[6] == [] and got[7] == [] and got[8] == ["555-123-4567"] and got[9] == ["John Smith"]
+
+
+# The fixed patterns as they are told, without the library's shortcuts.
+TOLD = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def told_spans(text):
+    for kind, pattern in TOLD.items():
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m[0] if c in "0123456789"]
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")) or kind == "phone" and not 10 <= len(digits) <= 15:
+                continue
+            if kind == "card":
+                doubled = [sum(divmod(2 * d, 10)) if k % 2 else d for k, d in enumerate(reversed(digits))]
+                if not 14 <= len(digits) <= 19 or sum(doubled) % 10:
+                    continue
+            yield (*m.span(), kind)
+
+
+def test_pii_base_by_brute_force():
+    rng = random.Random(11)
+    pieces = [*"@@@..+- ()ab\n", "a.b", "@x.y", "10.0.0.1", "1.2.3.4.5", "256.", "4111111111111111", "4111 1111 1111 1111", "+49 30 1234567", "00", "7", "é", "%", "_"]
+    for _ in range(5000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        assert sorted(pii.base_spans(text)) == sorted(told_spans(text)), text
+
+
+@pytest.mark.parametrize("unit", ["7", "a", "A", "Ab ", "@", "a@", "a.", "1.", "+1", "(1", "a at ", "a(at)b(dot)c ", "A1", "1-", "x@y", "Anna Weber "])
+def test_pii_reads_long_runs_in_linear_time(unit):
+    def seconds(n):
+        text = (unit * (n // len(unit) + 1))[:n] + "@ (dot)"
+        start = time.process_time()
+        pii.candidates(text, pii.base_spans(text))
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(400_000) < 8 * seconds(100_000) + 1
+
+
+def planted(found, n, n_false=7000):
+    """Whether each kind of true case, ``n`` times, is accepted among false ones."""
+
+    def patterns(text):
+        return [f"{k} {v}- {shape}" for _, _, k, v, shape, _ in pii.candidates(text, pii.base_spans(text))]
+
+    false = ["in Big Town here", "see 12345678901234 there", "on 2019-04-05 it", "code AB12 CDEF GHIJ KLMN OPQR now", "ratio 12.345678 of", "he looked at us dot by", "The Old Mill stood"]
+    counts = {}
+    for text, times in [*((t, n_false // len(false)) for t in false), *((t, n) for t in found.values())]:
+        for p in patterns(text):
+            counts[p] = counts.get(p, 0) + times
+    share = pii.train(list(counts), list(counts.values()))
+    accepted = {kind: any(share[p] >= pii.ACCEPT for p in patterns(t)) for kind, t in found.items()}
+    return accepted, [t for t in false if any(share[p] >= pii.ACCEPT for p in patterns(t))]
+
+
+@pytest.mark.parametrize("n", [1, 10, 100, 1000])
+def test_pii_true_cases_are_accepted_however_frequent(n):
+    found = {
+        "number": "call 555-123-4567 today", "iban": "pay to DE89370400440532013000 now", "handle": "mail jane.doe (at) example (dot) org", "name": "so said Mr. John Smith there",
+        "known name": "there John Smith went",
+    }
+    assert planted(found, n) == (dict.fromkeys(found, True), [])
+    for kind, text in found.items():
+        assert planted({kind: text}, n) == ({kind: True}, [])
+
+
+def test_pii_learns_names_from_the_corpus(make_docs):
+    texts = [(0, "my name is Priya Patel and"), (1, "wrote Mr. Okoro Adeyemi once"), *((k, f"from Big Town to Old Harbour {k}") for k in range(2, 60))]
+    got = by_id(pii.find(make_docs(texts)))
+    assert got[0].spans == "name:11:22" and got[1].spans == "name:10:23"
+    assert {got[k].spans for k in range(2, 60)} == {""}
