@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludoshelf.functions.text import slug
-from ludoshelf.operators import matching, title_join
+from ludoshelf.operators import matching, quantiles, title_join
 from ludoshelf.plans import workload
 from ludoshelf.plans.workload import table
 from ludoshelf.sources.staging import Staging
@@ -245,6 +245,32 @@ FROM events WHERE event_id % 10 <> 0 GROUP BY event_type
 """
 
 
+def hours_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median and ninth decile per type and over all, rolled up from sketches per type and day, each held against the values."""
+    number = F.when(F.col("event_id") % 10 == 0, "n/a").otherwise(F.col("value").cast("string"))
+    events = table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), number.alias("hours"))
+    by_day = Staging(spark)(quantiles.sketches(events, ["event_type", "day"], F.col("hours")), "hour_sketches")
+    by_type = quantiles.rolled_up(by_day, ["event_type"])
+    groups = by_type.unionByName(quantiles.rolled_up(by_type, []).withColumn("event_type", F.lit("all")))
+    found = quantiles.summary(groups, ["event_type", F.round("total", 2).alias("total_hours")])
+    values = events.select("event_type", F.col("hours").try_cast("double").alias("hours")).where("hours is not null")
+    values = values.select(F.explode(F.array("event_type", F.lit("all"))).alias("event_type"), "hours")
+
+    def near(quantile: str, share: float) -> Column:
+        below, up_to = F.count_if(F.col("hours") < F.col(quantile)), F.count_if(F.col("hours") <= F.col(quantile))
+        return (below <= (share + quantiles.RANK_ERROR) * F.count("*")) & (up_to >= (share - quantiles.RANK_ERROR) * F.count("*"))
+
+    held = values.join(found, "event_type").groupBy("event_type")
+    facts = [F.first(c).alias(c) for c in ("n", "total_hours", "max_hours")]
+    return held.agg(*facts, near("median_hours", 0.5).alias("median_near"), near("p90_hours", 0.9).alias("p90_near"))
+
+
+HOURS_QUANTILES = """
+SELECT coalesce(event_type, 'all') AS event_type, COUNT(*) AS n, round(SUM(value), 2) AS total_hours, MAX(value) AS max_hours, true AS median_near, true AS p90_near
+FROM events WHERE event_id % 10 <> 0 GROUP BY GROUPING SETS ((event_type), ())
+"""
+
+
 REPORTS = {
     "title_variants": (title_variants, TITLE_VARIANTS),
     "slug_key": (slug_key, SLUG_KEY),
@@ -255,4 +281,5 @@ REPORTS = {
     "match_missing": (match_missing, MATCH_MISSING),
     "catalogue_match": (catalogue_match, CATALOGUE_MATCH),
     "hours_stats": (hours_stats, HOURS_STATS),
+    "hours_quantiles": (hours_quantiles, HOURS_QUANTILES),
 }
