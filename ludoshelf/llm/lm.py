@@ -30,7 +30,6 @@ from ludoshelf.sources.staging import Staging
 FOLDS, HELD_OUT = 7, 2
 BATCH_TOKENS = 1_250_000
 SHARD_TOKENS = 1_500_000  # tokens of the corpus for each shard of requests
-SHARDS_AT_ONCE = 64  # rows of an Arrow batch of requests
 SEED = 42
 END = b"\n"  # no word holds a line feed
 K = 5.0
@@ -147,13 +146,11 @@ def requests(batched: DataFrame, shards: int) -> DataFrame:
                 own = _counts(batch["counts"], len(vocabulary))
                 one, two = _cuts(vocabulary, shards), _cuts(keys, shards)
                 asked = np.flatnonzero((np.diff(one) > 0) | (np.diff(two) > 0))  # never more shards than the batch has keys
-                for at in range(0, len(asked), SHARDS_AT_ONCE):
-                    rows = []
-                    for s in asked[at : at + SHARDS_AT_ONCE].tolist():
-                        a, b, c, d = one[s], one[s + 1], two[s], two[s + 1]
-                        rows.append((s, batch["batch"], vocabulary[a:b].tobytes(), _compact(own[a:b]), keys[c:d].tobytes(), _compact(counts[c:d])))
-                    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
-                    yield pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
+                for s in asked.tolist():
+                    a, b, c, d = one[s], one[s + 1], two[s], two[s + 1]
+                    row = [s, batch["batch"], vocabulary[a:b].tobytes(), _compact(own[a:b]), keys[c:d].tobytes(), _compact(counts[c:d])]
+                    yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(row, kinds, strict=True)], names=names)
 
     return batched.select("batch", "held", "sizes", "vocabulary", "counts", "tokens").mapInArrow(run, REQUESTS)
 
@@ -233,6 +230,7 @@ def score(docs: DataFrame, staged: Staging | None = None) -> DataFrame:
                     start, end = (int(cuts[shard_of[row] + k]) for k in (0, 1))
                     parts[level][start:end] = _counts(answer[int(row)].as_py(), end - start)
             counts, pairs = parts
+            del keys, parts
             trie, shorter = model_slice(len(vocabulary), counts, context, token, pairs, n, types, once)
             node = trie.child(0, context, token)
             alone = trie.values[0].get(token) + np.where(counts[context] > 0, shorter.values[0].get(context), 0.0)
