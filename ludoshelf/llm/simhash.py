@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludoshelf.llm.common import ROWS_AT_ONCE, components, stage
-from ludoshelf.llm.line_dedup import same_row, text_key
+from ludoshelf.llm.line_dedup import text_key
 from ludoshelf.sources.staging import Staging
 
 RADIUS = 4
@@ -117,17 +117,17 @@ def keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pairs >> 32, pairs & 0xFFFFFFFF
 
 
-def key_rows(prints: DataFrame) -> DataFrame:
-    """``key`` and ``print`` for distinct fingerprints."""
+def key_rows(prints: DataFrame, name: str = "print") -> DataFrame:
+    """``key`` and the column ``name`` (long) for each row of ``prints``."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
-                values = batch.column(0).slice(at, 4096).to_numpy(zero_copy_only=False)
+                values, carried = (batch.column(k).slice(at, 4096).to_numpy(zero_copy_only=False) for k in (0, 1))
                 of, key = keys(values)
-                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(values[of])], names=["key", "print"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(carried[of])], names=["key", name])
 
-    return prints.select("print").mapInArrow(run, "key int, print long")
+    return prints.select("print", F.col(name).alias("carried")).mapInArrow(run, f"key int, {name} long")
 
 
 def side(rows: DataFrame, name: str, *but: str) -> DataFrame:
@@ -290,6 +290,15 @@ def prefix(shingles: np.ndarray, similarity: float, common: tuple[np.ndarray, np
     return shingles[np.lexsort((shingles, known))[: n - math.ceil(similarity * n - 1e-9) + 1]]
 
 
+#: doc_id and text as columns without null, so that a join deals rows as a window over them does.
+ROW_KEY = ["id", "no_id", "k1", "k2"]
+
+
+def row_key(docs: DataFrame) -> list[Column]:
+    doc_id = F.col("doc_id").cast("long")
+    return [F.coalesce(doc_id, F.lit(0).cast("long")).alias("id"), doc_id.isNull().alias("no_id"), *text_key(F.col("text").cast("string"))]
+
+
 def text_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     """doc_id, k1, k2 (the row's key), node (a hash of the set of shingles), n (its size), its two prints and keys."""
     known = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
@@ -319,12 +328,21 @@ def most_bits(share: float) -> int:
     return round(bits * share + 6 * math.sqrt(bits * share * (1 - share)))
 
 
-def similar_components(met: DataFrame, prints: DataFrame, sets: DataFrame, similarity: float, staged: Staging) -> DataFrame:
-    """``node`` and ``root`` for the sets that are linked: pairs with a Jaccard similarity of at least ``similarity``.
+def similar_components(
+    met: DataFrame,
+    meets: Callable[[str, str], str],
+    prints: DataFrame,
+    sets_of: Callable[[DataFrame, str], DataFrame],
+    similarity: float,
+    staged: Staging,
+    name: str,
+    roots: DataFrame | None = None,
+) -> DataFrame:
+    """``node`` and ``root`` for the sets that are linked: pairs with a Jaccard similarity of at least ``similarity`` that share a key and meet in it.
 
-    ``met`` has a row for each key of a set (``key``, ``node``, ``pos``, ``n``: its place in the set's order and the set's size), ``prints`` the prints of each
-    node, ``sets`` its shingles. At the first key that two similar sets share, no more than the rest of both sets can be common; pairs for which that is too
-    little are not made. They are made at a later key, if at all, where nothing is lost.
+    ``met`` has a row for each key of a set: ``key``, ``node``, ``n`` (the set's size) and what else ``meets(a, b)`` reads, the condition on two members of a
+    key by the prefixes of their columns. ``prints`` has the prints of each node; ``sets_of`` makes the shingles of the nodes of a table, which is asked
+    only for pairs whose prints agree. ``roots`` are components that are known already.
 
     Rounds of stars come first: each key's members are held against one head, the member with most keys, then the one with most keys outside the component
     of the first. Rounds go on while they settle keys. Members of different components that still share a key are then held against each other; that
@@ -332,18 +350,15 @@ def similar_components(met: DataFrame, prints: DataFrame, sets: DataFrame, simil
     """
     angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
     most, most_small = most_bits(angle), most_bits(max(angle, 3 / 16))
-    prints_of = [*WIDE, *PARITY]
-
-    def within_reach(a: str, b: str) -> str:
-        sizes = f"least({a}_n, {b}_n) >= {similarity} * greatest({a}_n, {b}_n) - 1e-9"
-        return f"{sizes} and least({a}_n - {a}_pos, {b}_n - {b}_pos) >= {similarity / (1 + similarity)} * ({a}_n + {b}_n) - 1e-9"
+    prints_of, carried = [*WIDE, *PARITY], [c for c in met.columns if c not in ("key", "node")]
 
     def prints_agree(a: str, b: str) -> str:
         differ = {kind[0]: " + ".join(f"bit_count({a}_{w} ^ {b}_{w})" for w in kind) for kind in (WIDE, PARITY)}
         parity = f"{differ[PARITY[0]]} <= {(1 - similarity) / (1 + similarity)} * ({a}_n + {b}_n) + 1e-9"
         return f"{parity} and {differ[WIDE[0]]} <= if(least({a}_n, {b}_n) < {SMALL}, {most_small}, {most})"
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(pairs: DataFrame, of: str) -> DataFrame:
+        sets = sets_of(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node"), of)
         for end in ("a", "b"):
             pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}_set")), end)
         both = pairs.select("a", "b", F.expr("size(array_intersect(a_set, b_set))").alias("both"), F.expr("size(a_set) + size(b_set)").alias("sizes"))
@@ -352,37 +367,64 @@ def similar_components(met: DataFrame, prints: DataFrame, sets: DataFrame, simil
     def ordered(a: str, b: str) -> list[Column]:
         return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
+    def rooted(rows: DataFrame) -> DataFrame:
+        if roots is None:
+            return rows.withColumn("root", F.col("node"))
+        return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
     keys = met.groupBy("node").agg(F.count("*").alias("keys"))
-    rows = staged(met.join(keys, "node").withColumn("root", F.col("node")), "near_rows_0")
-    left, roots, number = rows.count(), None, 0
-    order = F.struct(-F.col("keys"), F.xxhash64("node"), "node")
+    rows = staged(rooted(met.join(keys, "node")), f"{name}_rows_0")
+    left, number = rows.count(), 0
+    member, order = F.struct("node", "root", *carried), F.struct(-F.col("keys"), F.xxhash64("node"), "node")
     while left:
-        heads = rows.groupBy("key").agg(F.min_by(F.struct("node", "root", "pos", "n"), order).alias("h"))
+        heads = rows.groupBy("key").agg(F.min_by(member, order).alias("h"))
         if number:
             others = rows.join(heads.select("key", F.col("h.root").alias("settled")).hint("merge"), "key").where("root != settled")
-            heads = others.groupBy("key").agg(F.min_by(F.struct("node", "root", "pos", "n"), order).alias("h"))
-        heads = heads.select("key", *[F.col(f"h.{c}").alias(f"h_{c}") for c in ("node", "root", "pos", "n")]).hint("merge")
-        pairs = side(rows, "m", "key").join(heads, "key").where(f"h_root != m_root and {within_reach('h', 'm')}")
+            heads = others.groupBy("key").agg(F.min_by(member, order).alias("h"))
+        heads = heads.select("key", *[F.col(f"h.{c}").alias(f"h_{c}") for c in ("node", "root", *carried)]).hint("merge")
+        pairs = side(rows, "m", "key").join(heads, "key").where(f"h_root != m_root and {meets('h', 'm')}")
         pairs = pairs.select(*ordered("h_node", "m_node")).distinct()
         for end in ("a", "b"):
             pairs = pairs.join(side(prints, end, "node").withColumnRenamed("node", end), end)
-        links = verified(staged(pairs.where(prints_agree("a", "b")).select("a", "b"), f"near_candidates_{number}"))
-        roots = components(links, staged, "near_star_0") if roots is None else merged(roots, links, staged, f"near_star_{number}")
-        named = rows.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        named = staged(named, f"near_named_{number}")
-        mixed = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key").hint("merge")
+        links = verified(staged(pairs.where(prints_agree("a", "b")).select("a", "b"), f"{name}_candidates_{number}"), f"{name}_sets_{number}")
+        roots = components(links, staged, f"{name}_star_0") if roots is None else merged(roots, links, staged, f"{name}_star_{number}")
+        named = staged(rooted(rows.drop("root")), f"{name}_named_{number}")
+        mixed = named.groupBy("key").agg(F.min_by("node", order).alias("head"), F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+        # The first round's head has been held against all others; a key of two is done, and so is one of a single component.
+        mixed = mixed.where("lo != hi" if number else "n > 2 and lo != hi").select("key", "head").hint("merge")
+        rows = named.join(mixed, "key").where("true" if number else "node != head").drop("head")
         number += 1
-        rows = staged(named.join(mixed, "key"), f"near_rows_{number}")
+        rows = staged(rows, f"{name}_rows_{number}")
         before, left = left, rows.count()
         if left > SETTLED * before:
             break
     if roots is None:
         return met.select("node", F.col("node").alias("root"))
-    seen = side(rows.select("key", "node", "pos", "n", "root").join(prints.select("node", *prints_of), "node"), "a", "key")
+    if not left:
+        return roots
+    seen = side(rows.select("key", "node", "root", *carried).join(prints.select("node", *prints_of), "node"), "a", "key")
     other = seen.withColumnsRenamed({c: f"b{c[1:]}" for c in seen.columns if c != "key"})
-    across = seen.hint("merge").join(other, "key").where(f"a_root < b_root and {within_reach('a', 'b')} and {prints_agree('a', 'b')}")
-    across = staged(across.select(*ordered("a_node", "b_node")).distinct(), "near_across_candidates")
-    return merged(roots, verified(across), staged, "near_across")
+    across = seen.hint("merge").join(other, "key").where(f"a_root < b_root and {meets('a', 'b')} and {prints_agree('a', 'b')}")
+    across = staged(across.select(*ordered("a_node", "b_node")).distinct(), f"{name}_across_candidates")
+    return merged(roots, verified(across, f"{name}_across_sets"), staged, f"{name}_across")
+
+
+def golay_met(prints: DataFrame, staged: Staging) -> DataFrame:
+    """``key``, ``node``, ``n`` and ``print`` of the rows of ``prints`` (node, n, print) that share a Golay key with another one."""
+    every = staged(key_rows(prints, "node"), "golay_keys")
+    shared = every.groupBy("key").count().where("count > 1").select("key").hint("merge")
+    return staged(every.join(shared, "key").join(prints.hint("merge"), "node").select("key", "node", "n", "print"), "golay_met")
+
+
+def prefix_met(printed: DataFrame, staged: Staging) -> DataFrame:
+    """``key``, ``node``, ``pos`` and ``n`` for the keys of each set that another set has, too.
+
+    Most keys stand in one text only. They go before nodes are shuffled; keys that only copies share go after copies have met.
+    """
+    every = printed.select(F.posexplode("keys").alias("pos", "key"), "node", F.col("n").cast("int").alias("n"))
+    shared = staged(every.groupBy("key").count().where("count > 1").select("key"), "text_keys")
+    met = staged(every.join(shared, "key").select("key", "node", "pos", "n").distinct(), "text_met")
+    return staged(met.join(met.groupBy("key").count().where("count > 1").select("key").hint("merge"), "key"), "text_near")
 
 
 def representatives(docs: DataFrame, words: int = 5, similarity: float = SIMILAR, staged: Staging | None = None) -> DataFrame:
@@ -391,25 +433,40 @@ def representatives(docs: DataFrame, words: int = 5, similarity: float = SIMILAR
     Texts are linked if the Jaccard similarity of their sets of shingles of ``words`` words is at least ``similarity``; a set is known by
     its 64-bit hash, like a shingle. The least (doc_id, text key) of a group stays, one row of it; a null doc_id is least. Null,
     empty and blank texts are one group.
+
+    Sets whose 64-bit SimHash differs in at most ``RADIUS`` bits meet in Golay keys and are linked first. At a similarity of 0.8 more bits may
+    differ, so sets of different components then meet in shingles, which lose no pair.
     """
     staged = staged or stage(docs.sparkSession)
     printed = staged(text_prints(docs, words, similarity), "text_prints")
     least = F.min(F.struct("doc_id", "k1", "k2")).alias("least")
     classes = staged(printed.groupBy("node").agg(least), "text_classes")
-    # Most keys stand in one text only. They go before nodes are shuffled; keys that only copies share go after copies have met.
-    every = printed.select(F.posexplode("keys").alias("pos", "key"), "node", F.col("n").cast("int").alias("n"))
-    shared = staged(every.groupBy("key").count().where("count > 1").select("key"), "text_keys")
-    met = staged(every.join(shared, "key").select("key", "node", "pos", "n").distinct(), "text_met")
-    met = staged(met.join(met.groupBy("key").count().where("count > 1").select("key").hint("merge"), "key"), "text_near")
-    asked = met.select("node").distinct()
-    prints = staged(printed.select("node", "n", *WIDE, *PARITY).join(asked, "node").dropDuplicates(["node"]), "text_near_prints")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text").cast("string")))
-    one = classes.join(asked, "node").select("node", "least.*")
-    texts = rows.alias("d").join(one.alias("m"), same_row("d", "m")).select("node", F.col("row.text").cast("string").alias("text"))
-    sets = staged(shingle_sets(texts, words, ["node"]).dropDuplicates(["node"]), "text_near_sets")
-    linked_nodes = similar_components(met, prints, sets, similarity, staged)
-    rooted = classes.join(linked_nodes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    prints = staged(printed.select("node", F.col("n").cast("int").alias("n"), *WIDE, *PARITY).dropDuplicates(["node"]), "text_set_prints")
+    rows = docs.select(F.struct("*").alias("row"), *row_key(docs))
+
+    def sets_of(asked: DataFrame, name: str) -> DataFrame:
+        """Sets of the nodes of ``asked``. Their texts' keys are a small table; texts that have none of them are not shuffled as long as Spark broadcasts it."""
+        one = staged(classes.join(asked, "node").select("node", "least.*"), f"{name}_of")
+        one = one.select("node", F.expr("coalesce(doc_id, 0)").alias("id"), F.expr("doc_id is null").alias("no_id"), "k1", "k2")
+        some = docs.select(F.col("text").cast("string").alias("text"), *row_key(docs)).join(one.select("k1"), "k1", "left_semi")
+        return staged(shingle_sets(some.join(one, ROW_KEY).select("node", "text"), words, ["node"]).dropDuplicates(["node"]), name)
+
+    sizes = f"least({{a}}_n, {{b}}_n) >= {similarity} * greatest({{a}}_n, {{b}}_n) - 1e-9"
+
+    def prints_near(a: str, b: str) -> str:
+        return f"bit_count({a}_print ^ {b}_print) <= {RADIUS} and {sizes.format(a=a, b=b)}"
+
+    def within_reach(a: str, b: str) -> str:
+        """At the first key that two similar sets share, no more than the rest of both sets can be common. Pairs for which that is too little
+        are not made; they are made at a later key, if at all, where nothing is lost."""
+        return f"{sizes.format(a=a, b=b)} and least({a}_n - {a}_pos, {b}_n - {b}_pos) >= {similarity / (1 + similarity)} * ({a}_n + {b}_n) - 1e-9"
+
+    near = golay_met(prints.select("node", "n", F.col(WIDE[0]).alias("print")), staged)
+    roots = similar_components(near, prints_near, prints, sets_of, similarity, staged, "golay")
+    roots = similar_components(prefix_met(printed, staged), within_reach, prints, sets_of, similarity, staged, "prefix", roots)
+    rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("least").alias("first")).select("first.*")
-    kept = rows.alias("d").join(first.alias("f"), same_row("d", "f")).select("row", "d.doc_id", "d.k1", "d.k2")
-    copies = Window.partitionBy("doc_id", "k1", "k2").orderBy(F.xxhash64("row"))
-    return kept.withColumn("copy", F.row_number().over(copies)).where("copy = 1").select("row.*")
+    first = first.select(F.expr("coalesce(doc_id, 0)").alias("id"), F.expr("doc_id is null").alias("no_id"), "k1", "k2")
+    copies = Window.partitionBy(*ROW_KEY).orderBy(F.xxhash64("row"))
+    kept = rows.join(first.hint("merge"), ROW_KEY).withColumn("copy", F.row_number().over(copies))
+    return kept.where("copy = 1").select("row.*")

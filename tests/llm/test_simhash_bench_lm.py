@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ludoshelf.llm import decontaminate, lm, simhash
 from ludoshelf.llm.trie import EliasFano, Quantised, Trie
@@ -100,6 +101,50 @@ def test_representatives_by_brute_force(make_docs):
     assert kept == {2 * k for k in similar} | {2 * k + 1 for k, s in similar.items() if s < 0.8}
 
 
+def near_copies(rng, number):
+    """Texts 2k and 2k + 1 that differ in a few words, and the similarity and bits of each two."""
+    texts, similar, bits = [], {}, {}
+    for k in range(number):
+        words = [f"d{k}w{v}" for v in rng.integers(0, 10_000, 300)]
+        other = list(words)
+        for at in rng.integers(0, 300, int(rng.integers(1, 6))):
+            other[at] = "changed"
+        a, b = (simhash.shingle_set(" ".join(w), 5) for w in (words, other))
+        similar[k] = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        bits[k] = int((simhash.wide_print(a)[:1] ^ simhash.wide_print(b)[:1]).view(np.uint64)[0]).bit_count()
+        texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    return texts, similar, bits
+
+
+def test_representatives_meet_in_golay_keys(make_docs, monkeypatch):
+    """Without any shared shingle as key, exactly those that SimHash's Golay keys promise are linked."""
+    texts, similar, bits = near_copies(np.random.default_rng(17), 60)
+    near = {k for k in similar if similar[k] >= 0.8 and bits[k] <= simhash.RADIUS}
+    assert len(near) >= 10 and len(similar) - len(near) >= 10
+    whole = simhash.text_prints
+    monkeypatch.setattr(simhash, "text_prints", lambda *of: whole(*of).withColumn("keys", F.expr("slice(keys, 1, 0)")))
+    kept = {r.doc_id for r in simhash.representatives(make_docs(texts)).collect()}
+    assert kept == {i for i, _ in texts} - {2 * k + 1 for k in near}
+
+
+def test_sets_are_made_only_for_pairs_whose_prints_agree(spark, make_docs, monkeypatch):
+    """Texts that share a passage meet in its shingles, but are far from similar: none of them is read again."""
+    rng = np.random.default_rng(18)
+    texts = [(k, " ".join([f"d{k}w{v}" for v in rng.integers(0, 10_000, 100)] + PROSE.split()[:12])) for k in range(80)]
+    texts += [(100, texts[0][1] + " more"), (101, texts[1][1] + " more")]
+    made, whole = [], simhash.shingle_sets
+
+    def counted(docs, words, keys):
+        if keys == ["node"]:
+            made.append(docs.select("node").distinct().count())
+        return whole(docs, words, keys)
+
+    monkeypatch.setattr(simhash, "shingle_sets", counted)
+    monkeypatch.setattr(simhash, "common_shingles", lambda *of: (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    kept = {r.doc_id for r in simhash.representatives(make_docs(texts)).collect()}
+    assert kept == set(range(80)) and 4 <= sum(made) <= 8
+
+
 def test_parity_prints_never_differ_in_more_bits_than_sets_in_shingles():
     rng = np.random.default_rng(8)
     for n, changed in ((1, 1), (30, 3), (146, 30), (3000, 700), (3000, 3000)):
