@@ -108,21 +108,26 @@ def _pairs(vocabulary: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> tup
     before = np.empty(len(tokens), np.int64)
     before[1:] = tokens[:-1]
     before[np.cumsum(sizes) - sizes] = end
-    code, inverse = np.unique(before * len(vocabulary) + tokens, return_inverse=True)
-    context, token = code // len(vocabulary), code % len(vocabulary)
+    before *= len(vocabulary)
+    before += tokens
+    code, inverse = np.unique(before, return_inverse=True)
+    del before
+    inverse = inverse.astype(np.int32)  # a batch has fewer than 2^31 tokens
+    context, token = (code // len(vocabulary)).astype(np.int32), (code % len(vocabulary)).astype(np.int32)
+    del code
     keys = vocabulary[context] * np.uint64(0x9E3779B97F4A7C15)
     keys ^= (keys >> np.uint64(31)) ^ vocabulary[token]
     keys *= np.uint64(0xBF58476D1CE4E5B9)
     keys ^= keys >> np.uint64(27)
     keys *= np.uint64(0x94D049BB133111EB)
     order = np.argsort(keys, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
     return keys[order], context[order], token[order], place[inverse]
 
 
 def _read(batch: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(batch["vocabulary"], np.uint64), np.frombuffer(batch["tokens"], np.uint32).astype(np.int64), np.array(batch["sizes"], np.int64)
+    return np.frombuffer(batch["vocabulary"], np.uint64), np.frombuffer(batch["tokens"], np.uint32), np.array(batch["sizes"], np.int64)
 
 
 def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -237,7 +242,7 @@ def score(docs: DataFrame, staged: Staging | None = None) -> DataFrame:
             value = np.where(node >= 0, trie.values[1].get(np.maximum(node, 0)), alone) if len(trie.values[1].codes) else alone
             starts = np.cumsum(sizes) - sizes
             base = np.log10((counts + 1) / (n + types + 1))
-            columns = [batch["doc_ids"], batch["held"], sizes, *(np.add.reduceat(x, starts) for x in ((counts > 0).astype(np.int64)[local], base[local], value[pair_of]))]
+            columns = [batch["doc_ids"], batch["held"], sizes, *(np.add.reduceat(of[at], starts) for of, at in (((counts > 0).astype(np.int64), local), (base, local), (value, pair_of)))]
             for to, values in zip(out, columns, strict=True):
                 to.extend(values)
         kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())

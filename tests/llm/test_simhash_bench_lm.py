@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -299,6 +300,20 @@ def test_scores_do_not_depend_on_batches_or_files(make_docs, monkeypatch):
     assert all(by_batches[0][i] == by_batches[0][1000 + i] for i in range(len(texts)))
 
 
+def test_pairs_of_a_batch_take_half_the_room():
+    """Places of pairs and tokens are 32 bits wide, and no array of 64 bits a token outlives its use."""
+    rng = np.random.default_rng(9)
+    vocabulary = np.unique(rng.integers(0, 2**63, 2000, dtype=np.uint64))
+    tokens, sizes = rng.integers(0, len(vocabulary), 100_000).astype(np.uint32), np.array([40_000, 60_000])
+    tracemalloc.start()
+    keys, context, token, pair_of = lm._pairs(vocabulary, tokens, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (keys[1:] > keys[:-1]).all() and {x.dtype.itemsize for x in (context, token, pair_of)} == {4}
+    assert (token[pair_of] == tokens).all() and (context[pair_of][1:40_000] == tokens[:39_999]).all()
+    assert peak <= 64 * len(tokens)
+
+
 def test_scores_odd_rows(odd_docs, no_docs):
     got = lm.score(odd_docs).collect()
     assert len(got) == 12 and all(r.score < 0 and r.n_tokens >= 1 for r in got)
