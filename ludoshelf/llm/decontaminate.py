@@ -2,11 +2,12 @@
 
 A window of a document is as long as a benchmark item. Items and windows get 64-bit SimHash fingerprints over word shingles; the
 fingerprint is cut into radius + 1 blocks, so two that differ in at most ``radius`` bits agree in some block (multi-index
-Hamming search). Candidates of that radius are verified by their exact weighted shingle similarity.
+Hamming search). Candidates of that radius, and each window with the item it was placed for, are verified by their exact weighted
+shingle similarity: prints of a text that repeats a few words may differ in more bits.
 
-Windows are placed where they can match. To reach similarity t with an item of m shingles, a window must share at least
-2t/(1+t) of m, so it holds one of any floor(m(1-t)/(1+t)) + 1 of them: those anchors of each item are looked up in the documents, and only
-windows in line with an anchor are fingerprinted.
+To reach similarity t with an item of m shingles, a window must hold t of m, so it holds one of any floor(m(1-t)) + 1 of them: those
+anchors of each item are looked up in the documents. Where a document holds an anchor, all places of the item's shingles in it are
+marked, and of all windows the one that shares most with the item is found from the marks, however its words are moved.
 """
 
 from __future__ import annotations
@@ -55,81 +56,108 @@ def blocks(radius: int) -> Column:
     return F.expr(f"array({', '.join(parts)})")
 
 
+def shingle_weights(rows: DataFrame, *keys: str) -> DataFrame:
+    """``keys``, the number of shingles ``m``, and each distinct shingle ``h`` with how often it stands."""
+    return rows.select(*keys, F.size("shingles").alias("m"), F.explode("shingles").alias("h")).groupBy(*keys, "m", "h").agg(F.count("*").alias("weight"))
+
+
+def best_windows(marks: DataFrame, keys: list[str], similarity: float) -> DataFrame:
+    """``keys``, start, ``size`` in shingles: of each document's windows the first of those that share most with an item, if similar enough.
+
+    ``marks`` has a row per place ``i`` where a document of ``total`` words holds a shingle ``h`` of an item (n words, m shingles, h with
+    ``weight``). A place counts in a window if fewer than ``weight`` places of its shingle stand before it there. What a window shares
+    can only rise at a place that comes in at its end, so only windows that end in one, and the first of all, can be the first of the best.
+    """
+    kept = [*keys, "total", "n", "m"]
+    placed = marks.groupBy(*kept, "h", "weight").agg(F.sort_array(F.collect_list("i")).alias("at"))
+    placed = placed.select(*kept, F.explode(F.expr("transform(at, (x, k) -> named_struct('i', x, 'before', coalesce(get(at, k - cast(weight as int)), -1)))")).alias("hit"))
+    found = placed.groupBy(*kept).agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+    found = found.withColumn("size", F.expr(f"least(n, total) - least(n, {SHINGLE}) + 1"))
+    found = found.withColumn("need", F.expr(f"cast(ceil({similarity / (1 + similarity)!r}D * (m + size) - 1e-9D) as int)")).where("size(hits) >= need")
+    ends = "filter(sequence(need - 1, size(hits) - 1), k -> hits[k].i - hits[k - need + 1].i < size)"
+    start = "greatest(hits[k].i - size + 1, 0)"
+    inside = f"filter(slice(hits, greatest(k - size + 2, 1), least(k + 1, size)), x -> x.i > hits[k].i - size and x.before < {start})"
+    best = once(F.expr(f"array_max(transform({ends}, k -> named_struct('shared', size({inside}), 'back', -{start})))"))
+    found = found.select(*keys, "n", "m", "size", best.alias("best"))
+    return found.where(F.expr(f"best.shared / (m + size - best.shared) >= {similarity!r}D")).select(*keys, "n", "size", F.expr("-best.back").alias("start"))
+
+
 def contaminations(
     docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, staged: Staging | None = None
 ) -> DataFrame:
     """doc_id, item_id, start, n_words and similarity: the best window of each document for each item that it holds.
 
-    ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are ignored. start counts words from 0. Similarity
-    is the weighted Jaccard of shingles of five words, each weighing as often as it stands (all words make one shingle of an item with
-    fewer). A document shorter than an item is one window. Null, empty and wordless texts hold nothing and are held nowhere. Rows alike in
-    doc_id and text are one document and appear once; likewise items. Texts are read whole.
+    ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are ignored. start counts words from 0; of equally
+    similar windows it is the first. Similarity is the weighted Jaccard of shingles of five words, each weighing as often as it stands
+    (all words make one shingle of an item with fewer). A document shorter than an item is one window. Null, empty and wordless texts
+    hold nothing and are held nowhere. Rows alike in doc_id and text are one document and appear once; likewise items. Texts are read
+    whole, and no window of them is left out.
     """
     spark = docs.sparkSession
     staged = staged or stage(spark)
+    doc, item = ["doc_id", "k1", "k2"], ["item_id", "item_key"]
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), once(words_of(F.col("text").cast("string"))).alias("w")).where("size(w) > 0").distinct()
     items = staged(items.select("item_id", F.size("w").alias("n"), F.xxhash64("w").alias("item_key"), "w"), "bench_words")
     short = sorted(r.n for r in items.where(f"n < {SHINGLE}").select("n").distinct().collect())  # at most four lengths
     lengths = [*short, SHINGLE]
     by_length = F.coalesce(*[F.when(F.least("n", F.lit(SHINGLE)) == k, shingles_of("w", k)) for k in lengths])
-    items = staged(items.select("item_id", "item_key", "n", by_length.alias("shingles")), "bench_items")
-    placed = items.select("item_id", "item_key", "n", F.size("shingles").alias("m"), F.posexplode("shingles").alias("p", "h"))
-    placed = placed.groupBy("item_id", "item_key", "n", "m", "h").agg(F.min("p").alias("p"))
+    items = staged(items.select(*item, "n", by_length.alias("shingles")), "bench_items")
+    held = staged(shingle_weights(items, *item, "n"), "bench_shingles")
     rank = F.expr("row_number() over (partition by item_id, item_key order by xxhash64(h), h)")
-    anchors = placed.withColumn("rank", rank).where(F.col("rank") <= F.floor(F.col("m") * (1 - similarity) + 1e-9) + 1)
-    anchors = staged(anchors.groupBy("h").agg(F.collect_set(F.struct("n", "p")).alias("at")), "bench_anchors")
+    anchors = held.withColumn("rank", rank).where(F.col("rank") <= F.floor(F.col("m") * (1 - similarity) + 1e-9) + 1)
+    anchors = staged(anchors.groupBy("h").agg(F.collect_set(F.struct(*item)).alias("items")), "bench_anchors")
 
     text = F.col("text").cast("string")
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(text), text.alias("text"))
-    worded = read.select("doc_id", "k1", "k2", once(words_of(F.col("text"))).alias("w"))
-    found = [worded.select("doc_id", "k1", "k2", F.size("w").alias("total"), F.posexplode(shingles_of("w", k)).alias("i", "h")) for k in lengths]
-    hits = reduce(DataFrame.union, found).join(anchors, "h")
-    begin = "greatest(0, least(i - x.p, total - x.n))"
-    hits = hits.select("doc_id", "k1", "k2", F.expr(f"transform(at, x -> named_struct('n', x.n, 'start', {begin}))").alias("spots"))
-    spots = hits.groupBy("doc_id", "k1", "k2").agg(F.array_distinct(F.flatten(F.collect_set("spots"))).alias("spots"))
+    worded = read.select(*doc, once(words_of(F.col("text"))).alias("w"))
+    found = [worded.select(*doc, F.explode(shingles_of("w", k)).alias("h")) for k in lengths]
+    hits = reduce(DataFrame.union, found).join(anchors, "h").select(*doc, "items")
+    spots = hits.groupBy(*doc).agg(F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     spots = staged(spots, "bench_spots")
 
-    near = read.alias("d").join(spots.alias("s"), same_row("d", "s")).select("d.doc_id", "d.k1", "d.k2", "d.text", "s.spots")
-    near = near.dropDuplicates(["doc_id", "k1", "k2"])
-    near = near.select("doc_id", "k1", "k2", "spots", once(words_of(F.col("text"))).alias("w"))
-    for k in lengths:
-        near = near.withColumn(f"s{k}", once(shingles_of("w", k)))
-    size = F.expr("least(x.n, size(w))")
-    cut = " ".join(f"when least(x.n, {SHINGLE}) = {k} then slice(s{k}, x.start + 1, greatest(least(x.n, size(w)) - {k} + 1, 0))" for k in lengths)
-    near = near.withColumn("x", F.explode("spots")).select("doc_id", "k1", "k2", "x.n", "x.start", size.cast("long").alias("n_words"), F.expr(f"case {cut} end").alias("shingles"))
-    near = near.where("size(shingles) > 0").withColumns({"c1": F.xxhash64("shingles"), "c2": F.xxhash64(F.lit(1), "shingles")})
-    near = staged(near, "bench_windows")
+    near = read.alias("d").join(spots.alias("s"), same_row("d", "s")).select("d.doc_id", "d.k1", "d.k2", "d.text", "s.items")
+    near = near.dropDuplicates(doc).select(*doc, "items", once(words_of(F.col("text"))).alias("w"))
+    near = staged(near.select(*doc, "items", F.size("w").alias("total"), *[shingles_of("w", k).alias(f"s{k}") for k in lengths]), "bench_near")
+    holders = held.groupBy("h").agg(F.collect_list(F.struct(*item, "n", "m", "weight")).alias("holders"))
+    marks = reduce(DataFrame.union, [near.select(*doc, "items", "total", F.posexplode(f"s{k}").alias("i", "h")) for k in lengths]).join(holders, "h")
+    of_doc = "filter(holders, x -> array_contains(items, named_struct('item_id', x.item_id, 'item_key', x.item_key)))"
+    marks = marks.select(*doc, "total", "i", "h", F.explode(F.expr(of_doc)).alias("x")).select(*doc, "total", "i", "h", "x.*")
+    best = best_windows(marks, [*doc, *item], similarity)
+
+    cut = " ".join(f"when least(n, {SHINGLE}) = {k} then slice(s{k}, start + 1, size)" for k in lengths)
+    near = near.alias("d").join(best.alias("s"), same_row("d", "s")).select("d.*", *[f"s.{c}" for c in (*item, "n", "size", "start")])
+    near = near.select(*doc, *item, "n", "start", F.expr("cast(least(n, total) as long)").alias("n_words"), F.expr(f"case {cut} end").alias("shingles"))
+    near = staged(near.withColumns({"c1": F.xxhash64("shingles"), "c2": F.xxhash64(F.lit(1), "shingles")}), "bench_windows")
     content = ["n", "c1", "c2"]
     windows = staged(near.groupBy(*content).agg(F.any_value("shingles").alias("shingles")), "bench_contents")
 
-    item_blocks = fingerprint(items, ["item_id", "item_key", "n"], "shingles").withColumn("b", F.explode(blocks(radius)))
+    item_blocks = fingerprint(items, [*item, "n"], "shingles").withColumn("b", F.explode(blocks(radius)))
     window_blocks = fingerprint(windows, content, "shingles").withColumn("b", F.explode(blocks(radius)))
     pairs = (
         window_blocks.select(*content, "b", F.col("print").alias("other"))
         .join(item_blocks, ["n", "b"])
         .where(F.expr(f"bit_count(print ^ other) <= {radius}"))
-        .select(*content, "item_id", "item_key")
-        .distinct()
+        .select(*content, *item)
     )
-    pairs = staged(pairs, "bench_pairs")
-
-    def weighed(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.select(*keys, F.size("shingles").alias("m"), F.explode("shingles").alias("h")).groupBy(*keys, "m", "h").agg(F.count("*").alias("weight"))
+    pairs = staged(pairs.union(near.select(*content, *item)).distinct(), "bench_pairs")
 
-    of_window = weighed(windows.join(pairs.select(*content).distinct(), content, "left_semi"), *content)
-    of_item = weighed(items, "item_id", "item_key").withColumnsRenamed({"m": "m2", "weight": "weight2"})
+    of_window = shingle_weights(windows, *content)
+    of_item = held.drop("n").withColumnsRenamed({"m": "m2", "weight": "weight2"})
+    same_item = F.expr("p.item_id <=> i.item_id and p.item_key = i.item_key and p.h = i.h")
     shared = (
-        pairs.join(of_window, content)
-        .join(of_item, ["item_id", "item_key", "h"])
-        .groupBy(*content, "item_id", "m", "m2")
-        .agg(F.sum(F.least("weight", "weight2")).alias("shared"))
+        pairs.join(of_window, content).alias("p")
+        .join(of_item.alias("i"), same_item)
+        .select(*content, "p.item_id", "p.item_key", "m", "m2", F.least("weight", "weight2").alias("both"))
+        .groupBy(*content, *item, "m", "m2")
+        .agg(F.sum("both").alias("shared"))
         .withColumn("similarity", F.col("shared") / (F.col("m") + F.col("m2") - F.col("shared")))
         .where(F.col("similarity") >= similarity)
+        .drop(*item[1:], "m", "m2")
     )
     best = F.max_by(F.struct("start", "n_words", "similarity"), F.struct("similarity", -F.col("start")))
-    matched = near.drop("shingles").join(staged(shared, "bench_matches"), content)
-    out = matched.groupBy("doc_id", "k1", "k2", "item_id").agg(best.alias("best"))
+    matched = near.drop("shingles", *item).join(staged(shared, "bench_matches"), content)
+    out = matched.groupBy(*doc, "item_id").agg(best.alias("best"))
     return out.select("doc_id", "item_id", F.col("best.start").cast("long").alias("start"), "best.n_words", "best.similarity", "k1", "k2")
 
 

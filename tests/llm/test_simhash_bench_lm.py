@@ -210,6 +210,55 @@ def test_decontamination_by_brute_force(spark, make_docs):
     assert left == {i for i, _ in docs} - {i for i, _ in got}
 
 
+def test_windows_between_anchors_and_beyond_the_radius_are_found(spark, make_docs):
+    """Halves that changed places score best where no single anchor puts a window; a run of one word moves a print by more than the radius."""
+    short, long = [f"s{k}" for k in range(60)], [f"t{k}" for k in range(300)]
+    bench = spark.createDataFrame([(1, " ".join(short)), (2, " ".join(long)), (None, "an item without a number stands here")], "item_id long, text string")
+    other = [f"o{k}" for k in range(500)]
+    docs = [
+        (1, other[:200] + short[30:] + short[:30] + other[200:400]),
+        (2, other[:150] + long[:270] + ["ha"] * 30 + other[150:]),
+        (3, other[:90] + short[:20] + other[90:120] + short[20:] + other[120:]),
+        (4, other[:50] + "an item without a number stands here".split() + other[50:]),
+        (5, other),
+    ]
+    got = decontaminate.contaminations(make_docs([(k, " ".join(w)) for k, w in docs]), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.start) for r in got if r.item_id) == [(1, 1, 200), (2, 2, 120)]  # of equally similar windows the first
+    assert {(r.doc_id, r.item_id): r.similarity for r in got} == {(1, 1): pytest.approx(52 / 60), (2, 2): pytest.approx(266 / 326), (4, None): 1}
+    assert {r.doc_id for r in decontaminate.clean(make_docs([(k, " ".join(w)) for k, w in docs]), bench).collect()} == {3, 5}
+
+
+def test_all_windows_by_brute_force(spark, make_docs):
+    """Edits that move, repeat and insert words; every document, item, start and similarity is that of all windows."""
+    rng = np.random.default_rng(11)
+    words = [f"w{k}" for k in range(40)]
+    draw = lambda n: list(rng.choice(words, n))
+    items = [draw(n) for n in (3, 5, 9, 14, 25, 40, 59)] + [["again"] * 30 + draw(12), (draw(3) * 9)[:25]]
+    docs = []
+    for k in range(150):
+        item = list(items[k % len(items)])
+        cut = int(rng.integers(len(item)))
+        for _ in range(rng.integers(0, 3)):
+            at = int(rng.integers(len(item)))
+            item[at:at] = [draw(1), ["again"] * 5, item[at : at + 3]][rng.integers(3)]
+        item = item[cut:] + item[:cut] if k % 3 == 0 else item[: len(item) - k % 4]
+        around = draw(rng.integers(0, 80)) if k % 5 else []
+        docs.append((k, around[:30] + item + around[30:] + (item if k % 7 == 0 else [])))
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.start, r.n_words, r.similarity) for r in decontaminate.contaminations(make_docs([(k, " ".join(w)) for k, w in docs]), bench).collect()}
+    want = {}
+    for i, text in docs:
+        for k, item in enumerate(items):
+            n, size = min(len(item), len(text)), min(5, len(item))
+            bag = Counter(tuple(item[a : a + size]) for a in range(len(item) - size + 1))
+            windows = [Counter(tuple(text[b : b + size]) for b in range(a, a + n - size + 1)) for a in range(len(text) - n + 1)]
+            scores = [(bag & w).total() / max(1, (bag | w).total()) for w in windows]
+            if max(scores, default=0) >= 0.8:
+                want[i, k] = (scores.index(max(scores)), n, max(scores))
+    assert len(want) > 40 and set(got) == set(want)
+    assert all(got[x] == (want[x][0], want[x][1], pytest.approx(want[x][2])) for x in want)
+
+
 def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame([(1, PROSE, "a"), (1, PROSE, "a"), (2, "", "b"), (None, None, None)], "item_id long, text string, shingles string")
     got = decontaminate.contaminations(odd_docs, bench)
