@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 BATCH = "batch"
 LATE = "late"
+BUCKETS = 1 << 12
+NEVER = -(2**63)
 
 
 def read_increment(
@@ -84,43 +87,73 @@ def compact(spark: SparkSession, schema: T.StructType, keys: Sequence[str], stam
 # Each record once -----------------------------------------------------------------------------------------------------
 
 
-def first_of_each(rows: DataFrame, keys: Sequence[str], stamp: str, keep_ms: int) -> DataFrame:
+def _runs(*order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by the last array, then the one before it and so on, and where rows begin that differ from the row before in the last two."""
+    place = np.lexsort(order)
+    one, two = order[-1][place], order[-2][place]
+    return place, np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
+
+
+def first_of_each(rows: DataFrame, keys: Sequence[str], stamp: str, keep_ms: int, buckets: int = BUCKETS) -> DataFrame:
     """A stream's first row of every key, and with ``late`` true its rows that are older than what is remembered.
 
     A key is remembered until ``keep_ms`` after the newest of its stamps; then a timer drops it, so the state holds no more than the keys of that time.
     A row whose stamp lies further back when it lands can not be told from a repeat: it goes to the late rows, none is lost. A row without
     stamp is late. Of the rows of one batch the one with the least stamp stays.
+
+    Keys are dealt to ``buckets`` by hash. The keys of a bucket, as 128-bit hashes with their newest stamps, are one state, so a batch costs a call for each
+    bucket that it meets instead of each key, and rewrites the states of those buckets. A checkpoint stays with its number of buckets.
     """
     names, schema = rows.columns, rows.schema
-    at = F.unix_millis(F.col(stamp).cast("timestamp")).alias("_at")
-
-    def one_key(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
+    parts = [x for key in keys for x in (F.col(key).isNull(), F.col(key))]  # a hash passes over nulls
+    dealt = {
+        "_at": F.coalesce(F.unix_millis(F.col(stamp).cast("timestamp")), F.lit(NEVER)),
+        "_key1": F.xxhash64(*parts),
+        "_key2": F.xxhash64(F.lit(1), *parts),
+        "_bucket": F.pmod(F.xxhash64(*parts), F.lit(buckets)),
+    }
+
+    def one_bucket(bucket: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         now = state.getCurrentProcessingTimeMs()
-        last = state.get[0] if state.exists else None
-        known, first = last is not None, None
-        for frame in frames:
-            in_time = frame["_at"].notna() & (frame["_at"] + keep_ms > now)
-            late = frame[~in_time]
-            if len(late):
-                yield late[names].assign(**{LATE: True})
-            current = frame[in_time].sort_values("_at", kind="stable")
-            if len(current):
-                last = max(int(current["_at"].iloc[-1]), last or 0)
-                if not known and (first is None or current["_at"].iloc[0] < first["_at"].iloc[0]):
-                    first = current.head(1)
-        if first is not None:
-            yield first[names].assign(**{LATE: False})
-        if last is not None and last + keep_ms > now:
-            state.update((last,))
-            state.setTimeoutDuration(last + keep_ms - now)
+        held = [np.frombuffer(x, np.int64) for x in state.get] if state.exists else [np.zeros(0, np.int64)] * 3
+        firsts, newest = [], [held[2]]
+        for frame in () if state.hasTimedOut else frames:
+            in_time = frame["_at"].to_numpy() > now - keep_ms
+            if not in_time.all():
+                yield frame.loc[~in_time, names].assign(**{LATE: True})
+                frame = frame[in_time]
+            if len(frame):
+                at = frame["_at"].to_numpy()
+                place, begins = _runs(at, frame["_key2"].to_numpy(), frame["_key1"].to_numpy())
+                firsts.append(frame.iloc[place[begins]])
+                newest.append(at[place[np.append(begins[1:], len(place)) - 1]])
+        one, two, at = (
+            np.concatenate([old, *(f[c].to_numpy() for f in firsts)])
+            for c, old in (("_key1", held[0]), ("_key2", held[1]), ("_at", np.full(len(held[0]), NEVER)))
+        )
+        if not len(one):
+            return
+        place, begins = _runs(at, two, one)  # what is held stands before this batch's rows of the same key
+        chosen, start = place[begins], len(held[0])
+        for frame in firsts:
+            mine = np.sort(chosen[(chosen >= start) & (chosen < start + len(frame))]) - start
+            start += len(frame)
+            if len(mine):
+                yield frame[names].iloc[mine].assign(**{LATE: False})
+        last = np.maximum.reduceat(np.concatenate(newest)[place], begins)
+        kept = last + keep_ms > now
+        if kept.any():
+            state.update(tuple(x[kept].tobytes() for x in (one[chosen], two[chosen], last)))
+            state.setTimeoutDuration(int(last[kept].min()) + keep_ms - now)
         elif state.exists:
             state.remove()
 
-    return rows.select("*", at).groupBy(*keys).applyInPandasWithState(
-        one_key, T.StructType([*schema.fields, T.StructField(LATE, T.BooleanType())]), "last long", "append", GroupStateTimeout.ProcessingTimeTimeout
+    return rows.withColumns(dealt).groupBy("_bucket").applyInPandasWithState(
+        one_bucket,
+        T.StructType([*schema.fields, T.StructField(LATE, T.BooleanType())]),
+        "keys1 binary, keys2 binary, lasts binary",
+        "append",
+        GroupStateTimeout.ProcessingTimeTimeout,
     )
 
 

@@ -99,6 +99,28 @@ def test_each_record_once_across_restarts_and_late_rows_apart(spark, tmp_path):
     assert kept == {(1, "*", "a"), (2, "*", "b"), (1, "c1", "c"), (None, None, "no key")}
 
 
+def test_keys_of_one_bucket_are_told_apart(spark, tmp_path):
+    """Calls do not grow with the keys: thousands of keys, null and alike ones too, are first, known and dropped each for themselves."""
+    landing, checkpoint, once, late = (str(tmp_path / name) for name in ("landing", "checkpoint", "once", "late"))
+    now = dt.datetime.now(dt.UTC).replace(tzinfo=None, microsecond=0)
+    keep = 60 * 60_000
+
+    def run(*data):
+        rows = [(a, k, c, None if m is None else now - dt.timedelta(minutes=m), b) for a, k, c, m, b in data]
+        land(spark.createDataFrame(rows, SCHEMA).repartition(1), landing)
+        inc.drain(inc.first_of_each(inc.read_increment(spark, landing, SCHEMA), KEYS, "fetched_at", keep, buckets=3), inc.append_split(once, late), checkpoint)
+        got = [sorted(((r.app_id, r.kind, r.cursor, r.body) for r in spark.read.schema(SCHEMA).parquet(path).collect()), key=str) for path in (once, late)]
+        return *got, spark.read.format("statestore").load(checkpoint).count()
+
+    odd = [(None, "a", "b", 5, "x"), (None, "a", None, 5, "x"), (None, None, "a", 5, "x"), (7, "ab", "", 5, "x"), (7, "a", "b", 5, "x")]
+    many = [(k, "reviews", "*", 30, f"body {k}") for k in range(4000)]
+    first, late_rows, states = run(*odd, *many, *[(k, "reviews", "*", 20, "newer") for k in range(4000)], (1, "reviews", "*", 70, "late"), (5000, "reviews", "*", None, "no stamp"))
+    want = sorted(((a, k, c, b) for a, k, c, _, b in [*odd, *many]), key=str)
+    assert (first, late_rows, states) == (want, [(1, "reviews", "*", "late"), (5000, "reviews", "*", "no stamp")], 3)
+    again, _, states = run(*odd, *many[::2], (4000, "reviews", "*", 1, "new"), (4000, "reviews", "*", 2, "older"))
+    assert (again, states) == (sorted([*want, (4000, "reviews", "*", "older")], key=str), 3)
+
+
 def test_state_is_dropped_by_its_timer(spark, tmp_path):
     """A key is remembered for its time only: afterwards its rows are late, and the state is empty."""
     landing, checkpoint, once, late = (str(tmp_path / name) for name in ("landing", "checkpoint", "once", "late"))
