@@ -30,6 +30,7 @@ from ludoshelf.sources.staging import Staging
 FOLDS, HELD_OUT = 7, 2
 BATCH_TOKENS = 1_250_000
 SHARD_TOKENS = 1_500_000  # tokens of the corpus for each shard of requests
+PAIRS_AT_ONCE = 1 << 17
 SEED = 42
 END = b"\n"  # no word holds a line feed
 K = 5.0
@@ -58,6 +59,15 @@ def _counts(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, f"u{max(1, len(raw) // max(n, 1))}").astype(np.int64)
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    """32-bit ids, compressed byte by byte of their width: a batch is a row, and large rows are copied whole many times on their way."""
+    return zlib.compress(tokens.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+
+
 def batches(docs: DataFrame, most: int = BATCH_TOKENS) -> DataFrame:
     """Token batches: ids into the batch's vocabulary, which is its words' hashes in order, with their training counts."""
 
@@ -75,7 +85,7 @@ def batches(docs: DataFrame, most: int = BATCH_TOKENS) -> DataFrame:
             held = [held_out(d) for d in doc_ids]
             train = ~np.repeat(np.array(held, bool), sizes)
             counts = np.bincount(local[train], minlength=len(vocabulary))
-            row = [(part << 32) + made, doc_ids, held, sizes, len(local), vocabulary.tobytes(), _compact(counts), local.tobytes()]
+            row = [(part << 32) + made, doc_ids, held, sizes, len(local), vocabulary.tobytes(), _compact(counts), _packed(local)]
             made += 1
             ids, tokens, doc_ids, sizes = _Ids(), array("I"), [], []
             kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.int64(), pa.binary(), pa.binary(), pa.binary())
@@ -127,7 +137,7 @@ def _pairs(vocabulary: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> tup
 
 
 def _read(batch: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(batch["vocabulary"], np.uint64), np.frombuffer(batch["tokens"], np.uint32), np.array(batch["sizes"], np.int64)
+    return np.frombuffer(batch["vocabulary"], np.uint64), _unpacked(batch["tokens"]), np.array(batch["sizes"], np.int64)
 
 
 def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -237,9 +247,13 @@ def score(docs: DataFrame, staged: Staging | None = None) -> DataFrame:
             counts, pairs = parts
             del keys, parts
             trie, shorter = model_slice(len(vocabulary), counts, context, token, pairs, n, types, once)
-            node = trie.child(0, context, token)
-            alone = trie.values[0].get(token) + np.where(counts[context] > 0, shorter.values[0].get(context), 0.0)
-            value = np.where(node >= 0, trie.values[1].get(np.maximum(node, 0)), alone) if len(trie.values[1].codes) else alone
+            value = np.empty(len(pairs))
+            for at in range(0, len(pairs), PAIRS_AT_ONCE):
+                v, w = context[at : at + PAIRS_AT_ONCE], token[at : at + PAIRS_AT_ONCE]
+                node = trie.child(0, v, w)
+                alone = trie.values[0].get(w) + np.where(counts[v] > 0, shorter.values[0].get(v), 0.0)
+                value[at : at + PAIRS_AT_ONCE] = np.where(node >= 0, trie.values[1].get(np.maximum(node, 0)), alone) if len(trie.values[1].codes) else alone
+            del trie, shorter, pairs, context, token
             starts = np.cumsum(sizes) - sizes
             base = np.log10((counts + 1) / (n + types + 1))
             columns = [batch["doc_ids"], batch["held"], sizes, *(np.add.reduceat(of[at], starts) for of, at in (((counts > 0).astype(np.int64), local), (base, local), (value, pair_of)))]

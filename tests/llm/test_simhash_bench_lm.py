@@ -363,6 +363,20 @@ def test_pairs_of_a_batch_take_half_the_room():
     assert peak <= 64 * len(tokens)
 
 
+def test_a_batch_row_is_small(make_docs):
+    """Common words make up most of a batch, so its row takes far less than four bytes a token, and comes back whole."""
+    rng = np.random.default_rng(4)
+    docs = [(k, " ".join(f"w{x}" for x in rng.zipf(1.4, 3000) % 30_000)) for k in range(40)]
+    rows = lm.batches(make_docs(docs).coalesce(1)).collect()
+    assert len(rows) == 1 and len(rows[0].tokens) < 2 * rows[0].n
+    vocabulary, tokens, sizes = lm._read(rows[0].asDict())
+    place = {int(h): k for k, h in enumerate(vocabulary)}
+    hashes = [place[lm.xxhash.xxh64_intdigest(w, seed=lm.SEED)] for _, text in docs for w in [*text.encode().split(), lm.END]]
+    assert tokens.dtype == np.uint32 and tokens.tolist() == hashes and sizes.sum() == len(tokens)
+    for few in (np.zeros(0, np.uint32), np.array([2**32 - 1, 7], np.uint32)):
+        assert (lm._unpacked(lm._packed(few)) == few).all()
+
+
 def test_scores_odd_rows(odd_docs, no_docs):
     got = lm.score(odd_docs).collect()
     assert len(got) == 12 and all(r.score < 0 and r.n_tokens >= 1 for r in got)
