@@ -18,7 +18,8 @@ from ludoshelf.sources.staging import Staging
 def _collected(spark: SparkSession, sf_dir: str) -> Collected:
     stage = Staging(spark)
     landed = stage.path("landing")
-    write_landing(workload.all_landing(spark, sf_dir), landed)
+    for part in workload.landing_parts(spark, sf_dir):  # only one kind's bodies are shuffled at a time
+        write_landing(part, landed)
     _, results = workload.order_searches(spark, sf_dir)
     candidates = stage(results.withColumn("error", F.lit(None).cast("string")), "candidates")
     return collect_games(

@@ -6,6 +6,7 @@ it, with the odd values (numbers as text, blanks, wrong types) the cleaning rule
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -381,7 +382,12 @@ def part_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_parts(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
+    """The kinds of response one after another."""
+    for kind in (part_details, review_pages, review_summaries, store_pages, achievement_pages, score_pages):
+        yield kind(spark, sf_dir)
+
+
 def all_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every kind of response in one landing table."""
-    kinds = (part_details, review_pages, review_summaries, store_pages, achievement_pages, score_pages)
-    return reduce(DataFrame.unionByName, (kind(spark, sf_dir) for kind in kinds))
+    return reduce(DataFrame.unionByName, landing_parts(spark, sf_dir))

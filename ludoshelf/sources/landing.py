@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ludoshelf import schemas
 from ludoshelf.functions import variant
 from ludoshelf.functions.clean import strip
+from ludoshelf.sources.staging import shuffles_removed
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -21,13 +22,9 @@ def write_landing(landing: DataFrame, path: str, mode: str = "append") -> None:
     An app with very many pages is cut into several ranges by page number and locale.
     """
     order = ("request_kind", "app_id", "page_no", "locale")
-    (
-        landing.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode(mode)
-        .partitionBy("request_kind")
-        .parquet(path)
-    )
+    ordered = landing.repartitionByRange(*order).sortWithinPartitions(*order)
+    with shuffles_removed(landing.sparkSession):
+        ordered.write.mode(mode).partitionBy("request_kind").parquet(path)
 
 
 def scan(

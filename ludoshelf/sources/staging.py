@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +12,21 @@ from ludoshelf.session import shared_dir
 
 
 Stage = Callable[[DataFrame, str], DataFrame]
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside leave no shuffle files: what they have written is read instead. Else the files stay until the driver collects its garbage."""
+    before = spark.conf.get(CLEANUP_CONF, None)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_CONF)
+        else:
+            spark.conf.set(CLEANUP_CONF, before)
 
 
 class Staging:
@@ -30,7 +46,8 @@ class Staging:
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.mode("overwrite").parquet(path)
+        with shuffles_removed(self.spark):
+            df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
